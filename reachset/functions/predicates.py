@@ -42,13 +42,18 @@ def non_empty(c: ColumnOrName) -> Column:
     return _c(c) != F.lit("")
 
 
+def id_key(c: ColumnOrName) -> Column:
+    """An id stored as text or number, as bigint; '', 'abc', overflow -> null."""
+    return _c(c).try_cast("bigint")
+
+
 def positive_id(c: ColumnOrName) -> Column:
     """Id greater than zero, for ids stored as text or number.
 
     ``try_cast`` turns '', 'abc' and overflow into null, so the predicate is
     false for them instead of failing the job.
     """
-    return F.try_cast(_c(c), "bigint") > F.lit(0)  # type: ignore[attr-defined]
+    return id_key(c) > F.lit(0)
 
 
 # --------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,7 @@ from ..functions.dates import window_bounds
 from ..functions.predicates import (
     any_value_in,
     check_code,
+    id_key,
     keyword_any,
     none_value_is,
     positive_id,
@@ -194,7 +195,7 @@ def reference_signals(
     signals = [
         click.select(F.col("account_id").cast("bigint").alias(key)),
         search.select(F.col("account_id").cast("bigint").alias(key)),
-        alerts.select(F.try_cast(F.col("accountId"), "bigint").alias(key)),
+        alerts.select(id_key("accountId").alias(key)),
         views.select(F.col("account_id").cast("bigint").alias(key)),
         profiles.select(F.col("accountId").cast("bigint").alias(key)),
     ]

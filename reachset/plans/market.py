@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_before, resolve_date, window_bounds
-from ..functions.predicates import non_empty
+from ..functions.predicates import id_key, non_empty
 from ..operators.algebra import audience, combine, exclude, restrict_to
 from ..operators.shape import fill_defaults, rename, with_literals
 from ..sources.events import event_window, intersect_sources
@@ -130,7 +130,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
             "ipcity",
             pr,
             cities,
-        ).select(F.try_cast(F.col("accountId"), "bigint").alias(key))
+        ).select(id_key("accountId").alias(key))
         created = event_window(tables["passaccount"], lo, hi).where(
             F.col("country") == p.country
         ).select(F.col("accountid").cast("bigint").alias(key))
@@ -157,7 +157,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
             "ipCity",
             pr,
             cities,
-        ).select(F.try_cast(F.col("accountId"), "bigint").alias(key), "ipCity", "ipRegion")
+        ).select(id_key("accountId").alias(key), "ipCity", "ipRegion")
         alerts = audience(found, key, "ipCity", "ipRegion")
 
     keys = (alerts if alerts is not None else accounts).select(key)
