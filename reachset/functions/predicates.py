@@ -91,15 +91,8 @@ def _escape_java(word: str) -> str:
     return "\\Q" + word.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
-def keyword_pattern(words: Iterable[str]) -> str:
-    """Whole-word, case-insensitive alternation of literal keywords.
-
-    Each keyword is trimmed; duplicates and blanks are dropped; both Unicode
-    forms (composed NFC and decomposed NFD) are included, so text in either
-    form matches.  Word boundaries are letters, marks and digits, not ``\\b``
-    (``\\b`` cannot end a keyword such as ``c#``).  Longer alternatives come
-    first so that a shorter keyword never pre-empts a longer one.
-    """
+def keyword_forms(words: Iterable[str]) -> list[str]:
+    """Trimmed, de-duplicated keywords in both Unicode forms (NFC and NFD)."""
     seen: dict[str, None] = {}
     for w in words:
         w = w.strip()
@@ -109,9 +102,54 @@ def keyword_pattern(words: Iterable[str]) -> str:
             seen.setdefault(form, None)
     if not seen:
         raise ValueError("keyword list is empty")
-    alts = sorted(seen, key=lambda s: (-len(s), s))
-    body = "|".join(_escape_java(a) for a in alts)
-    return f"(?iu)(?<![\\p{{L}}\\p{{M}}\\p{{N}}])(?:{body})(?![\\p{{L}}\\p{{M}}\\p{{N}}])"
+    return list(seen)
+
+
+def _trie_alternation(words: Iterable[str]) -> str:
+    """One regex alternation shaped as a prefix tree of the literal words.
+
+    ``tech|technology|ti`` becomes ``t(?:ech(?:nology)?|i)``: at each text
+    position the matcher tests a handful of first characters instead of
+    every keyword, which is what makes whole-document search affordable.
+    Greedy optional tails try the longer keyword first and backtrack to the
+    shorter one, so every keyword can still match.
+    """
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        branches = []
+        for ch in sorted(k for k in node if k):
+            lit, sub = ch, node[ch]
+            while len(sub) == 1 and "" not in sub:
+                (nxt, sub), = sub.items()
+                lit += nxt
+            branches.append(_escape_java(lit) + emit(sub))
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        return f"(?:{body})?" if "" in node else body
+
+    return emit(trie)
+
+
+_WORD_CHAR = "[\\p{L}\\p{M}\\p{N}]"
+
+
+def keyword_pattern(words: Iterable[str]) -> str:
+    """Whole-word, case-insensitive search for any of the literal keywords.
+
+    Each keyword is trimmed; duplicates and blanks are dropped; both Unicode
+    forms (composed NFC and decomposed NFD) are included, so text in either
+    form matches.  Word boundaries are letters, marks and digits, not ``\\b``
+    (``\\b`` cannot end a keyword such as ``c#``).
+    """
+    body = _trie_alternation(keyword_forms(words))
+    return f"(?iu)(?<!{_WORD_CHAR})(?:{body})(?!{_WORD_CHAR})"
 
 
 def keyword_any(c: ColumnOrName, words: Iterable[str] | str, mode: str = "words") -> Column:
@@ -145,16 +183,6 @@ def keyword_any(c: ColumnOrName, words: Iterable[str] | str, mode: str = "words"
 # --------------------------------------------------------------------------
 
 
-def as_array(c: ColumnOrName, df_type=None) -> Column:
-    """Wrap a scalar column into a one-element array; arrays pass through."""
-    from pyspark.sql.types import ArrayType
-
-    col = _c(c)
-    if df_type is not None and not isinstance(df_type, ArrayType):
-        return F.when(col.isNull(), F.lit(None)).otherwise(F.array(col))
-    return col
-
-
 def any_value_in(c: ColumnOrName, values: Iterable) -> Column:
     """Multi-valued ``IN``: true when any element is one of ``values``."""
     vals = list(dict.fromkeys(values))

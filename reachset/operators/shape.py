@@ -83,3 +83,4 @@ def require_rows(df: DataFrame, name: str = "result") -> DataFrame:
     if df.isEmpty():
         raise EmptyAudienceError(f"{name} came back empty; check the inputs")
     return df
+

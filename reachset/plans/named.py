@@ -53,7 +53,7 @@ from ..sources.sinks import (
     write_campaign_csv,
     write_campaign_json,
 )
-from .any_signal import any_signal_audience
+from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
 from .unconverted import unconverted_audience
 
@@ -191,6 +191,12 @@ def q_keyword_words(spark, sf_dir):
     return p.where(keyword_any("p_name", ["Widget", "bolt", "RED", "red"])).select("p_partkey")
 
 
+def q_keyword_documents(spark, sf_dir):
+    """The reference's own keyword list (whole words) over whole documents."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.where(keyword_any("text", TECH_KEYWORDS)).select("doc_id")
+
+
 def q_regex_prefix(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.where(matches("p_name", "blue.*")).select("p_partkey")
@@ -488,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "regex_full_match": q_regex_full_match,
     "keyword_any": q_keyword_any,
     "keyword_words": q_keyword_words,
+    "keyword_documents": q_keyword_documents,
     "regex_prefix": q_regex_prefix,
     "multivalue_any": q_multivalue_any,
     "multivalue_group": q_multivalue_group,

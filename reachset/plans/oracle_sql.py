@@ -4,6 +4,26 @@ Column names equal those of the Spark queries in :mod:`reachset.plans.named`.
 The driver registers the parquet tables as views of the same names.
 """
 
+import re
+import unicodedata
+
+from .any_signal import TECH_KEYWORDS
+
+
+def re2_keyword_pattern(words) -> str:
+    """Whole-word, case-insensitive alternation in RE2 syntax (no lookbehind),
+    the same keyword set as ``keyword_pattern`` builds for Java."""
+    seen = {}
+    for w in words:
+        w = w.strip()
+        if w:
+            for form in (unicodedata.normalize("NFC", w), unicodedata.normalize("NFD", w), w):
+                seen.setdefault(form, None)
+    alts = sorted(seen, key=lambda s: (-len(s), s))
+    body = "|".join(re.escape(a) for a in alts)
+    return f"(?i)(^|[^\\pL\\pM\\pN])({body})([^\\pL\\pM\\pN]|$)"
+
+
 SQL: dict[str, str] = {
     "event_window": """
 select event_id, user_id from events where ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-15'
@@ -118,4 +138,7 @@ select c_custkey as accountId, c_name as firstName, c_mktsegment as City from cu
     "keyword_words": r"""
 select p_partkey from part where regexp_matches(p_name, '(?i)(^|[^\pL\pM\pN])(widget|bolt|red)([^\pL\pM\pN]|$)')
 """,
+    "keyword_documents": "select doc_id from documents where regexp_matches(text, '"
+    + re2_keyword_pattern(TECH_KEYWORDS).replace("'", "''")
+    + "')",
 }
