@@ -10,7 +10,7 @@ the city presets.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -28,7 +28,7 @@ from .presets import MarketPreset, preset
 def market_audience(
     alerts: DataFrame | None,
     accounts: DataFrame | None,
-    profile: DataFrame,
+    attach: Callable[[DataFrame], DataFrame],
     employers: DataFrame,
     defaults: Mapping[str, object],
     key: str = "accountId",
@@ -39,9 +39,10 @@ def market_audience(
     ``alerts`` carries (key, location attributes); ``accounts`` carries the
     key (and possibly literal location columns).  With both, they are
     combined by a full outer join on the key (one coalesced key column).
-    ``profile`` holds (key, attributes) for the audience's keys and is
-    left-joined; ``defaults`` fills missing attributes; keys in
-    ``employers`` are removed by an anti-join.
+    ``attach`` adds the profile attributes (normally
+    :func:`~reachset.sources.lookups.attach_profile` with ``how="left"``);
+    ``defaults`` fills missing attributes; keys in ``employers`` are
+    removed by an anti-join.
 
     An account with alerts from several cities keeps one row per city, as
     in the reference.  ``one_row_per_account`` keeps only its smallest
@@ -56,7 +57,7 @@ def market_audience(
         aud = alerts
     else:
         aud = combine(alerts, accounts, key, how="full").distinct()
-    with_profile = combine(aud, profile, key, how="left")
+    with_profile = attach(aud)
     filled = fill_defaults(with_profile, {c: v for c, v in defaults.items() if c in with_profile.columns})
     kept = exclude(filled, employers, key)
     if not one_row_per_account:
@@ -160,19 +161,18 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
         ).select(id_key("accountId").alias(key), "ipCity", "ipRegion")
         alerts = audience(found, key, "ipCity", "ipRegion")
 
-    keys = (alerts if alerts is not None else accounts).select(key)
-    if alerts is not None and accounts is not None:
-        keys = keys.unionByName(accounts.select(key))
-    profile = attach_profile(
-        keys,
-        key,
-        primary=tables["email"],
-        primary_key="id",
-        primary_cols={"emailAddress": "emailAddress"},
-        secondary=tables["account_names"],
-        link=("id", "account_id"),
-        secondary_cols={"lastName": "family_name", "firstName": "given_name"},
-    )
+    def attach(aud: DataFrame) -> DataFrame:
+        return attach_profile(
+            aud,
+            key,
+            primary=tables["email"],
+            primary_key="id",
+            primary_cols={"emailAddress": "emailAddress"},
+            secondary=tables["account_names"],
+            link=("id", "account_id"),
+            secondary_cols={"lastName": "family_name", "firstName": "given_name"},
+        )
+
     employers = employer_accounts(
         tables["advertiser_info"], key, "advertiser_id", source="accountId"
     )
@@ -180,7 +180,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     out = market_audience(
         rename(alerts, located) if alerts is not None else None,
         rename(accounts, located) if accounts is not None and p.alert_days == 0 else accounts,
-        profile,
+        attach,
         employers,
         defaults={"City": p.city, "State": pr.state},
         key=key,

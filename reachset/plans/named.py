@@ -127,6 +127,7 @@ def q_profile_lookup(spark, sf_dir):
         secondary=nation,
         link=("c_nationkey", "n_nationkey"),
         secondary_cols={"home": "n_name"},
+        how="inner",
     )
 
 
@@ -447,14 +448,15 @@ def q_market_audience(spark, sf_dir):
     )
     alerts = audience(located, key, "City")
     accounts = audience(_events(spark, sf_dir, "signup", "2024-01-20", "2024-01-31"), key, source="user_id")
-    keys = in_any([alerts, accounts], key)
-    profile = attach_profile(
-        keys, key, primary=t("customer"), primary_key="c_custkey", primary_cols={"firstName": "c_name"}
-    )
+    def attach(aud):
+        return attach_profile(
+            aud, key, primary=t("customer"), primary_key="c_custkey", primary_cols={"firstName": "c_name"}
+        )
+
     employers = employer_accounts(
         t("supplier"), key, F.col("s_acctbal") > 5000, source="s_suppkey"
     )
-    return market_audience(alerts, accounts, profile, employers, defaults={"City": "Hub A"}, key=key)
+    return market_audience(alerts, accounts, attach, employers, defaults={"City": "Hub A"}, key=key)
 
 
 # --------------------------------------------------------------------------

@@ -35,14 +35,15 @@ def unconverted_audience(
 
     ``companies`` holds (key, company) rows; it is restricted to the
     audience's keys by a semi-join (the reference's second round trip with
-    a pasted id list).  The reference then outer-merges and drops rows with
-    nulls, which is an inner join; duplicates cannot arise because both
-    sides are grouped.
+    a pasted id list) and grouped, which yields its ``GROUP BY company,
+    advertiser_id`` answer.  The reference then outer-merges that answer
+    with the audience and drops rows with nulls; since the answer only
+    holds audience keys and the audience keys are distinct, that is the
+    answer itself -- no second join is needed.
     """
     raw = exclude(in_all([base, optimized], key), spent, key)
-    names = restrict_to(audience(companies, key, company), raw, on=key)
-    joined = raw.join(names, on=key, how="inner")
-    shaped = cast_key(joined.select(key, company), key, out_key)
+    names = audience(restrict_to(companies.select(key, company), raw, on=key), key, company)
+    shaped = cast_key(names, key, out_key)
     return drop_incomplete(shaped)
 
 

@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.algebra import audience, restrict_to
+from ..operators.algebra import audience
 
 
 def read_jdbc_table(
@@ -47,7 +47,7 @@ def read_jdbc_table(
 
 
 def attach_profile(
-    keys: DataFrame,
+    aud: DataFrame,
     key: str,
     primary: DataFrame,
     primary_key: str,
@@ -55,33 +55,38 @@ def attach_profile(
     secondary: DataFrame | None = None,
     link: tuple[str, str] | None = None,
     secondary_cols: Mapping[str, str] | None = None,
+    how: str = "left",
 ) -> DataFrame:
-    """Profile rows for the audience's keys (S4 with the left join J6).
+    """Attach profile attributes to an audience (S4 with the left join J6).
 
-    ``primary`` (the e-mail table) is restricted to ``keys`` by a
-    left-semi join on ``primary_key``; ``secondary`` (the name table) is
-    left-joined to it on ``link = (primary column, secondary column)``.
-    Output: ``key`` + renamed ``primary_cols`` + renamed ``secondary_cols``
-    (``{output name: stored name}``).
+    ``primary`` (the e-mail table) is joined to ``aud`` on
+    ``aud[key] == primary[primary_key]``; ``secondary`` (the name table) is
+    left-joined to that on ``link = (primary column, secondary column)``.
+    Column maps are ``{output name: stored name}``.
+
+    The reference ships the audience's ids to the database and merges the
+    answer back; joining from the audience does both at once, and the
+    profile tables are only probed for the audience's keys.  ``how="left"``
+    keeps audience keys without a profile (the reference's outer merge);
+    ``how="inner"`` returns only keys that have one (the profile query).
     """
     link_cols = [link[0]] if secondary is not None and link else []
-    wanted = {primary_key, *primary_cols.values(), *link_cols}
-    p = restrict_to(primary.select(*sorted(wanted)), keys, on=primary_key, keys_on=key)
-    out = p.select(
+    if secondary is not None and not link:
+        raise ValueError("secondary table needs link=(primary column, secondary column)")
+    p = primary.select(
         F.col(primary_key).alias(key),
         *[F.col(src).alias(dst) for dst, src in primary_cols.items()],
         *[F.col(c).alias(f"_link_{c}") for c in link_cols],
-    )
+    ).where(F.col(key).isNotNull())
+    out = aud.join(p, on=key, how=how)
     if secondary is None:
         return out
-    if not link:
-        raise ValueError("secondary table needs link=(primary column, secondary column)")
+    lk = f"_link_{link[0]}"
     sec = secondary.select(
-        F.col(link[1]).alias(f"_link_{link[0]}"),
+        F.col(link[1]).alias(lk),
         *[F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()],
-    )
-    joined = out.join(sec, on=f"_link_{link[0]}", how="left")
-    return joined.drop(f"_link_{link[0]}")
+    ).where(F.col(lk).isNotNull())
+    return out.join(sec, on=lk, how="left").drop(lk)
 
 
 def employer_accounts(
