@@ -52,11 +52,14 @@ def market_audience(
     if alerts is None and accounts is None:
         raise ValueError("no source selected: both the account and the alert window are 0")
     if alerts is None:
-        aud = accounts
+        aud = accounts.distinct()
     elif accounts is None:
-        aud = alerts
+        aud = alerts.distinct()
     else:
-        aud = combine(alerts, accounts, key, how="full").distinct()
+        # Both sides distinct (a no-op when they come from a grouping, which
+        # Catalyst removes) => the full join's rows are distinct too: the
+        # reference's drop_duplicates after its outer merge needs no shuffle.
+        aud = combine(alerts.distinct(), accounts.distinct(), key, how="full")
     with_profile = attach(aud)
     filled = fill_defaults(with_profile, {c: v for c, v in defaults.items() if c in with_profile.columns})
     kept = exclude(filled, employers, key)
