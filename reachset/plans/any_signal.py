@@ -26,7 +26,7 @@ from ..functions.predicates import (
     positive_id,
 )
 from ..operators.algebra import audience, exclude, in_any
-from ..operators.shape import cast_key, drop_incomplete, with_literals
+from ..operators.shape import cast_key, drop_incomplete, require_rows, with_literals
 from ..sources.events import event_window, union_sources
 
 # The reference's keyword list, in its order and spelling
@@ -126,6 +126,7 @@ class AnySignalParams:
     excluded_groups: tuple[str, ...] = ("privileged", "spider")
     search_rcv: str = "jsv"
     probe_agent: str = "catchpoint"
+    require_rows: bool = False
 
 
 def _kw(col: str, p: AnySignalParams) -> Column:
@@ -214,4 +215,8 @@ def reference_any_signal(
 ) -> DataFrame:
     """Q2 over the reference's datasets."""
     signals, new_accounts = reference_signals(tables, p)
+    if p.require_rows:
+        names = ("click", "search", "job alert", "view", "profile")
+        for name, part in zip(names, signals):
+            require_rows(part, name)
     return any_signal_audience(signals, new_accounts)

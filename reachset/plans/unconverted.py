@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import window_bounds
 from ..functions.predicates import all_of, any_of, any_value_in, matches, non_empty
 from ..operators.algebra import Link, audience, exclude, in_all, restrict_to, semi_chain
-from ..operators.shape import cast_key, drop_incomplete
+from ..operators.shape import cast_key, drop_incomplete, require_rows
 from ..sources.events import event_window
 
 
@@ -30,9 +30,14 @@ def unconverted_audience(
     key: str = "advertiser_id",
     company: str = "company",
     out_key: str = "advertiserId",
+    optimized_mode: str = "in",
 ) -> DataFrame:
     """(base ∩ optimized) − spent, with company; key narrowed to int32.
 
+    ``optimized_mode="in"`` is the reference's audience 1 (optimized, did
+    not spend); ``"not_in"`` is its audience 2 (neither), the same algebra
+    with an exclusion in place of the intersection.
+
     ``companies`` holds (key, company) rows; it is restricted to the
     audience's keys by a semi-join (the reference's second round trip with
     a pasted id list) and grouped, which yields its ``GROUP BY company,
@@ -41,7 +46,13 @@ def unconverted_audience(
     holds audience keys and the audience keys are distinct, that is the
     answer itself -- no second join is needed.
     """
-    raw = exclude(in_all([base, optimized], key), spent, key)
+    if optimized_mode == "in":
+        kept = in_all([base, optimized], key)
+    elif optimized_mode == "not_in":
+        kept = exclude(audience(base, key), optimized, key)
+    else:
+        raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
+    raw = exclude(kept, spent, key)
     names = audience(restrict_to(companies.select(key, company), raw, on=key), key, company)
     shaped = cast_key(names, key, out_key)
     return drop_incomplete(shaped)
@@ -67,6 +78,8 @@ class UnconvertedParams:
     open_levels: tuple[str, ...] = ("organic", "jobalert")
     sponsored_level: str = "sponsored"
     sponsored_state: str = "spon_active"
+    optimized_mode: str = "in"
+    require_rows: bool = False
 
 
 def reference_unconverted(
@@ -163,4 +176,7 @@ def reference_unconverted(
     companies = event_window(
         tables["dradis_job2"], p.company_start, p.company_end, as_of=p.as_of
     ).select("advertiser_id", "company")
-    return unconverted_audience(base, optimized, spent, companies)
+    if p.require_rows:
+        for name, part in (("mailed", base), ("optimized", optimized), ("spent", spent)):
+            require_rows(part, name)
+    return unconverted_audience(base, optimized, spent, companies, optimized_mode=p.optimized_mode)

@@ -333,3 +333,25 @@ def test_presets():
     assert preset("Washington D.C.", False).ip_city == "Washington DC"
     with pytest.raises(ValueError):
         preset("Paris", True)
+
+
+def test_q1_audience_two_neither(spark):
+    # mailed, not optimized and not spent: only 103 (105's chain broke early)
+    data = q1_data()
+    data["midmarketAdvertiserEligibility"] = [
+        r for r in data["midmarketAdvertiserEligibility"] if r["advertiserId"] != 105
+    ]
+    data["dradis_job2"].append({"ts": ts("2021-01-25"), "advertiser_id": 103, "company": "Gamma"})
+    data["dradis_job2"].append({"ts": ts("2021-01-25"), "advertiser_id": 105, "company": "Eps"})
+    p = UnconvertedParams(as_of=Q1_AS_OF, optimized_mode="not_in")
+    out = reference_unconverted(build(spark, data), p)
+    assert sorted(tuple(r) for r in out.collect()) == [(103, "Gamma"), (105, "Eps")]
+
+
+def test_q2_require_rows_names_the_empty_signal(spark):
+    from reachset.operators.shape import EmptyAudienceError
+
+    data = q2_data()
+    data["viewjob"] = []
+    with pytest.raises(EmptyAudienceError, match="view"):
+        reference_any_signal(build(spark, data), AnySignalParams(as_of=Q2_AS_OF, require_rows=True))
