@@ -62,7 +62,7 @@ def market_audience(
         aud = combine(alerts.distinct(), accounts.distinct(), key, how="full")
     with_profile = attach(aud)
     filled = fill_defaults(with_profile, {c: v for c, v in defaults.items() if c in with_profile.columns})
-    kept = exclude(filled, employers, key)
+    kept = exclude(filled, restrict_to(employers, aud, on=key), key)
     if not one_row_per_account:
         return kept
     attrs = [c for c in kept.columns if c != key]

@@ -134,7 +134,8 @@ def q_profile_lookup(spark, sf_dir):
 def q_scrub_accounts(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("account_id"))
     employers = employer_accounts(
-        table(spark, sf_dir, "supplier"), "account_id", "s_acctbal", source="s_suppkey"
+        table(spark, sf_dir, "supplier"), "account_id", "s_acctbal", source="s_suppkey",
+        within=customers,
     )
     return exclude(customers, employers, "account_id")
 

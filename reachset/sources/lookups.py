@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.algebra import audience
+from ..operators.algebra import audience, restrict_to
 
 
 def read_jdbc_table(
@@ -64,11 +64,15 @@ def attach_profile(
     left-joined to that on ``link = (primary column, secondary column)``.
     Column maps are ``{output name: stored name}``.
 
-    The reference ships the audience's ids to the database and merges the
-    answer back; joining from the audience does both at once, and the
-    profile tables are only probed for the audience's keys.  ``how="left"``
-    keeps audience keys without a profile (the reference's outer merge);
-    ``how="inner"`` returns only keys that have one (the profile query).
+    As the reference ships the audience's ids to the database, each
+    profile table is first restricted to the keys it needs by a left-semi
+    join in which the *profile table* is the probe side: when the audience
+    is small its keys are broadcast and the (large) profile table is only
+    scanned, never shuffled; when both are large, the restricted rows come
+    out partitioned on the key and the following join needs no exchange.
+    ``how="left"`` keeps audience keys without a profile (the reference's
+    outer merge); ``how="inner"`` returns only keys that have one (the
+    profile query).
     """
     link_cols = [link[0]] if secondary is not None and link else []
     if secondary is not None and not link:
@@ -78,6 +82,7 @@ def attach_profile(
         *[F.col(src).alias(dst) for dst, src in primary_cols.items()],
         *[F.col(c).alias(f"_link_{c}") for c in link_cols],
     ).where(F.col(key).isNotNull())
+    p = restrict_to(p, aud, on=key)
     out = aud.join(p, on=key, how=how)
     if secondary is None:
         return out
@@ -86,16 +91,27 @@ def attach_profile(
         F.col(link[1]).alias(lk),
         *[F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()],
     ).where(F.col(lk).isNotNull())
+    sec = restrict_to(sec, p, on=lk)
     return out.join(sec, on=lk, how="left").drop(lk)
 
 
 def employer_accounts(
-    info: DataFrame, key: str, flag: Column | str, source: str | None = None
+    info: DataFrame,
+    key: str,
+    flag: Column | str,
+    source: str | None = None,
+    within: DataFrame | None = None,
 ) -> DataFrame:
     """Accounts the reference table marks as employers (S5 + F10).
 
     ``flag`` is a column name (kept when not null, as ``advertiser_id``)
-    or a boolean condition.
+    or a boolean condition.  ``within`` (a frame with column ``key``)
+    restricts the lookup to those accounts first -- the reference asks the
+    lookup service about the audience's ids only -- so that a small
+    audience never causes the whole reference table to be shuffled.
     """
     cond = F.col(flag).isNotNull() if isinstance(flag, str) else flag
-    return audience(info.where(cond), key, source=source)
+    flagged = info.where(cond).select(F.col(source or key).alias(key))
+    if within is not None:
+        flagged = restrict_to(flagged, within, on=key)
+    return audience(flagged, key)
