@@ -355,3 +355,17 @@ def test_q2_require_rows_names_the_empty_signal(spark):
     data["viewjob"] = []
     with pytest.raises(EmptyAudienceError, match="view"):
         reference_any_signal(build(spark, data), AnySignalParams(as_of=Q2_AS_OF, require_rows=True))
+
+
+@pytest.mark.parametrize("city,metro", sorted(METRO_PRESETS))
+def test_every_preset_builds_its_predicates(spark, city, metro):
+    pr = preset(city, metro)
+    p = MarketParams(focus=FOCUS, city=city, include_metro=metro, account_days=3, alert_days=2)
+    plan = reference_market(build(spark, {}), p)._jdf.queryExecution().optimizedPlan().toString()
+    if pr.ip_city is None:
+        assert pr.jlmsa in plan and "LeftSemi" in plan
+    else:
+        assert f"= {pr.ip_city})" in plan or f"={pr.ip_city})" in plan
+        assert pr.jlmsa not in plan
+    for region in pr.ip_regions:
+        assert region in plan
