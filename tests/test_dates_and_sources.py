@@ -67,3 +67,14 @@ def test_project_and_literals(spark):
         project(df, drop=("nope",))
     out = with_literals(df, {"firstName": "", "City": "Chicago"}).collect()[0]
     assert (out.firstName, out.City) == ("", "Chicago")
+
+
+def test_declared_driver_schemas_match_files(spark):
+    from pyspark.sql.types import _parse_datatype_string
+
+    from reachset.plans.named import DRIVER_SCHEMAS
+
+    for name, ddl in DRIVER_SCHEMAS.items():
+        stored = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").schema
+        declared = _parse_datatype_string(ddl)
+        assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in declared], name
