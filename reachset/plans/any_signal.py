@@ -127,6 +127,7 @@ class AnySignalParams:
     search_rcv: str = "jsv"
     probe_agent: str = "catchpoint"
     require_rows: bool = False
+    partition_col: str | None = None  # event-date partition column, if any
 
 
 def _kw(col: str, p: AnySignalParams) -> Column:
@@ -149,7 +150,7 @@ def reference_signals(
     lo, hi = window_bounds(p.start, p.focus, p.as_of)
 
     def win(name: str) -> DataFrame:
-        return event_window(tables[name], lo, hi)
+        return event_window(tables[name], lo, hi, partition_col=p.partition_col)
 
     grp_ok = ~F.col("grp").isin(*p.excluded_groups)
 
@@ -202,7 +203,8 @@ def reference_signals(
     ]
     new_accounts = audience(
         event_window(
-            tables["passaccount"], p.new_account_start, p.new_account_end, as_of=p.as_of
+            tables["passaccount"], p.new_account_start, p.new_account_end, as_of=p.as_of,
+            partition_col=p.partition_col,
         ).where((F.col("lang") == p.new_account_lang) & (F.col("accountid") > 0)),
         key,
         source="accountid",

@@ -81,6 +81,7 @@ class MarketParams:
     as_of: dt.date | None = None
     one_row_per_account: bool = False
     country: str = "US"
+    partition_col: str | None = None  # event-date partition column, if any
 
 
 def _location(
@@ -94,14 +95,19 @@ def _location(
 
 
 def metro_cities(
-    searchablejobs: DataFrame, pr: MarketPreset, start: dt.date, end: dt.date, country: str
+    searchablejobs: DataFrame,
+    pr: MarketPreset,
+    start: dt.date,
+    end: dt.date,
+    country: str,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Cities with job postings in the preset's metro area (Q3 step 2).
 
     A small grouped frame (one row per city and admin code), used as the
     build side of a semi-join; AQE broadcasts it when it is small.
     """
-    posts = event_window(searchablejobs, start, end).where(
+    posts = event_window(searchablejobs, start, end, partition_col=partition_col).where(
         (F.col("jobcountry") == country) & (F.col("jlmsa") == pr.jlmsa) & non_empty("jlcity")
     )
     return audience(posts, "jlcity", "jladmin1code")
@@ -121,21 +127,22 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     cities = None
     if pr.ip_city is None:
         cities = metro_cities(
-            tables["searchablejobs"], pr, days_before(focus, p.metro_days), focus, p.country
+            tables["searchablejobs"], pr, days_before(focus, p.metro_days), focus, p.country,
+            p.partition_col,
         )
 
     accounts = None
     if p.account_days > 0:
         lo, hi = window_bounds(days_before(focus, p.account_days), focus)
         signins = _location(
-            event_window(tables["passsigninattempt"], lo, hi).where(
+            event_window(tables["passsigninattempt"], lo, hi, partition_col=p.partition_col).where(
                 F.col("js_ip_country_code") == p.country
             ),
             "ipcity",
             pr,
             cities,
         ).select(id_key("accountId").alias(key))
-        created = event_window(tables["passaccount"], lo, hi).where(
+        created = event_window(tables["passaccount"], lo, hi, partition_col=p.partition_col).where(
             F.col("country") == p.country
         ).select(F.col("accountid").cast("bigint").alias(key))
         accounts = intersect_sources(
@@ -152,7 +159,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     if p.alert_days > 0:
         lo, hi = window_bounds(days_before(focus, p.alert_days), focus)
         found = _location(
-            event_window(tables["jobalertcreation"], lo, hi).where(
+            event_window(tables["jobalertcreation"], lo, hi, partition_col=p.partition_col).where(
                 (F.col("country") == p.country.lower())
                 & F.col("ipRegion").isin(*pr.ip_regions)
                 & (F.col("ipCountry") == p.country)

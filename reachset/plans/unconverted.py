@@ -80,6 +80,7 @@ class UnconvertedParams:
     sponsored_state: str = "spon_active"
     optimized_mode: str = "in"
     require_rows: bool = False
+    partition_col: str | None = None  # event-date partition column, if any
 
 
 def reference_unconverted(
@@ -89,10 +90,13 @@ def reference_unconverted(
     lo, hi = window_bounds(p.start, p.focus, p.as_of)
 
     def win(name: str) -> DataFrame:
-        return event_window(tables[name], lo, hi)
+        return event_window(tables[name], lo, hi, partition_col=p.partition_col)
 
     base = audience(
-        event_window(tables["ravenemail"], p.mail_start, p.mail_focus, as_of=p.as_of).where(
+        event_window(
+            tables["ravenemail"], p.mail_start, p.mail_focus, as_of=p.as_of,
+            partition_col=p.partition_col,
+        ).where(
             (F.col("clientName") == p.client_name) & (F.col("campaign") == p.campaign)
         ),
         "advertiser_id",
@@ -174,7 +178,8 @@ def reference_unconverted(
     )
 
     companies = event_window(
-        tables["dradis_job2"], p.company_start, p.company_end, as_of=p.as_of
+        tables["dradis_job2"], p.company_start, p.company_end, as_of=p.as_of,
+        partition_col=p.partition_col,
     ).select("advertiser_id", "company")
     if p.require_rows:
         for name, part in (("mailed", base), ("optimized", optimized), ("spent", spent)):

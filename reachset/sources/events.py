@@ -49,13 +49,22 @@ def event_window(
     end: str | dt.date,
     ts: str = "ts",
     as_of: dt.date | None = None,
+    partition_col: str | None = None,
 ) -> DataFrame:
     """Rows with ``start <= ts < end`` (S1; half-open, SURVEY §1.4 row 9).
 
     ``start``/``end`` accept the relative forms of :func:`window_bounds`.
+    ``partition_col`` names the table's event-date partition column (a
+    date, or 'yyyy-MM-dd' text); the same range is then also stated on it,
+    so Spark lists and reads only the partitions of the window instead of
+    filtering every file of the table.
     """
     lo, hi = window_bounds(start, end, as_of)
-    return df.where(window_predicate(df, lo, hi, ts))
+    cond = window_predicate(df, lo, hi, ts)
+    if partition_col is not None and partition_col != ts:
+        # bounds are whole days, so the rows of [lo, hi) lie on days lo .. hi-1
+        cond = window_predicate(df, lo, hi, partition_col) & cond
+    return df.where(cond)
 
 
 def window_predicate(df: DataFrame, lo, hi, ts: str = "ts") -> Column:

@@ -78,3 +78,16 @@ def test_declared_driver_schemas_match_files(spark):
         stored = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").schema
         declared = _parse_datatype_string(ddl)
         assert [(f.name, f.dataType) for f in stored] == [(f.name, f.dataType) for f in declared], name
+
+
+def test_window_prunes_date_partitions(spark, tmp_path):
+    path = str(tmp_path / "ev")
+    rows = [
+        (dt.datetime(2021, 2, d, 12), dt.date(2021, 2, d).isoformat(), d) for d in range(1, 17)
+    ]
+    spark.createDataFrame(rows, "ts timestamp_ntz, dt string, k int").write.partitionBy("dt").parquet(path)
+    ev = spark.read.parquet(path)
+    out = event_window(ev, "14d", "0d", as_of=AS_OF, partition_col="dt")
+    assert sorted(r.k for r in out.collect()) == list(range(2, 16))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
