@@ -163,16 +163,69 @@ class Link:
     on: str | None = None
 
 
-def semi_chain(links: Sequence[Link], out: str | None = None) -> DataFrame:
+def semi_join_spread(
+    pairs: DataFrame,
+    keys: DataFrame,
+    on: str,
+    spread_by: str,
+    hot_keys: int = 1000,
+    salts: int | None = None,
+) -> DataFrame:
+    """``pairs ⋉ keys`` on ``on``, safe when one ``on`` value is hot.
+
+    ``keys`` holds distinct values in column ``on`` (a grouping).  A
+    grouped build side is what keeps a hot key there to one row, but it
+    also stops AQE from splitting a skewed *probe* partition (the rule only
+    applies when both join inputs come straight from a shuffle).  So the
+    probe side is protected here, in two steps:
+
+    * ``pairs`` should already be distinct (``on``, ``spread_by``) rows:
+      repeated events of a hot key collapse in the map-side aggregate;
+    * the ``hot_keys`` most frequent ``on`` values (a top-k over a
+      map-side-aggregated count -- at most ``hot_keys`` rows, so the
+      broadcast is bounded by construction) are salted: their probe rows
+      get one of ``salts`` salts from a hash of ``spread_by``, and their
+      build row is replicated once per salt.  Every other key joins with
+      salt 0.  A hot key's rows are thus spread over ``salts`` tasks.
+
+    The result is exact whatever the data: salting changes only where a
+    row is joined.  When AQE finds the salted key set small it broadcasts
+    it and the probe side is not shuffled at all.
+    """
+    spark = pairs.sparkSession
+    n = int(salts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hot = (
+        pairs.groupBy(on)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .orderBy(F.desc("_n"), F.asc(on))
+        .limit(int(hot_keys))
+        .select(on, F.lit(True).alias("_hot"))
+    )
+    hot = F.broadcast(hot)
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(n))).otherwise(F.lit(0))
+    probe = pairs.join(hot, on=on, how="left").withColumn("_salt", salt).drop("_hot")
+    replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    build = keys.join(hot, on=on, how="left").select(on, F.explode(replicas).alias("_salt"))
+    return probe.join(build, on=[on, "_salt"], how="left_semi").drop("_salt")
+
+
+def semi_chain(
+    links: Sequence[Link],
+    out: str | None = None,
+    hot_keys: int = 1000,
+    salts: int | None = None,
+) -> DataFrame:
     """Evaluate nested semi-joins, innermost level first.
 
     Each level keeps the rows whose ``on`` value is among the keys the
-    inner level produced, then hands on its own distinct keys.  The inner
-    key set is the build side of a left-semi join; it is always distinct,
-    so a hot key there is one row.  The probe side is the filtered level
-    itself, shuffled only when AQE cannot broadcast the key set, and then
-    with skewed partitions split.  Returns one column named ``out``
-    (default: the outermost level's key).
+    inner level produced, then hands on its own distinct keys.  Per level:
+    the dataset is reduced to distinct (``on``, ``key``) pairs (map-side
+    partial aggregation collapses repeated events); the inner key set is
+    grouped, so a hot key there is one row; the semi-join itself is
+    :func:`semi_join_spread`, which salts the hottest ``on`` values so that
+    a key holding a third of all rows is split over many tasks
+    (``hot_keys=0`` turns the salting off).  Returns one column named
+    ``out`` (default: the outermost level's key).
     """
     if not links:
         raise ValueError("empty chain")
@@ -184,8 +237,17 @@ def semi_chain(links: Sequence[Link], out: str | None = None) -> DataFrame:
         if link.on is None:
             raise ValueError(f"level keyed by {link.key!r} needs an 'on' column")
         probe = link.df.select(F.col(link.on).alias("_on"), F.col(link.key).alias("_v"))
-        kept = probe.join(current.withColumnRenamed("_k", "_on"), on="_on", how="left_semi")
-        current = _level_keys(kept, "_v", "_k")
+        if isinstance(probe.schema["_v"].dataType, ArrayType):
+            probe = probe.select("_on", F.explode("_v").alias("_v"))
+        pairs = probe.where(F.col("_on").isNotNull() & F.col("_v").isNotNull()).distinct()
+        inner = current.withColumnRenamed("_k", "_on")
+        if link.on == link.key or hot_keys <= 0:
+            # distinct pairs of a column with itself hold each value once:
+            # nothing can be hot, and a plain semi-join is skew-free
+            kept = pairs.join(inner, on="_on", how="left_semi")
+        else:
+            kept = semi_join_spread(pairs, inner, "_on", "_v", hot_keys, salts)
+        current = audience(kept, "_k", source="_v")
     return current.withColumnRenamed("_k", out or links[-1].key)
 
 
@@ -194,4 +256,3 @@ def _level_keys(df: DataFrame, col: str, alias: str) -> DataFrame:
     if isinstance(dtype, ArrayType):
         df = df.select(F.explode(F.col(col)).alias(col))
     return audience(df, alias, source=col)
-
