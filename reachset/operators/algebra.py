@@ -8,8 +8,13 @@ rules that keep these plans sound at scale:
   hot keys collapse in the map-side partial aggregate before any shuffle.
 * Joins between audiences are equi-joins on the key.  Both sides are
   already hash-partitioned on it by their grouping, so a sort-merge join
-  needs no further exchange; AQE turns it into a broadcast join at run time
-  when a side proves small, and splits skewed partitions otherwise.
+  needs no further exchange, and neither side can be skewed (each key is
+  one row); AQE turns the join into a broadcast join at run time when a
+  side proves small.
+* Where one side is raw rows that may be skewed on the join key (the levels
+  of a nested ``IN`` chain), AQE's skew split cannot help -- it needs both
+  join inputs straight from a shuffle, and a grouped side is not -- so
+  :func:`semi_join_spread` salts the hottest keys instead.
 * No key list is collected to the driver; a "key list" is a DataFrame used
   on the right of a semi- or anti-join.
 * Null keys are dropped on entry (SURVEY §1.4 rows 1-2), so null never
@@ -124,7 +129,11 @@ def restrict_to(
     """Rows of ``df`` whose ``on`` value is in ``keys``.
 
     Replaces "collect the ids, paste them into the next query": the key
-    list stays distributed and becomes the right side of a left-semi join.
+    list stays distributed and becomes the (grouped) build side of a
+    left-semi join.  ``df`` is the probe side: a lookup table keyed by
+    ``on``, or any frame when ``keys`` is small enough to be broadcast.  For
+    raw event rows against a large key set use :func:`semi_chain`, which
+    guards against hot keys.
     """
     right = audience(keys, on, source=keys_on)
     return df.join(right, on=on, how="left_semi")
@@ -135,7 +144,8 @@ def combine(left: DataFrame, right: DataFrame, key: str, how: str = "full") -> D
 
     ``how="full"`` keeps keys of either side with one coalesced key column
     (pandas ``merge(how='outer', on=key)``); ``"left"``/``"inner"`` as named.
-    Null keys are removed from both sides first.
+    Rows with a null key are removed from both sides first (audiences never
+    hold one), so null keys never match each other.
     """
     lhs = left.where(F.col(key).isNotNull())
     rhs = right.where(F.col(key).isNotNull())
