@@ -19,6 +19,7 @@ from ..functions.dates import window_bounds
 from ..functions.predicates import all_of, any_of, any_value_in, matches, non_empty
 from ..operators.algebra import Link, audience, exclude, in_all, restrict_to, semi_chain
 from ..operators.shape import cast_key, drop_incomplete, require_rows
+from ..session import cut_lineage
 from ..sources.events import event_window
 
 
@@ -81,6 +82,7 @@ class UnconvertedParams:
     optimized_mode: str = "in"
     require_rows: bool = False
     partition_col: str | None = None  # event-date partition column, if any
+    cut_lineage: bool = False  # materialise the shared inner chain once
 
 
 def reference_unconverted(
@@ -128,6 +130,8 @@ def reference_unconverted(
         on="job_hash",
     )
     shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash")
+    if p.cut_lineage:
+        shared_hashes = cut_lineage(shared_hashes)
 
     def wizard(extra=None) -> Link:
         cond = F.col("edit") == 1

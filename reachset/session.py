@@ -8,11 +8,10 @@ files use :func:`shared_dir`, which always lives under the cluster's
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale.  AQE re-plans joins at run time (broadcast
 # when a materialised side turns out small, splits skewed partitions of
@@ -72,8 +71,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
+    if base.startswith("file:") and "://" not in base:
         base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex}") if "://" not in base else (
-        f"{base}/{name}-{uuid.uuid4().hex}"
-    )
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder and return a frame
+    that reads it back (reliable ``checkpoint``, never a local one).
+
+    For a sub-result that several branches of a long plan reuse: lost
+    executors then cost a re-read, not a recomputation of the whole
+    lineage.  Runs one job.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -369,3 +369,11 @@ def test_every_preset_builds_its_predicates(spark, city, metro):
         assert pr.jlmsa not in plan
     for region in pr.ip_regions:
         assert region in plan
+
+
+def test_q1_with_lineage_cut_gives_same_rows(spark):
+    data = q1_data()
+    p = UnconvertedParams(as_of=Q1_AS_OF, cut_lineage=True)
+    got = sorted(tuple(r) for r in reference_unconverted(build(spark, data), p).collect())
+    p0 = UnconvertedParams(as_of=Q1_AS_OF)
+    assert got == sorted(tuple(r) for r in reference_unconverted(build(spark, data), p0).collect())
