@@ -204,19 +204,20 @@ def semi_join_spread(
     """
     spark = pairs.sparkSession
     n = int(salts or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = (
+    hot = F.broadcast(
         pairs.groupBy(on)
         .agg(F.count(F.lit(1)).alias("_n"))
         .orderBy(F.desc("_n"), F.asc(on))
         .limit(int(hot_keys))
         .select(on, F.lit(True).alias("_hot"))
     )
-    hot = F.broadcast(hot)
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(n))).otherwise(F.lit(0))
-    probe = pairs.join(hot, on=on, how="left").withColumn("_salt", salt).drop("_hot")
+    salt = F.when(
+        F.col("_hot"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(n)).cast("int")
+    ).otherwise(F.lit(0))
+    probe = pairs.join(hot, on=on, how="left").select(*pairs.columns, salt.alias("_salt"))
     replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     build = keys.join(hot, on=on, how="left").select(on, F.explode(replicas).alias("_salt"))
-    return probe.join(build, on=[on, "_salt"], how="left_semi").drop("_salt")
+    return probe.join(build, on=[on, "_salt"], how="left_semi").select(*pairs.columns)
 
 
 def semi_chain(
@@ -242,7 +243,7 @@ def semi_chain(
     first = links[0]
     if first.on is not None:
         raise ValueError("the innermost level has no 'on' column")
-    current = _level_keys(first.df, first.key, "_k")
+    current = _level_keys(first.df, first.key, "_on")
     for link in links[1:]:
         if link.on is None:
             raise ValueError(f"level keyed by {link.key!r} needs an 'on' column")
@@ -250,15 +251,15 @@ def semi_chain(
         if isinstance(probe.schema["_v"].dataType, ArrayType):
             probe = probe.select("_on", F.explode("_v").alias("_v"))
         pairs = probe.where(F.col("_on").isNotNull() & F.col("_v").isNotNull()).distinct()
-        inner = current.withColumnRenamed("_k", "_on")
         if link.on == link.key or hot_keys <= 0:
             # distinct pairs of a column with itself hold each value once:
             # nothing can be hot, and a plain semi-join is skew-free
-            kept = pairs.join(inner, on="_on", how="left_semi")
+            kept = pairs.join(current, on="_on", how="left_semi")
         else:
-            kept = semi_join_spread(pairs, inner, "_on", "_v", hot_keys, salts)
-        current = audience(kept, "_k", source="_v")
-    return current.withColumnRenamed("_k", out or links[-1].key)
+            kept = semi_join_spread(pairs, current, "_on", "_v", hot_keys, salts)
+        # the keys handed outward: non-null already, grouped once
+        current = kept.select(F.col("_v").alias("_on")).distinct()
+    return current.withColumnRenamed("_on", out or links[-1].key)
 
 
 def _level_keys(df: DataFrame, col: str, alias: str) -> DataFrame:
