@@ -105,8 +105,12 @@ def any_signal_audience(
     """
     raw = in_any(signals, key)
     kept = exclude(raw, new_accounts, key)
-    shaped = with_literals(cast_key(kept, key), {"firstName": first_name})
-    return drop_incomplete(shaped)
+    # null checks come before the int32 narrowing: Catalyst pushes filters
+    # down, and a filter holding the narrowing would test rows the
+    # exclusion is about to drop (failing on an excluded out-of-range id)
+    if first_name is None:
+        raise ValueError("first_name must not be null: every row would be incomplete")
+    return with_literals(cast_key(drop_incomplete(kept), key), {"firstName": first_name})
 
 
 @dataclass(frozen=True)

@@ -55,8 +55,9 @@ def unconverted_audience(
         raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
     raw = exclude(kept, spent, key)
     names = audience(restrict_to(companies.select(key, company), raw, on=key), key, company)
-    shaped = cast_key(names, key, out_key)
-    return drop_incomplete(shaped)
+    # drop incomplete rows before narrowing the key, so that the narrowing
+    # never lands in a filter Catalyst pushes below the joins
+    return cast_key(drop_incomplete(names), key, out_key)
 
 
 # The reference's hard-coded query constants, as defaults.

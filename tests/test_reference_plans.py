@@ -377,3 +377,13 @@ def test_q1_with_lineage_cut_gives_same_rows(spark):
     got = sorted(tuple(r) for r in reference_unconverted(build(spark, data), p).collect())
     p0 = UnconvertedParams(as_of=Q1_AS_OF)
     assert got == sorted(tuple(r) for r in reference_unconverted(build(spark, data), p0).collect())
+
+
+def test_excluded_out_of_range_id_does_not_fail(spark):
+    from reachset.plans.any_signal import any_signal_audience
+
+    big = 2**31 + 5
+    signals = [spark.createDataFrame([(1,), (big,)], "accountId bigint")]
+    new = spark.createDataFrame([(big,)], "accountId bigint")
+    out = any_signal_audience(signals, new)
+    assert [tuple(r) for r in out.collect()] == [(1, "")]
