@@ -387,3 +387,111 @@ def test_excluded_out_of_range_id_does_not_fail(spark):
     new = spark.createDataFrame([(big,)], "accountId bigint")
     out = any_signal_audience(signals, new)
     assert [tuple(r) for r in out.collect()] == [(1, "")]
+
+
+# Every predicate of both Q1 chains, one at a time: an advertiser whose
+# optimized chain breaks at exactly one predicate must not come out; one
+# whose spent chain breaks at exactly one predicate must not be excluded.
+OPT_BREAKS = {
+    "event": ("midmarketAdvertiserEligibility", {"event": "OLD"}),
+    "group": ("midmarketAdvertiserEligibility", {"tokenizedGroups": ["other"]}),
+    "window": ("midmarketAdvertiserEligibility", {"ts": ts("2021-01-23 00:00:00")}),
+    "success": ("midmarketAutoclaimNewJob", {"success": 0}),
+    "claimed": ("midmarketAutoclaimNewJob", {"claimedAggJobId": ""}),
+    "age": ("litedradisjob", {"jobagedays": 1}),
+    "edit": ("dradiswizardtiming", {"edit": 0}),
+    "action": ("dradisJobCreateOrUpdate", {"action": "CREATE"}),
+}
+SPENT_BREAKS = {
+    "sponsor_all": ("dradis_job2", {"is_sponsor_all": 1}),
+    "revenue": ("dradis_job2", {"daily_total_revenue_cents": 0}),
+    "dupe": ("searchablejobs", {"dupeStatus": 1}),
+    "level": ("searchablejobs", {"job_visibility_level": "sponsored", "sponVisibility": "off"}),
+    "sheet": ("dradiswizardtiming", {"tosheet": "xsponsor"}),
+}
+
+
+def _advertiser(adv, h, sheet="sponsor_x", break_at=None):
+    rows = _job_chain(adv, h, sheet)
+    rows["ravenemail"] = [
+        {"ts": MAIL, "clientName": "Dradis", "campaign": "smbx_mm_job_live", "advertiser_id": adv}
+    ]
+    rows["dradis_job2"] = [
+        {"ts": IN_WIN, "is_sponsor_all": 0, "daily_total_revenue_cents": 9, "job_hash": h,
+         "agg_job_id_tokenized": ["g" + h], "advertiser_id": adv, "company": f"C{adv}"}
+    ]
+    rows["searchablejobs"] = [
+        {"ts": IN_WIN, "dupeStatus": 0, "job_visibility_level": "jobalert", "agg_job_id": "g" + h,
+         "sourceid___claimedadvertiserid": adv}
+    ]
+    if break_at:
+        table_name, change = break_at
+        rows[table_name] = [{**r, **change} for r in rows[table_name]]
+    return rows
+
+
+def test_q1_every_predicate_matters(spark):
+    parts, keep = [], [101]
+    parts.append(_advertiser(101, "h101", sheet="details"))  # optimized, never spent
+    for i, brk in enumerate(OPT_BREAKS.values()):
+        parts.append(_advertiser(300 + i, f"o{i}", sheet="details", break_at=brk))
+    for i, brk in enumerate(SPENT_BREAKS.values()):
+        parts.append(_advertiser(400 + i, f"s{i}", break_at=brk))
+        keep.append(400 + i)
+    parts.append(_advertiser(500, "spent"))  # mailed, optimized, spent: excluded
+    parts.append(_advertiser(39741782, "x"))  # the excluded advertiser
+    out = reference_unconverted(build(spark, _merge(*parts)), UnconvertedParams(as_of=Q1_AS_OF))
+    assert sorted(r.advertiserId for r in out.collect()) == sorted(keep)
+
+
+Q2_MISSES = {
+    # dataset: list of (changes that must each drop an otherwise matching row)
+    "clickanalytics": [
+        {"job_country_code": "br"}, {"joblanguage": "es"}, {"format": "unknown"},
+        {"account_id": 0}, {"query": "vendas"}, {"ts": ts("2021-02-16 00:00:00")},
+    ],
+    "mobsearch": [
+        {"grp": "privileged"}, {"grp": "spider"}, {"page": 2}, {"rcv": "web"},
+        {"useragent": "catchpoint"}, {"qnorm": "vendas"}, {"country": "BR"}, {"lang": "en"},
+    ],
+    "jobalertcreation": [
+        {"creationGroups": ["privileged", "x"]}, {"alert_country_code": "pt"}, {"lang": "es"},
+        {"q": "vendas"}, {"accountId": "0"}, {"accountId": "abc"},
+    ],
+    "viewjob": [
+        {"grp": "spider"}, {"rcv": "web"}, {"site_country_code": "ar"}, {"lang": "es"},
+        {"job_title_category": "sales"}, {"account_id": -3},
+    ],
+    "jobseekerdata": [
+        {"grps": ["privileged"]}, {"country": "br"}, {"extractedSkills": ["nope"]}, {"accountId": 0},
+    ],
+}
+Q2_BASE = {
+    "clickanalytics": {"ts": T2, "query": "java", "job_country_code": "BR", "joblanguage": "pt",
+                       "format": "web"},
+    "mobsearch": {"ts": T2, "grp": "normal", "page": 1, "rcv": "jsv", "useragent": "m",
+                  "qnorm": "java", "country": "br", "lang": "pt"},
+    "jobalertcreation": {"ts": T2, "creationGroups": ["a"], "alert_country_code": "br", "lang": "pt",
+                         "q": "java"},
+    "viewjob": {"ts": T2, "grp": "normal", "rcv": "jsv", "site_country_code": "br", "lang": "pt",
+                "job_title_category": "techhelp"},
+    "jobseekerdata": {"ts": T2, "grps": ["a"], "country": "BR", "extractedSkills": [TECH_SKILL_IDS[-1]]},
+}
+Q2_KEY = {"clickanalytics": "account_id", "mobsearch": "account_id", "jobalertcreation": "accountId",
+          "viewjob": "account_id", "jobseekerdata": "accountId"}
+
+
+def test_q2_every_predicate_matters(spark):
+    data, want, nxt = {}, set(), 1000
+    for name, misses in Q2_MISSES.items():
+        key = Q2_KEY[name]
+        as_key = str if name == "jobalertcreation" else int
+        data.setdefault(name, []).append({**Q2_BASE[name], key: as_key(nxt)})  # a hit
+        want.add(nxt)
+        nxt += 1
+        for change in misses:
+            row = {**Q2_BASE[name], key: as_key(nxt), **change}
+            data[name].append(row)
+            nxt += 1
+    out = reference_any_signal(build(spark, data), AnySignalParams(as_of=Q2_AS_OF))
+    assert {r.accountId for r in out.collect()} == want
