@@ -495,3 +495,23 @@ def test_q2_every_predicate_matters(spark):
             nxt += 1
     out = reference_any_signal(build(spark, data), AnySignalParams(as_of=Q2_AS_OF))
     assert {r.accountId for r in out.collect()} == want
+
+
+def test_command_line_runs_q2_and_q3(spark, tmp_path):
+    from reachset.run import main
+
+    d2, d3 = tmp_path / "d2", tmp_path / "d3"
+    for folder, rows in ((d2, q2_data()), (d3, q3_data())):
+        for name, df in build(spark, rows).items():
+            df.write.parquet(str(folder / name))
+    out2 = str(tmp_path / "q2")
+    main(["any_signal", "--data", str(d2), "--out", out2, "--as-of", "2021-02-16"], spark=spark)
+    got = spark.read.schema("accountId int, firstName string").json(out2)
+    assert sorted(r.accountId for r in got.collect()) == [1, 3, 6, 8, 9]
+    out3 = str(tmp_path / "q3")
+    main(["market", "--data", str(d3), "--out", out3, "--focus", "2019-12-28", "--city", "Chicago",
+          "--metro", "--alert-days", "2", "--format", "csv"], spark=spark)
+    schema = "accountId bigint, City string, State string, emailAddress string, lastName string, firstName string"
+    rows = spark.read.schema(schema).option("header", "true").csv(out3).collect()
+    assert sorted(r.accountId for r in rows) == [11, 21, 22, 22, 25]
+    assert {r.emailAddress for r in rows if r.accountId == 11} == {"a@x"}
