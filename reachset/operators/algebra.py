@@ -166,11 +166,16 @@ class Link:
             ``GROUP BY``); an array column hands each element.
     ``on``  the column matched against the keys of the level inside it;
             None for the innermost level.
+    ``bounded`` the keys this level hands outward are a small set of known
+            bound -- the keys of a dimension table (regions, nations, a
+            fixed list).  The next level then broadcasts them, which no
+            amount of skew can hurt, instead of salting a shuffled join.
     """
 
     df: DataFrame
     key: str
     on: str | None = None
+    bounded: bool = False
 
 
 def semi_join_spread(
@@ -244,21 +249,26 @@ def semi_chain(
     if first.on is not None:
         raise ValueError("the innermost level has no 'on' column")
     current = _level_keys(first.df, first.key, "_on")
+    inner_bounded = first.bounded
     for link in links[1:]:
         if link.on is None:
             raise ValueError(f"level keyed by {link.key!r} needs an 'on' column")
         probe = link.df.select(F.col(link.on).alias("_on"), F.col(link.key).alias("_v"))
         if isinstance(probe.schema["_v"].dataType, ArrayType):
             probe = probe.select("_on", F.explode("_v").alias("_v"))
-        pairs = probe.where(F.col("_on").isNotNull() & F.col("_v").isNotNull()).distinct()
-        if link.on == link.key or hot_keys <= 0:
+        probe = probe.where(F.col("_on").isNotNull() & F.col("_v").isNotNull())
+        if inner_bounded:
+            # a bounded key set is broadcast: the probe is never shuffled
+            kept = probe.join(F.broadcast(current), on="_on", how="left_semi")
+        elif link.on == link.key or hot_keys <= 0:
             # distinct pairs of a column with itself hold each value once:
             # nothing can be hot, and a plain semi-join is skew-free
-            kept = pairs.join(current, on="_on", how="left_semi")
+            kept = probe.distinct().join(current, on="_on", how="left_semi")
         else:
-            kept = semi_join_spread(pairs, current, "_on", "_v", hot_keys, salts)
+            kept = semi_join_spread(probe.distinct(), current, "_on", "_v", hot_keys, salts)
         # the keys handed outward: non-null already, grouped once
         current = kept.select(F.col("_v").alias("_on")).distinct()
+        inner_bounded = link.bounded
     return current.withColumnRenamed("_on", out or links[-1].key)
 
 

@@ -267,8 +267,9 @@ def q_semi_chain(spark, sf_dir):
     t = lambda n: table(spark, sf_dir, n)
     return semi_chain(
         [
-            Link(t("region").where(F.col("r_name") == "ASIA"), key="r_regionkey"),
-            Link(t("nation"), key="n_nationkey", on="n_regionkey"),
+            # region and nation are dimensions: their key sets are bounded
+            Link(t("region").where(F.col("r_name") == "ASIA"), key="r_regionkey", bounded=True),
+            Link(t("nation"), key="n_nationkey", on="n_regionkey", bounded=True),
             Link(
                 t("customer").where(F.col("c_mktsegment") == "BUILDING"),
                 key="c_custkey",
