@@ -124,19 +124,32 @@ def exclude(df: DataFrame, other: DataFrame, key: str, other_key: str | None = N
 
 
 def restrict_to(
-    df: DataFrame, keys: DataFrame, on: str, keys_on: str | None = None
+    df: DataFrame,
+    keys: DataFrame,
+    on: str,
+    keys_on: str | None = None,
+    spread_by: str | None = None,
+    hot_keys: int = 1000,
+    salts: int | None = None,
 ) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is in ``keys``.
 
     Replaces "collect the ids, paste them into the next query": the key
     list stays distributed and becomes the (grouped) build side of a
     left-semi join.  ``df`` is the probe side: a lookup table keyed by
-    ``on``, or any frame when ``keys`` is small enough to be broadcast.  For
-    raw event rows against a large key set use :func:`semi_chain`, which
-    guards against hot keys.
+    ``on``, or any frame when ``keys`` is small enough to be broadcast.
+
+    With ``spread_by`` (a column of ``df`` that varies within an ``on``
+    value, such as the account id of events keyed by city) the probe may be
+    skewed on ``on``: its rows are first reduced to distinct rows (callers
+    that group afterwards lose nothing) and the hottest ``on`` values are
+    salted by ``spread_by`` (:func:`semi_join_spread`).
     """
     right = audience(keys, on, source=keys_on)
-    return df.join(right, on=on, how="left_semi")
+    if spread_by is None:
+        return df.join(right, on=on, how="left_semi")
+    rows = df.where(F.col(on).isNotNull()).distinct()
+    return semi_join_spread(rows, right, on, spread_by, hot_keys, salts)
 
 
 def combine(left: DataFrame, right: DataFrame, key: str, how: str = "full") -> DataFrame:

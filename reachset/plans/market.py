@@ -85,13 +85,22 @@ class MarketParams:
 
 
 def _location(
-    df: DataFrame, city_col: str, pr: MarketPreset, metro_cities: DataFrame | None
+    df: DataFrame,
+    city_col: str,
+    pr: MarketPreset,
+    metro_cities: DataFrame | None,
+    spread_by: str,
 ) -> DataFrame:
-    """Keep rows in the preset's city, or in any city of its metro list."""
+    """Keep rows in the preset's city, or in any city of its metro list.
+
+    Events are heavily skewed by city (the market's main city holds most of
+    them), so the metro-list semi-join salts hot cities by ``spread_by``;
+    when AQE finds the city list small it is simply broadcast.
+    """
     if pr.ip_city is not None:
         return df.where(F.col(city_col) == pr.ip_city)
     assert metro_cities is not None
-    return restrict_to(df, metro_cities, on=city_col, keys_on="jlcity")
+    return restrict_to(df, metro_cities, on=city_col, keys_on="jlcity", spread_by=spread_by)
 
 
 def metro_cities(
@@ -135,13 +144,14 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     if p.account_days > 0:
         lo, hi = window_bounds(days_before(focus, p.account_days), focus)
         signins = _location(
-            event_window(tables["passsigninattempt"], lo, hi, partition_col=p.partition_col).where(
-                F.col("js_ip_country_code") == p.country
-            ),
+            event_window(tables["passsigninattempt"], lo, hi, partition_col=p.partition_col)
+            .where(F.col("js_ip_country_code") == p.country)
+            .select("ipcity", id_key("accountId").alias(key)),
             "ipcity",
             pr,
             cities,
-        ).select(id_key("accountId").alias(key))
+            spread_by=key,
+        ).select(key)
         created = event_window(tables["passaccount"], lo, hi, partition_col=p.partition_col).where(
             F.col("country") == p.country
         ).select(F.col("accountid").cast("bigint").alias(key))
@@ -159,16 +169,19 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     if p.alert_days > 0:
         lo, hi = window_bounds(days_before(focus, p.alert_days), focus)
         found = _location(
-            event_window(tables["jobalertcreation"], lo, hi, partition_col=p.partition_col).where(
+            event_window(tables["jobalertcreation"], lo, hi, partition_col=p.partition_col)
+            .where(
                 (F.col("country") == p.country.lower())
                 & F.col("ipRegion").isin(*pr.ip_regions)
                 & (F.col("ipCountry") == p.country)
                 & non_empty("accountId")
-            ),
+            )
+            .select(id_key("accountId").alias(key), "ipCity", "ipRegion"),
             "ipCity",
             pr,
             cities,
-        ).select(id_key("accountId").alias(key), "ipCity", "ipRegion")
+            spread_by=key,
+        )
         alerts = audience(found, key, "ipCity", "ipRegion")
 
     def attach(aud: DataFrame) -> DataFrame:
