@@ -54,7 +54,11 @@ def unconverted_audience(
     else:
         raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
     raw = exclude(kept, spent, key)
-    names = audience(restrict_to(companies.select(key, company), raw, on=key), key, company)
+    # One advertiser may own a third of all job rows: group to distinct
+    # (advertiser, company) pairs first -- a handful per advertiser -- and
+    # restrict those.  (Catalyst moves the semi-join below the grouping only
+    # when the audience can be broadcast, i.e. when no shuffle is at risk.)
+    names = restrict_to(audience(companies, key, company), raw, on=key)
     # drop incomplete rows before narrowing the key, so that the narrowing
     # never lands in a filter Catalyst pushes below the joins
     return cast_key(drop_incomplete(names), key, out_key)
