@@ -82,8 +82,12 @@ def attach_profile(
         *[F.col(src).alias(dst) for dst, src in primary_cols.items()],
         *[F.col(c).alias(f"_link_{c}") for c in link_cols],
     ).where(F.col(key).isNotNull())
-    p = restrict_to(p, aud, on=key)
-    out = aud.join(p, on=key, how=how)
+    if how == "inner":
+        # an inner join restricts both ways already; the profile table is
+        # the probe side, so a small audience is broadcast
+        out = aud.join(p, on=key, how="inner")
+    else:
+        out = aud.join(restrict_to(p, aud, on=key), on=key, how=how)
     if secondary is None:
         return out
     lk = f"_link_{link[0]}"
@@ -91,7 +95,7 @@ def attach_profile(
         F.col(link[1]).alias(lk),
         *[F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()],
     ).where(F.col(lk).isNotNull())
-    sec = restrict_to(sec, p, on=lk)
+    sec = restrict_to(sec, out, on=lk)
     return out.join(sec, on=lk, how="left").drop(lk)
 
 
