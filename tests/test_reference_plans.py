@@ -357,11 +357,16 @@ def test_q2_require_rows_names_the_empty_signal(spark):
         reference_any_signal(build(spark, data), AnySignalParams(as_of=Q2_AS_OF, require_rows=True))
 
 
+@pytest.fixture(scope="module")
+def empty_tables(spark):
+    return build(spark, {})
+
+
 @pytest.mark.parametrize("city,metro", sorted(METRO_PRESETS))
-def test_every_preset_builds_its_predicates(spark, city, metro):
+def test_every_preset_builds_its_predicates(empty_tables, city, metro):
     pr = preset(city, metro)
     p = MarketParams(focus=FOCUS, city=city, include_metro=metro, account_days=3, alert_days=2)
-    plan = reference_market(build(spark, {}), p)._jdf.queryExecution().optimizedPlan().toString()
+    plan = reference_market(empty_tables, p)._jdf.queryExecution().optimizedPlan().toString()
     if pr.ip_city is None:
         assert pr.jlmsa in plan and "LeftSemi" in plan
     else:
