@@ -131,6 +131,7 @@ def restrict_to(
     spread_by: str | None = None,
     hot_keys: int = 1000,
     salts: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is in ``keys``.
 
@@ -144,8 +145,14 @@ def restrict_to(
     skewed on ``on``: its rows are first reduced to distinct rows (callers
     that group afterwards lose nothing) and the hottest ``on`` values are
     salted by ``spread_by`` (:func:`semi_join_spread`).
+
+    ``bounded=True`` states that ``keys`` is a small set of known bound (the
+    keys of a dimension table such as regions or nations); it is then
+    broadcast, and ``df`` is never shuffled for this join.
     """
     right = audience(keys, on, source=keys_on)
+    if bounded:
+        return df.join(F.broadcast(right), on=on, how="left_semi")
     if spread_by is None:
         return df.join(right, on=on, how="left_semi")
     rows = df.where(F.col(on).isNotNull()).distinct()

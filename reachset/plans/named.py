@@ -246,14 +246,17 @@ DRIVER_PRESETS = {"Hub A": {"metro": "ASIA", "city": "NATION_2"}}
 def q_preset_filter(spark, sf_dir):
     pr = DRIVER_PRESETS["Hub A"]
     region = table(spark, sf_dir, "region").where(F.col("r_name") == pr["metro"])
+    # region and nation are dimensions of fixed size: their keys are broadcast
     nations = restrict_to(
-        table(spark, sf_dir, "nation"), region, on="n_regionkey", keys_on="r_regionkey"
+        table(spark, sf_dir, "nation"), region, on="n_regionkey", keys_on="r_regionkey",
+        bounded=True,
     )
     customers = restrict_to(
         table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
         nations,
         on="c_nationkey",
         keys_on="n_nationkey",
+        bounded=True,
     )
     return with_literals(customers.select("c_custkey"), {"city": pr["city"]})
 
@@ -462,6 +465,7 @@ def q_market_audience(spark, sf_dir):
         region,
         on="n_regionkey",
         keys_on="r_regionkey",
+        bounded=True,
     )
     buyers = audience(
         t("orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")),
@@ -470,7 +474,8 @@ def q_market_audience(spark, sf_dir):
     )
     located = (
         buyers.join(t("customer").select(F.col("c_custkey").alias(key), "c_nationkey"), key)
-        .join(metro, F.col("c_nationkey") == F.col("n_nationkey"))
+        # the metro's nations: a subset of a fixed-size dimension, broadcast
+        .join(F.broadcast(metro), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(key, F.col("n_name").alias("City"))
     )
     alerts = audience(located, key, "City")
