@@ -46,3 +46,19 @@ def test_bigger_exclusion_never_grows(spark, a, b, extra):
     small = keys(exclude(fa, frame(spark, b), "k"))
     big = keys(exclude(fa, frame(spark, b + extra), "k"))
     assert big <= small
+
+
+pairs_st = st.lists(st.tuples(st.integers(0, 6), st.integers(0, 40)), max_size=60)
+
+
+@SETTINGS
+@given(pairs=pairs_st, inner=st.lists(st.integers(0, 8), max_size=6),
+       hot=st.integers(0, 3), salts=st.integers(1, 5))
+def test_salted_semi_chain_equals_plain_semi_join(spark, pairs, inner, hot, salts):
+    from reachset.operators.algebra import Link, semi_chain
+
+    probe = spark.createDataFrame(pairs, "on bigint, v bigint")
+    keys = frame(spark, inner)
+    out = semi_chain([Link(keys, key="k"), Link(probe, key="v", on="on")], hot_keys=hot, salts=salts)
+    want = {v for o, v in pairs if o in set(inner)}
+    assert {r.v for r in out.collect()} == want
