@@ -520,3 +520,27 @@ def test_command_line_runs_q2_and_q3(spark, tmp_path):
     rows = spark.read.schema(schema).option("header", "true").csv(out3).collect()
     assert sorted(r.accountId for r in rows) == [11, 21, 22, 22, 25]
     assert {r.emailAddress for r in rows if r.accountId == 11} == {"a@x"}
+
+
+def test_q3_alerts_only(spark):
+    p = MarketParams(focus=FOCUS, city="Chicago", include_metro=True, account_days=0, alert_days=2)
+    assert rows(reference_market(build(spark, q3_data()), p)) == [
+        (11, "Chicago", "IL", "a@x", "Doe", "Jane"),
+        (21, "Gary", "IN", "b@x", None, None),
+        (22, "Chicago", "IL", "c@x", "Roe", "Rick"),
+        (22, "Naperville", "IL", "c@x", "Roe", "Rick"),
+        (25, "Chicago", "IL", None, None, None),
+    ]
+
+
+def test_q3_scottsdale_uses_phoenix(spark):
+    data = q3_data()
+    data["jobalertcreation"].append(
+        {"ts": T3, "country": "us", "ipCountry": "US", "ipCity": "Phoenix", "ipRegion": "AZ", "accountId": "31"}
+    )
+    data["jobalertcreation"].append(
+        {"ts": T3, "country": "us", "ipCountry": "US", "ipCity": "Scottsdale", "ipRegion": "AZ", "accountId": "32"}
+    )
+    p = MarketParams(focus=FOCUS, city="Scottsdale", include_metro=True, account_days=0, alert_days=2)
+    got = rows(reference_market(build(spark, data), p))
+    assert got == [(31, "Phoenix", "AZ", None, None, None)]
