@@ -82,11 +82,22 @@ DRIVER_SCHEMAS = {
 }
 
 
+# The driver tables are read-only, so one DataFrame per (session, file) is
+# reused by every query: the file is listed once per session, not once per
+# reference in every query.
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    reader = spark.read
-    if name in DRIVER_SCHEMAS:
-        reader = reader.schema(DRIVER_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    memo = (id(spark), path)
+    hit = _TABLES.get(memo)
+    if hit is None or hit.sparkSession is not spark:
+        reader = spark.read
+        if name in DRIVER_SCHEMAS:
+            reader = reader.schema(DRIVER_SCHEMAS[name])
+        _TABLES[memo] = reader.parquet(path)
+    return _TABLES[memo]
 
 
 def _d(s: str) -> dt.date:
