@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
-from ..functions.dates import date_text, window_bounds
+from ..functions.dates import date_text, typed_bound, window_bounds
 from ..functions.predicates import (
     all_of,
     any_of,
@@ -104,6 +105,11 @@ def _d(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
+def _since(col: str, day: str):
+    """``col >= day`` for a timestamp_ntz column, as a pushable literal."""
+    return F.col(col) >= typed_bound(_d(day), TimestampNTZType())
+
+
 def _events(spark, sf_dir, kind: str, start: str | None = None, end: str | None = None):
     ev = table(spark, sf_dir, "events")
     if start is not None:
@@ -309,7 +315,7 @@ def q_semi_chain(spark, sf_dir):
 
 def q_semi_keys(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+        (F.col("o_orderstatus") == "F") & _since("o_orderdate", "2001-01-01")
     )
     customers = table(spark, sf_dir, "customer").select("c_name", "c_custkey")
     return dedupe(restrict_to(customers, orders, on="c_custkey", keys_on="o_custkey"))
@@ -343,7 +349,7 @@ def q_union_audiences(spark, sf_dir):
             ),
             od.where(
                 (F.col("o_orderpriority") == "1-URGENT")
-                & (F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+                & _since("o_orderdate", "2001-01-01")
             ).select(F.col("o_custkey").alias(key)),
             cu.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias(key)),
         ],
@@ -425,7 +431,7 @@ def q_code_filter(spark, sf_dir):
 
 def q_date_text(spark, sf_dir):
     od = table(spark, sf_dir, "orders").where(
-        F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")
+        _since("o_orderdate", "2001-01-01")
     )
     return od.select("o_orderkey", date_text("o_orderdate").alias("day"))
 
@@ -479,7 +485,7 @@ def q_market_audience(spark, sf_dir):
         bounded=True,
     )
     buyers = audience(
-        t("orders").where(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")),
+        t("orders").where(_since("o_orderdate", "2001-01-01")),
         key,
         source="o_custkey",
     )
