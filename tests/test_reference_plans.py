@@ -544,3 +544,12 @@ def test_q3_scottsdale_uses_phoenix(spark):
     p = MarketParams(focus=FOCUS, city="Scottsdale", include_metro=True, account_days=0, alert_days=2)
     got = rows(reference_market(build(spark, data), p))
     assert got == [(31, "Phoenix", "AZ", None, None, None)]
+
+
+def test_presets_frame(spark):
+    from reachset.plans.presets import presets_frame
+
+    df = presets_frame(spark)
+    assert df.count() == 26
+    row = df.where("city = 'Boston' and include_metro").collect()[0]
+    assert (row.ip_city, row.ip_regions, row.state) == (None, ["MA", "NH"], "MA")
