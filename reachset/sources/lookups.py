@@ -91,10 +91,20 @@ def attach_profile(
     if secondary is None:
         return out
     lk = f"_link_{link[0]}"
-    sec = secondary.select(
-        F.col(link[1]).alias(lk),
-        *[F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()],
-    ).where(F.col(lk).isNotNull())
+    sec_cols = [F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()]
+    if link[0] == primary_key:
+        # The secondary table is keyed like the audience (names by account
+        # id): join it on the audience key, which both sides are already
+        # partitioned by, instead of re-shuffling on the link column.  The
+        # extra condition keeps the reference's rule that names attach only
+        # to rows that found a primary row.
+        sec = secondary.select(F.col(link[1]).alias("_sk"), *sec_cols).where(
+            F.col("_sk").isNotNull()
+        )
+        sec = restrict_to(sec, aud.select(F.col(key).alias("_sk")), on="_sk")
+        cond = (out[key] == sec["_sk"]) & out[lk].isNotNull()
+        return out.join(sec, cond, how="left").drop("_sk", lk)
+    sec = secondary.select(F.col(link[1]).alias(lk), *sec_cols).where(F.col(lk).isNotNull())
     sec = restrict_to(sec, out, on=lk)
     return out.join(sec, on=lk, how="left").drop(lk)
 

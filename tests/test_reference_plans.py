@@ -553,3 +553,23 @@ def test_presets_frame(spark):
     assert df.count() == 26
     row = df.where("city = 'Boston' and include_metro").collect()[0]
     assert (row.ip_city, row.ip_regions, row.state) == (None, ["MA", "NH"], "MA")
+
+
+def test_names_attach_only_to_rows_with_an_email(spark):
+    from reachset.sources.lookups import attach_profile
+
+    aud = spark.createDataFrame([(1,), (2,), (3,)], "accountId bigint")
+    email = spark.createDataFrame([(1, "a@x"), (3, "c@x"), (3, "c2@x")], "id bigint, emailAddress string")
+    names = spark.createDataFrame(
+        [(1, "Doe", "Jane"), (2, "Roe", "Rick"), (2, "Roe", "R.")],
+        "account_id bigint, family_name string, given_name string",
+    )
+    out = attach_profile(aud, "accountId", email, "id", {"emailAddress": "emailAddress"},
+                         names, ("id", "account_id"), {"lastName": "family_name", "firstName": "given_name"})
+    got = [tuple(r) for r in out.select("accountId", "emailAddress", "lastName", "firstName").collect()]
+    assert sorted(got, key=lambda r: (r[0], r[1] or "")) == [
+        (1, "a@x", "Doe", "Jane"),
+        (2, None, None, None),
+        (3, "c2@x", None, None),
+        (3, "c@x", None, None),
+    ]
