@@ -56,16 +56,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ...) and is used as is.  Only where it is unset -- local runs and tests --
     a private directory is created and registered.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client has no SparkContext
+        sc = None
+    current = (sc.getCheckpointDir() if sc else None) or spark.conf.get(
+        "spark.checkpoint.dir", None
+    )
     if current:
-        if not sc.getCheckpointDir():
+        if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="reachset-ckpt-")
-    sc.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
-    return sc.getCheckpointDir().rstrip("/")
+    if sc:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir().rstrip("/")
+    return local
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
