@@ -16,20 +16,40 @@ PII_COLUMNS = ("emailAddress",)
 
 
 def write_campaign_json(
-    df: DataFrame, path: str, mode: str = "errorifexists", drop_pii: bool = True
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    drop_pii: bool = True,
+    max_records_per_file: int | None = None,
 ) -> None:
+    """One JSON object per recipient, every field present; e-mail dropped.
+
+    ``max_records_per_file`` caps file size for downstream senders that
+    read files whole; the write stays parallel either way.
+    """
     out = df.drop(*[c for c in PII_COLUMNS if c in df.columns]) if drop_pii else df
-    out.write.mode(mode).option("ignoreNullFields", "false").json(path)
+    writer = out.write.mode(mode).option("ignoreNullFields", "false")
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
+    writer.json(path)
 
 
-def write_campaign_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    (
+def write_campaign_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    max_records_per_file: int | None = None,
+) -> None:
+    """CSV with a header; '' is written as ``""`` and null as nothing."""
+    writer = (
         df.write.mode(mode)
         .option("header", "true")
         .option("emptyValue", '""')
         .option("nullValue", "")
-        .csv(path)
     )
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
+    writer.csv(path)
 
 
 def read_campaign_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
