@@ -129,3 +129,24 @@ def employer_accounts(
     if within is not None:
         flagged = restrict_to(flagged, within, on=key)
     return audience(flagged, key)
+
+
+def write_bucketed_lookup(
+    df: DataFrame, table: str, key: str, buckets: int, path: str, mode: str = "overwrite"
+) -> DataFrame:
+    """Store an account-keyed lookup table bucketed (and sorted) by ``key``.
+
+    Every market run joins the e-mail, name and advertiser tables by account
+    id; read back as a bucketed table, their side of those joins is already
+    hash-partitioned, so only the (smaller) audience side is shuffled.
+    ``path`` should be in the shared storage; the table is registered in the
+    session catalog under ``table``.
+    """
+    (
+        df.write.mode(mode)
+        .bucketBy(int(buckets), key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)

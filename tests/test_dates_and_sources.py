@@ -91,3 +91,29 @@ def test_window_prunes_date_partitions(spark, tmp_path):
     assert sorted(r.k for r in out.collect()) == list(range(2, 16))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_bucketed_lookup_is_not_shuffled(spark, tmp_path):
+    from reachset.operators.algebra import audience
+    from reachset.sources.lookups import attach_profile, write_bucketed_lookup
+
+    email = spark.range(0, 2000).select(
+        F.col("id"), F.concat(F.lit("u"), F.col("id").cast("string"), F.lit("@x")).alias("emailAddress")
+    )
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = write_bucketed_lookup(email, "email_bucketed", "id", n, str(tmp_path / "email"))
+        aud = audience(spark.range(0, 5000, 7).select(F.col("id").alias("accountId")), "accountId")
+        out = attach_profile(aud, "accountId", table, "id", {"emailAddress": "emailAddress"}, how="inner")
+        assert out.count() == len(range(0, 2000, 7))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan
+        # the lookup table's scan is not followed by an exchange
+        assert "Exchange hashpartitioning(id" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.sql("drop table if exists email_bucketed")
