@@ -40,6 +40,8 @@ def build_session(
     conf = dict(SCALE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
+    # local runs: keep catalog files out of the working directory
+    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="reachset-warehouse-"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
