@@ -50,3 +50,27 @@ def test_intersection_by_counts_is_one_shuffle(spark):
     p = plan(E.queries()["intersect_sources"](spark, SF))
     assert p.count("Exchange hashpartitioning") == 1
     assert "Join" not in p
+
+
+def test_any_signal_at_scale_is_two_shuffles(spark):
+    keys = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = E.queries()["any_signal_audience"](spark, SF)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # all signals grouped once, new accounts grouped once; the anti-join
+        # reuses both partitionings
+        assert final.count("Exchange hashpartitioning") == 2
+        assert "SortMergeJoin" in final and "LeftAnti" in final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
