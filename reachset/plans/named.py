@@ -170,6 +170,7 @@ def q_profile_lookup(spark, sf_dir):
         link=("c_nationkey", "n_nationkey"),
         secondary_cols={"home": "n_name"},
         how="inner",
+        secondary_bounded=True,  # nation: a fixed-size dimension
     )
 
 

@@ -56,6 +56,7 @@ def attach_profile(
     link: tuple[str, str] | None = None,
     secondary_cols: Mapping[str, str] | None = None,
     how: str = "left",
+    secondary_bounded: bool = False,
 ) -> DataFrame:
     """Attach profile attributes to an audience (S4 with the left join J6).
 
@@ -72,7 +73,9 @@ def attach_profile(
     out partitioned on the key and the following join needs no exchange.
     ``how="left"`` keeps audience keys without a profile (the reference's
     outer merge); ``how="inner"`` returns only keys that have one (the
-    profile query).
+    profile query).  ``secondary_bounded=True`` states that the secondary
+    table is a small dimension of fixed size (nations, regions): it is then
+    broadcast as it is, with no restriction step.
     """
     link_cols = [link[0]] if secondary is not None and link else []
     if secondary is not None and not link:
@@ -92,6 +95,9 @@ def attach_profile(
         return out
     lk = f"_link_{link[0]}"
     sec_cols = [F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()]
+    if secondary_bounded:
+        sec = secondary.select(F.col(link[1]).alias(lk), *sec_cols).where(F.col(lk).isNotNull())
+        return out.join(F.broadcast(sec), on=lk, how="left").drop(lk)
     if link[0] == primary_key:
         # The secondary table is keyed like the audience (names by account
         # id): join it on the audience key, which both sides are already
