@@ -195,8 +195,12 @@ def any_value_in(c: ColumnOrName, values: Iterable) -> Column:
 
 
 def none_value_is(c: ColumnOrName, value) -> Column:
-    """Multi-valued ``!=``: no element equals ``value`` (F2 on arrays)."""
-    return ~F.array_contains(_c(c), F.lit(value))
+    """Multi-valued ``!=``: no element equals ``value`` (F2 on arrays).
+
+    A missing (null) list has no elements, so it passes -- as an event whose
+    multi-valued field is absent does in the event store.
+    """
+    return ~F.coalesce(F.array_contains(_c(c), F.lit(value)), F.lit(False))
 
 
 # --------------------------------------------------------------------------

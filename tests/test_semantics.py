@@ -201,3 +201,13 @@ def test_in_all_and_audience(spark):
     b = keys(spark, [2, 3, 3, 4])
     assert col_values(audience(a, "k"), "k") == [1, 2, 3]
     assert col_values(in_all([a, b], "k"), "k") == [2, 3]
+
+
+def test_multivalued_predicates_on_missing_lists(spark):
+    from reachset.functions.predicates import any_value_in, none_value_is
+
+    df = spark.createDataFrame(
+        [(1, ["a", "privileged"]), (2, ["a"]), (3, []), (4, None)], "k int, g array<string>"
+    )
+    assert sorted(r.k for r in df.where(none_value_is("g", "privileged")).collect()) == [2, 3, 4]
+    assert sorted(r.k for r in df.where(any_value_in("g", ["a", "z"])).collect()) == [1, 2]
