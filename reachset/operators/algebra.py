@@ -23,10 +23,10 @@ rules that keep these plans sound at scale:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -81,6 +81,21 @@ def distinct_count(df: DataFrame, by: str | Sequence[str], key: str, alias: str)
     return df.groupBy(*by).agg(F.count_distinct(F.col(key)).alias(alias))
 
 
+def signal_flags(df: DataFrame, key: str, signals: Mapping[str, Column], source: str | None = None) -> DataFrame:
+    """Per key, whether each named signal occurred: one scan, one shuffle.
+
+    When several audiences come from the same dataset (views, clicks and
+    purchases of one event table), scanning it once and grouping by key
+    with one boolean ``bool_or`` per signal replaces a scan, a grouping and
+    a join per audience.  Partial aggregation keeps it skew-safe.  Combine
+    the flag columns with ``&``, ``|`` and ``~`` for intersection, union and
+    exclusion.  ``df`` must already be restricted to rows any signal needs.
+    """
+    col = F.col(source or key)
+    aggs = [F.bool_or(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in signals.items()]
+    return df.where(col.isNotNull()).groupBy(col.alias(key)).agg(*aggs)
+
+
 def in_all(audiences: Sequence[DataFrame], key: str) -> DataFrame:
     """Keys present in every audience: intersection.
 

@@ -36,6 +36,7 @@ from ..operators.algebra import (
     in_any,
     restrict_to,
     semi_chain,
+    signal_flags,
 )
 from ..operators.shape import (
     cast_key,
@@ -46,7 +47,7 @@ from ..operators.shape import (
     with_literals,
 )
 from ..session import shared_dir
-from ..sources.events import event_window, intersect_sources, union_sources
+from ..sources.events import event_window, intersect_sources, union_sources, window_predicate
 from ..sources.lookups import attach_profile, employer_accounts
 from ..sources.sinks import (
     read_campaign_csv,
@@ -56,7 +57,7 @@ from ..sources.sinks import (
 )
 from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
-from .unconverted import unconverted_audience
+from .unconverted import with_company
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -443,14 +444,27 @@ def q_date_text(spark, sf_dir):
 
 
 def q_unconverted_audience(spark, sf_dir):
+    # All three audiences come from the one events table: scan it once over
+    # the union of their windows and flag, per user, which signals occurred
+    # (one scan, one grouping) instead of three scans, groupings and joins.
     key = "user_id"
-    base = audience(_events(spark, sf_dir, "view", "2024-01-15", "2024-01-31"), key)
-    opt = audience(_events(spark, sf_dir, "click", "2024-01-15", "2024-01-31"), key)
-    spent = audience(_events(spark, sf_dir, "purchase", "2024-01-28", "2024-01-30"), key)
+    ev = event_window(table(spark, sf_dir, "events"), _d("2024-01-15"), _d("2024-01-31"))
+    kind = F.col("event_type")
+    flags = signal_flags(
+        ev.where(kind.isin("view", "click", "purchase")),
+        key,
+        {
+            "base": kind == "view",
+            "optimized": kind == "click",
+            "spent": (kind == "purchase")
+            & window_predicate(ev, _d("2024-01-28"), _d("2024-01-30"), "ts"),
+        },
+    )
+    raw = flags.where(F.col("base") & F.col("optimized") & ~F.col("spent")).select(key)
     companies = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias(key), F.col("c_name").alias("company")
     )
-    return unconverted_audience(base, opt, spent, companies, key=key)
+    return with_company(raw, companies, key=key)
 
 
 def q_any_signal_audience(spark, sf_dir):
@@ -458,12 +472,13 @@ def q_any_signal_audience(spark, sf_dir):
     od = table(spark, sf_dir, "orders")
     cu = table(spark, sf_dir, "customer")
     k = "accountId"
+    kind = F.col("event_type")
     signals = [
-        ev.where((F.col("event_type") == "click") & (F.col("value") > 20) & (F.col("user_id") > 0))
-        .select(F.col("user_id").alias(k)),
-        ev.where((F.col("event_type") == "view") & (F.col("user_id") > 0)).select(
-            F.col("user_id").alias(k)
-        ),
+        # the two event signals share one scan of the events table
+        ev.where(
+            any_of((kind == "click") & (F.col("value") > 20), kind == "view")
+            & (F.col("user_id") > 0)
+        ).select(F.col("user_id").alias(k)),
         od.where(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_custkey") > 0))
         .select(F.col("o_custkey").alias(k)),
         cu.where((F.col("c_mktsegment") == "BUILDING") & (F.col("c_custkey") > 0)).select(

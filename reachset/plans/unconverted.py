@@ -38,6 +38,24 @@ def unconverted_audience(
     ``optimized_mode="in"`` is the reference's audience 1 (optimized, did
     not spend); ``"not_in"`` is its audience 2 (neither), the same algebra
     with an exclusion in place of the intersection.
+    """
+    if optimized_mode == "in":
+        kept = in_all([base, optimized], key)
+    elif optimized_mode == "not_in":
+        kept = exclude(audience(base, key), optimized, key)
+    else:
+        raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
+    return with_company(exclude(kept, spent, key), companies, key, company, out_key)
+
+
+def with_company(
+    raw: DataFrame,
+    companies: DataFrame,
+    key: str = "advertiser_id",
+    company: str = "company",
+    out_key: str = "advertiserId",
+) -> DataFrame:
+    """Attach company names to an audience of distinct keys; narrow the key.
 
     ``companies`` holds (key, company) rows; it is restricted to the
     audience's keys by a semi-join (the reference's second round trip with
@@ -47,13 +65,6 @@ def unconverted_audience(
     holds audience keys and the audience keys are distinct, that is the
     answer itself -- no second join is needed.
     """
-    if optimized_mode == "in":
-        kept = in_all([base, optimized], key)
-    elif optimized_mode == "not_in":
-        kept = exclude(audience(base, key), optimized, key)
-    else:
-        raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
-    raw = exclude(kept, spent, key)
     # One advertiser may own a third of all job rows: group to distinct
     # (advertiser, company) pairs first -- a handful per advertiser -- and
     # restrict those.  (Catalyst moves the semi-join below the grouping only

@@ -37,8 +37,15 @@ def test_windows_reach_the_scan(spark):
     p = plan(E.queries()["unconverted_audience"](spark, SF))
     assert "GreaterThanOrEqual(ts,2024-01-15T00:00)" in p
     assert "LessThan(ts,2024-01-31T00:00)" in p
-    assert "LeftAnti" in p and "LeftSemi" in p
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string>" in p
+    # three audiences of one table: one scan of it, flagged per user
+    assert p.count("events.parquet") == 1 and "partial_max" in p  # bool_or runs as max
+    assert "LeftSemi" in p  # companies restricted to the audience
+
+
+def test_anti_join_for_exclusion(spark):
+    p = plan(E.queries()["anti_audience"](spark, SF))
+    assert "LeftAnti" in p
 
 
 def test_union_is_one_grouping(spark):

@@ -211,3 +211,17 @@ def test_multivalued_predicates_on_missing_lists(spark):
     )
     assert sorted(r.k for r in df.where(none_value_is("g", "privileged")).collect()) == [2, 3, 4]
     assert sorted(r.k for r in df.where(any_value_in("g", ["a", "z"])).collect()) == [1, 2]
+
+
+def test_signal_flags_single_pass(spark):
+    from reachset.operators.algebra import signal_flags
+
+    df = spark.createDataFrame(
+        [(1, "view", 5.0), (1, "click", None), (2, "view", 1.0), (3, "buy", 9.0), (None, "view", 1.0)],
+        "u bigint, t string, v double",
+    )
+    flags = signal_flags(df, "u", {"viewed": F.col("t") == "view", "big": F.col("v") > 4})
+    got = sorted(tuple(r) for r in flags.collect())
+    assert got == [(1, True, True), (2, True, False), (3, False, True)]
+    both = flags.where(F.col("viewed") & ~F.col("big")).select("u")
+    assert [r.u for r in both.collect()] == [2]
