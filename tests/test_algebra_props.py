@@ -62,3 +62,22 @@ def test_salted_semi_chain_equals_plain_semi_join(spark, pairs, inner, hot, salt
     out = semi_chain([Link(keys, key="k"), Link(probe, key="v", on="on")], hot_keys=hot, salts=salts)
     want = {v for o, v in pairs if o in set(inner)}
     assert {r.v for r in out.collect()} == want
+
+
+events_st = st.lists(st.tuples(st.integers(0, 12), st.sampled_from(["view", "click", "buy"])), max_size=40)
+
+
+@SETTINGS
+@given(rows=events_st)
+def test_signal_flags_equal_separate_audiences(spark, rows):
+    from pyspark.sql import functions as F
+
+    from reachset.operators.algebra import signal_flags
+
+    ev = spark.createDataFrame(rows, "k bigint, t string")
+    kind = F.col("t")
+    flags = signal_flags(ev, "k", {"v": kind == "view", "c": kind == "click", "b": kind == "buy"})
+    one_pass = keys(flags.where(F.col("v") & F.col("c") & ~F.col("b")).select("k"))
+    views, clicks, buys = (ev.where(kind == x).select("k") for x in ("view", "click", "buy"))
+    separate = keys(exclude(in_all([views, clicks], "k"), buys, "k"))
+    assert one_pass == separate
