@@ -81,7 +81,9 @@ def distinct_count(df: DataFrame, by: str | Sequence[str], key: str, alias: str)
     return df.groupBy(*by).agg(F.count_distinct(F.col(key)).alias(alias))
 
 
-def signal_flags(df: DataFrame, key: str, signals: Mapping[str, Column], source: str | None = None) -> DataFrame:
+def signal_flags(
+    df: DataFrame, key: str, signals: Mapping[str, Column], source: str | None = None
+) -> DataFrame:
     """Per key, whether each named signal occurred: one scan, one shuffle.
 
     When several audiences come from the same dataset (views, clicks and
@@ -92,7 +94,9 @@ def signal_flags(df: DataFrame, key: str, signals: Mapping[str, Column], source:
     exclusion.  ``df`` must already be restricted to rows any signal needs.
     """
     col = F.col(source or key)
-    aggs = [F.bool_or(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in signals.items()]
+    aggs = [
+        F.bool_or(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in signals.items()
+    ]
     return df.where(col.isNotNull()).groupBy(col.alias(key)).agg(*aggs)
 
 

@@ -61,7 +61,8 @@ def market_audience(
         # reference's drop_duplicates after its outer merge needs no shuffle.
         aud = combine(alerts.distinct(), accounts.distinct(), key, how="full")
     with_profile = attach(aud)
-    filled = fill_defaults(with_profile, {c: v for c, v in defaults.items() if c in with_profile.columns})
+    present = {c: v for c, v in defaults.items() if c in with_profile.columns}
+    filled = fill_defaults(with_profile, present)
     kept = exclude(filled, restrict_to(employers, aud, on=key), key)
     if not one_row_per_account:
         return kept
