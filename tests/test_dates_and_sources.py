@@ -117,3 +117,12 @@ def test_bucketed_lookup_is_not_shuffled(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
         spark.sql("drop table if exists email_bucketed")
+
+
+def test_read_dataset_with_declared_schema_and_list_union(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k bigint, s string").write.parquet(path)
+    df = read_dataset(spark, path, schema="k bigint, s string")
+    assert df.schema.simpleString() == "struct<k:bigint,s:string>"
+    both = union_sources([df, df.where(F.col("k") == 2)], where=F.col("k") > 1)
+    assert sorted(r.k for r in both.collect()) == [2, 2]
