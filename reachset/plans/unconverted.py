@@ -99,6 +99,7 @@ class UnconvertedParams:
     require_rows: bool = False
     partition_col: str | None = None  # event-date partition column, if any
     cut_lineage: bool = False  # materialise the shared inner chain once
+    hot_keys: int = 1000  # most frequent keys per chain level that get salted; 0 = off
 
 
 def reference_unconverted(
@@ -145,7 +146,7 @@ def reference_unconverted(
         key="job_hash",
         on="job_hash",
     )
-    shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash")
+    shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash", hot_keys=p.hot_keys)
     if p.cut_lineage:
         shared_hashes = cut_lineage(shared_hashes)
 
@@ -164,7 +165,8 @@ def reference_unconverted(
             Link(shared_hashes, key="job_hash"),
             wizard(),
             Link(updates, key="advertiser_id", on="job_hash"),
-        ]
+        ],
+        hot_keys=p.hot_keys,
     )
 
     spent = semi_chain(
@@ -195,6 +197,7 @@ def reference_unconverted(
             ),
         ],
         out="advertiser_id",
+        hot_keys=p.hot_keys,
     )
 
     companies = event_window(

@@ -573,3 +573,10 @@ def test_names_attach_only_to_rows_with_an_email(spark):
         (3, "c2@x", None, None),
         (3, "c@x", None, None),
     ]
+
+
+def test_q1_same_rows_without_salting(spark):
+    data = q1_data()
+    salted = reference_unconverted(build(spark, data), UnconvertedParams(as_of=Q1_AS_OF))
+    plain = reference_unconverted(build(spark, data), UnconvertedParams(as_of=Q1_AS_OF, hot_keys=0))
+    assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
