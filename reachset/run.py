@@ -66,6 +66,7 @@ def parser() -> argparse.ArgumentParser:
     q1.add_argument("--mail-start", default="2d")
     q1.add_argument("--mail-focus", default="1d")
     q1.add_argument("--neither", action="store_true", help="audience 2: not optimized either")
+    q1.add_argument("--hot-keys", type=int, default=1000, help="keys salted per chain level (0: off)")
 
     q2 = sub.add_parser("any_signal", help="any tech-interest signal, not new (Q2)")
     common(q2)
@@ -101,7 +102,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         p = UnconvertedParams(
             start=args.start, focus=args.focus, mail_start=args.mail_start,
             mail_focus=args.mail_focus, as_of=as_of, partition_col=part,
-            optimized_mode="not_in" if args.neither else "in",
+            optimized_mode="not_in" if args.neither else "in", hot_keys=args.hot_keys,
         )
         out = reference_unconverted(tables, p)
         write_campaign_json(out, args.out, mode=args.mode)
