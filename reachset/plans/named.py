@@ -1,8 +1,13 @@
 """Named queries over the driver tables (FIXTURES §C).
 
 Each query exercises one or more library operators on the TPC-H-style
-tables and the ``events`` table, over the whole tables.  ``SQL`` holds the
-equivalent DuckDB text for every query; column names agree one to one.
+tables and the ``events`` table, over the whole tables.  ``oracle_sql.SQL``
+holds the equivalent DuckDB text for every query; column names agree one to
+one.  The operator demos (``inner_audience``, ``anti_audience``, ...) use
+the operator they are named after; the three plans use the cheapest
+composition: audiences drawn from the one events table are flagged in a
+single pass (``signal_flags``), dimension tables (region, nation) are
+broadcast as bounded sets.
 """
 
 from __future__ import annotations
