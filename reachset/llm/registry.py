@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, sharding, url_filter
+from . import exact_dedup, language_id, mixing, packing, sharding, token_output, url_filter
 
 QUERIES = {
+    "op1_simple8b_tokens": token_output.op1_simple8b_tokens,
+    "op2_cube_mixing": mixing.op2_cube_mixing,
     "op3_sampled_splitters": sharding.op3_sampled_splitters,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 SQL = {
