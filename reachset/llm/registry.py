@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, language_id, mixing, packing, sharding, token_output, url_filter
+from . import (
+    exact_dedup,
+    fingerprints,
+    jaccard_join,
+    language_id,
+    mixing,
+    packing,
+    sharding,
+    token_output,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
     "op1_simple8b_tokens": token_output.op1_simple8b_tokens,
@@ -10,8 +21,11 @@ QUERIES = {
     "op3_sampled_splitters": sharding.op3_sampled_splitters,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_url_filter": url_filter.op5_url_filter,
+    "op6_zstd_toxicity": toxicity.op6_zstd_toxicity,
+    "op7_ngram_jaccard_join": jaccard_join.op7_ngram_jaccard_join,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_language_id": language_id.op9_language_id,
+    "op10_i_match": fingerprints.op10_i_match,
 }
 
 SQL = {
