@@ -6,9 +6,9 @@ Documents are encoded where they lie and cut into pieces of at most
 
 1. items and gaps are sorted by size together, an item before a gap of the
    same size.  The order is by ranges: a class is one size, one kind and one
-   of ``salts`` hash slices, rows are ranked inside their class, and a table
-   of class counts (bounded by capacity and salts, whatever the corpus)
-   gives what stands before each class;
+   of ``salts`` hash slices, rows are ranked inside their class, and the
+   table of class counts (bounded by capacity and salts, whatever the corpus;
+   the only thing that reaches the driver) gives what stands before each;
 2. ascending, an item opens a level and a gap closes one, so a gap meets the
    largest item that fits and is not taken by a smaller gap.  An item and
    the gap that follows it on the same level match; competing gaps and items
@@ -67,43 +67,44 @@ def cut_pieces(
     ).select("doc_id", F.col("pos").alias("piece"), "col.*")
 
 
-def _ranked(events: DataFrame, salts: int) -> DataFrame:
-    """Each event with its place in its class and what stands before the class:
-    ``level`` (items less gaps) and ``volume`` (sum of sizes)."""
-    sliced = events.withColumn("salt", F.pmod(F.xxhash64("id", "kind"), F.lit(salts)))
-    counts = sliced.groupBy("size", "kind", "salt").agg(F.count(F.lit(1)).alias("n"))
-    classes = counts.groupBy("size", "kind").agg(F.sum("n").alias("n"))
-    step = F.when(F.col("kind") == ITEM, F.col("n")).otherwise(-F.col("n"))
-    before = Window.orderBy("size", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    classes = classes.select(  # at most two rows for each size up to the capacity
-        "size",
-        "kind",
-        F.coalesce(F.sum(step).over(before), F.lit(0)).alias("class_level"),
-        F.coalesce(F.sum(F.col("size") * F.col("n")).over(before), F.lit(0)).alias("class_volume"),
-    )
-    earlier = Window.partitionBy("size", "kind").orderBy("salt").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    starts = counts.withColumn("skip", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
-        F.broadcast(classes), ["size", "kind"]
+def class_counts(events: DataFrame, salts: int) -> pd.DataFrame:
+    """Rows of each class, in sweep order; bounded by the capacity and the salts."""
+    got = _sliced(events, salts).groupBy("size", "kind", "salt").agg(F.count(F.lit(1)).alias("n"))
+    return got.toPandas().sort_values(["size", "kind", "salt"], ignore_index=True)
+
+
+def _sliced(events: DataFrame, salts: int) -> DataFrame:
+    return events.withColumn("salt", F.pmod(F.xxhash64("id", "kind"), F.lit(salts)).cast("int"))
+
+
+def _ranked(events: DataFrame, counts: pd.DataFrame, salts: int) -> DataFrame:
+    """Each event with its ``level`` (items less gaps up to it) and ``volume`` (sizes before it)."""
+    step = counts["n"].where(counts["kind"] == ITEM, -counts["n"])
+    volume = counts["size"].astype("int64") * counts["n"]
+    starts = events.sparkSession.createDataFrame(
+        counts[["size", "kind", "salt"]].assign(
+            level_before=step.cumsum() - step, volume_before=volume.cumsum() - volume
+        ),
+        "size int, kind int, salt int, level_before long, volume_before long",
     )
     in_class = Window.partitionBy("size", "kind", "salt").orderBy("id")
     return (
-        sliced.join(F.broadcast(starts.drop("n")), ["size", "kind", "salt"])
-        .withColumn("rank", F.col("skip") + F.row_number().over(in_class))
+        _sliced(events, salts)
+        .join(F.broadcast(starts), ["size", "kind", "salt"])
+        .withColumn("rank", F.row_number().over(in_class))
         .withColumn(
             "level",
-            F.col("class_level")
+            F.col("level_before")
             + F.when(F.col("kind") == ITEM, F.col("rank")).otherwise(1 - F.col("rank")),
         )
-        .withColumn("volume", F.col("class_volume") + (F.col("rank") - 1) * F.col("size"))
+        .withColumn("volume", F.col("volume_before") + (F.col("rank") - 1) * F.col("size"))
     )
 
 
-def sweep(events: DataFrame, capacity: int, salts: int) -> DataFrame:
+def sweep(events: DataFrame, counts: pd.DataFrame, capacity: int, salts: int) -> DataFrame:
     """One round: placed items, items left and gaps that took an item."""
     on_level = Window.partitionBy("level").orderBy("size", "kind")
-    seen = _ranked(events, salts).select(
+    seen = _ranked(events, counts, salts).select(
         "id",
         "size",
         "kind",
@@ -133,10 +134,12 @@ def sweep(events: DataFrame, capacity: int, salts: int) -> DataFrame:
     return seen.select(F.explode(out).alias("e")).select("e.*")
 
 
-def _bundle(items: DataFrame, limit: int, first_id: int, salts: int) -> DataFrame:
+def _bundle(
+    items: DataFrame, counts: pd.DataFrame, limit: int, first_id: int, salts: int
+) -> DataFrame:
     """Neighbours in size order joined into bundles of about ``limit`` tokens:
     ``child, id, at, size`` (``size``: the child's)."""
-    ranked = _ranked(items, salts).withColumn("no", F.floor(F.col("volume") / limit))
+    ranked = _ranked(items, counts, salts).withColumn("no", F.floor(F.col("volume") / limit))
     in_bundle = Window.partitionBy("no")
     return ranked.select(
         F.col("id").alias("child"),
@@ -146,59 +149,57 @@ def _bundle(items: DataFrame, limit: int, first_id: int, salts: int) -> DataFram
     )
 
 
-def place(items: DataFrame, capacity: int, salts: int = 64, ratio: int = 8) -> DataFrame:
+def _event(kind: int) -> list[Column]:
+    return [
+        F.lit(kind).alias("kind"), F.lit(None).cast("long").alias("bin"),
+        F.lit(None).cast("int").alias("at"),
+    ]
+
+
+def place(items: DataFrame, capacity: int, salts: int = 32, ratio: int = 8) -> DataFrame:
     """``id, size`` with sizes below the capacity to ``id, bin, at``."""
     spark = items.sparkSession
-    empty = F.lit(None)
-    half = capacity // 2
+    large = F.col("size") > capacity // 2  # no two of them fit one sequence: each opens its own
     opening = items.select(
-        "id", "size",
-        F.when(F.col("size") > half, PLACED).otherwise(ITEM).alias("kind"),
-        F.when(F.col("size") > half, F.col("id")).alias("bin"),
-        F.when(F.col("size") > half, 0).alias("at"),
-    )
-    seeds = opening.where(F.col("kind") == PLACED).select(
-        "id", (capacity - F.col("size")).alias("size"), F.lit(GAP).alias("kind"),
-        empty.cast("long").alias("bin"), empty.cast("int").alias("at"),
+        "id", "size", F.when(large, PLACED).otherwise(ITEM).alias("kind"),
+        F.when(large, F.col("id")).alias("bin"), F.when(large, 0).alias("at"),
     )
+    seeds = items.where(large).select("id", (capacity - F.col("size")).alias("size"), *_event(GAP))
     state = materialize(opening.unionByName(seeds), "pack")
     placed = [state.where(F.col("kind") == PLACED).select("id", "bin", "at")]
     bundles: list[DataFrame] = []
     new_bin = -1  # bins opened here count down; those of large items have the item's id
     new_item = 1 << 62
     while True:
-        figures = {
-            r.kind: r
-            for r in state.groupBy("kind").agg(
-                F.sum("size").cast("long").alias("total"), F.min("size").alias("least"),
-                F.max("size").alias("most"),
-            ).collect()
-        }
-        if ITEM not in figures:
+        open_ = state.where(F.col("kind") != PLACED)
+        counts = class_counts(open_, salts)
+        left = counts[counts["kind"] == ITEM]
+        if not len(left):
             break
-        left, gaps = figures[ITEM], figures.get(GAP)
-        items_left = state.where(F.col("kind") == ITEM)
-        open_gaps = state.where((F.col("kind") == GAP) & (F.col("size") >= left.least))
-        if gaps is None or gaps.most < left.least:
-            widest = capacity
-            count = -(-left.total // capacity)
-            open_gaps = spark.range(new_bin - count + 1, new_bin + 1).select(
-                "id", F.lit(capacity).alias("size"), F.lit(GAP).alias("kind"),
-                empty.cast("long").alias("bin"), empty.cast("int").alias("at"),
-            )
-            new_bin -= count
-            if left.most * ratio <= widest and left.total > widest // ratio:
-                limit = widest // ratio
-                made = materialize(_bundle(items_left, limit, new_item, salts), "bundles")
+        least, most = int(left["size"].min()), int(left["size"].max())
+        total = int((left["size"].astype("int64") * left["n"]).sum())
+        gaps = counts[(counts["kind"] == GAP) & (counts["size"] >= least)]
+        if len(gaps):
+            events = open_.where((F.col("kind") == ITEM) | (F.col("size") >= least))
+            counts = pd.concat([left, gaps]).sort_values(["size", "kind", "salt"])
+        else:
+            remaining = open_.where(F.col("kind") == ITEM)
+            if most * ratio <= capacity and total > capacity // ratio:
+                limit = capacity // ratio
+                made = materialize(_bundle(remaining, left, limit, new_item, salts), "bundles")
                 bundles.append(made.select("child", "id", "at"))
-                new_item += -(-left.total // limit) + 1
-                items_left = made.groupBy("id").agg(F.sum("size").cast("int").alias("size")).select(
-                    "id", "size", F.lit(ITEM).alias("kind"),
-                    empty.cast("long").alias("bin"), empty.cast("int").alias("at"),
+                new_item += -(-total // limit) + 1
+                remaining = made.groupBy("id").agg(F.sum("size").cast("int").alias("size")).select(
+                    "id", "size", *_event(ITEM)
                 )
-        state = materialize(
-            sweep(items_left.unionByName(open_gaps), capacity, salts), "pack"
-        )
+            needed = -(-total // capacity)
+            empty = spark.range(new_bin - needed + 1, new_bin + 1).select(
+                "id", F.lit(capacity).alias("size"), *_event(GAP)
+            )
+            new_bin -= needed
+            events = remaining.unionByName(empty)
+            counts = class_counts(events, salts)
+        state = materialize(sweep(events, counts, capacity, salts), "pack")
         placed.append(state.where(F.col("kind") == PLACED).select("id", "bin", "at"))
     result = placed[0]
     for more in placed[1:]:

@@ -1,0 +1,44 @@
+import zlib
+from collections import defaultdict
+
+from reachset.llm.sharding import shard_documents
+
+from .conftest import ROWS
+
+
+def check(rows, got, shards):
+    assert sorted((r.doc_id, r.size, r.text_crc32) for r in got if r.doc_id is not None) == sorted(
+        (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()))
+        for i, t in rows if i is not None
+    )
+    assert len(got) == len(rows)
+    slots, sizes = defaultdict(list), [0] * shards
+    for r in got:
+        assert r.law == "bytes" and r.grown_shard is None and 0 <= r.shard < shards
+        slots[r.shard].append(r.slot)
+        sizes[r.shard] += r.size
+    for s in slots.values():
+        assert sorted(s) == list(range(len(s)))
+    return sizes
+
+
+def test_edge_rows(edge_docs):
+    check([r[:2] for r in ROWS], shard_documents(edge_docs).collect(), 24)
+
+
+def test_hot_group_and_long_texts_split_by_bytes(make):
+    rows = [(i, "one hot text " * 5) for i in range(3000)]
+    rows += [(3000 + i, f"text {i} " * (1 + i % 40)) for i in range(3000)] + [(9000, "z" * 40_000)]
+    got = shard_documents(make(rows).repartition(5), shards=8, n_ranges=64).collect()
+    sizes = check(rows, got, 8)
+    fair = sum(sizes) / 8
+    assert all(abs(s - fair) <= 40_008 for s in sizes)
+    # without the shards that the long text touches, sizes are even
+    assert sorted(abs(s - fair) for s in sizes)[4] < 1000
+    again = shard_documents(make(rows).repartition(3), shards=8, n_ranges=64).collect()
+    place = lambda rs: sorted((r.doc_id, r.shard, r.slot) for r in rs)
+    assert place(again) == place(got)
+
+
+def test_no_rows(no_docs):
+    assert shard_documents(no_docs).count() == 0

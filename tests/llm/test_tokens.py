@@ -1,0 +1,121 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from reachset.llm import simple8b
+from reachset.llm.packing import pack
+from reachset.llm.token_output import read_tokens, write_tokens
+from reachset.llm.tokens import ChunkEncoder, default_tokenizer
+
+from .conftest import ROWS
+
+TOKENIZER = Tokenizer.from_file(default_tokenizer())
+
+
+def ids_of(text, end):
+    return [*TOKENIZER.encode(text or "", add_special_tokens=False).ids, end]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 49407), st.integers(0, 2**64 - 1)), max_size=900))
+def test_simple8b_round_trip(ids):
+    ids = np.array(ids, dtype=np.uint64)
+    words, first, escapes = simple8b.encode(ids)
+    assert (simple8b.decode(words, first, escapes, len(ids)) == ids).all()
+    assert len(first) == -(-len(ids) // simple8b.BLOCK)
+
+
+def test_simple8b_packs():
+    words, _, escapes = simple8b.encode(np.ones(6000, dtype=np.uint64))
+    assert len(words) <= 6000 / 60 * 1.2 and not len(escapes)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("abcÉß.,'$ \t\n\x1c\x85\xa0İſ²½")), max_size=40))
+def test_chunks_are_the_whole_librarys_ids(text):
+    got = np.frombuffer(ENCODER.encode([text])[0], dtype="<u4").tolist()
+    assert got == TOKENIZER.encode(text, add_special_tokens=False).ids
+
+
+ENCODER = ChunkEncoder(default_tokenizer(), max_entries=50)  # starts anew often
+
+
+def test_tokens_written_and_read_back(spark, edge_docs, tmp_path):
+    path = str(tmp_path / "tokens")
+    write_tokens(edge_docs, path, run_ids=1000)
+    got = read_tokens(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, 3, 3, 4, 5, 5, 7, 9, 11, 12, 14]
+    start = 0
+    texts = defaultdict(list)
+    for i, t, *_ in ROWS:
+        texts[i].append(ids_of(t, 2))
+    for r in got:
+        assert r.start == start and r.n_tokens == len(r.ids)
+        start += r.n_tokens
+        assert list(r.ids) in texts[r.doc_id]
+        assert r.ids_crc32 == zlib.crc32(np.array(r.ids, dtype="<u4").tobytes())
+
+
+def test_no_tokens(spark, no_docs, tmp_path):
+    write_tokens(no_docs, str(tmp_path / "none"))
+    assert read_tokens(spark, str(tmp_path / "none")).count() == 0
+
+
+def best_fit_decreasing(sizes, capacity):
+    gaps = []
+    for s in sorted(sizes, reverse=True):
+        fit = [k for k, g in enumerate(gaps) if g >= s]
+        if fit:
+            gaps[min(fit, key=lambda k: gaps[k])] -= s
+        else:
+            gaps.append(capacity - s)
+    return len(gaps)
+
+
+def check_packing(rows, got, capacity):
+    want = sorted(
+        repr((i, k, at, len(ids[at : at + capacity]), zlib.crc32(np.array(ids[at : at + capacity], dtype="<u4").tobytes())))
+        for i, t in rows
+        for ids in [ids_of(t, 1)]
+        for k, at in enumerate(range(0, len(ids), capacity))
+    )
+    assert sorted(repr((r.doc_id, r.piece, r.start, r.length, r.ids_crc32)) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for s in sequences.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences), best_fit_decreasing([r.length for r in got], capacity)
+
+
+def test_packing_edge_rows(edge_docs):
+    rows = [r[:2] for r in ROWS]
+    mine, best = check_packing(rows, pack(edge_docs).collect(), 4096)
+    assert mine <= best + 1
+
+
+def test_packing_fills_sequences(make):
+    rng = np.random.default_rng(8)
+    rows = [(i, "cat " * int(n)) for i, n in enumerate(rng.integers(0, 90, 400))]
+    rows += [(1000 + i, "cat") for i in range(300)]  # one hot, tiny size: bundles
+    mine, best = check_packing(rows, pack(make(rows), capacity=128).collect(), 128)
+    assert mine <= 1.03 * best + 1
+
+
+def test_nothing_to_pack(no_docs):
+    assert pack(no_docs).count() == 0
+
+
+def test_a_piece_of_just_the_capacity(make):
+    (r,) = pack(make([(1, "cat " * 7)]), capacity=8).collect()
+    assert (r.length, r.offset, r.piece) == (8, 0, 0)
+    assert pack(make([(1, "cat " * 8)]), capacity=8).agg(F.max("piece")).first()[0] == 1
