@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import documents, materialize, whole_text
 
 MIN_IDF, MAX_IDF = 0.8, 8.0
-#: Subset shares 2**-l, the sparsest first; each has REPLICAS subsets. 0: the whole lexicon.
-LEVELS = (12, 10, 8, 6, 4, 2)
+#: Subset shares 2**-l, the densest first; each has REPLICAS subsets.  A sparser subset of
+#: a replica lies within its denser ones.
+LEVELS = (3, 5, 7, 9, 11)
 REPLICAS = 12
 BITS = 12
 #: Spark's hash of an empty array: the subset keeps nothing.
@@ -65,19 +66,47 @@ def _has_no(mask: int):
     return lambda term: term.bitwiseAND(mask) == 0
 
 
-def subset_hashes(kept: Column) -> list[Column]:
-    """One hash per subset, the sparsest subsets first, the whole lexicon last."""
-    per_hash = 64 // BITS - 1  # slices taken from one 64-bit hash
-    arrays = [kept]
-    while len(arrays) * per_hash < REPLICAS:
-        arrays.append(F.transform(arrays[-1], lambda t: F.xxhash64(t)))
-    out = []
+def hash_subsets(rows: DataFrame, sides: tuple[str, ...], keep: list[str]) -> DataFrame:
+    """``rows`` with each side's sorted terms replaced by its subset hashes, the sparsest
+    subsets first, the whole lexicon last.
+
+    One projection per level: each filters the arrays of the one before it.
+    """
+    slices = 64 // BITS - 1  # taken from one 64-bit hash
+    done: list[str] = []
+    # the terms' own hashes decide for the first replicas, hashes of hashes after that
+    for k in range(1, -(-REPLICAS // slices)):
+        rows = rows.select(
+            "*", *[F.transform(s if k == 1 else f"{s}_{k - 1}", lambda t: F.xxhash64(t)).alias(f"{s}_{k}")
+                   for s in sides]
+        )
+    current = {(s, r): s if r < slices else f"{s}_{r // slices}" for s in sides for r in range(REPLICAS)}
+    whole = [F.hash(s).alias(f"{s}_whole") for s in sides]
     for level in LEVELS:
-        for r in range(REPLICAS):
-            mask = ((1 << level) - 1) << (BITS * (r % per_hash))
-            # the sorted terms' own hashes decide for r < per_hash, hashes of hashes after that
-            out.append(F.hash(F.filter(arrays[r // per_hash], _has_no(mask))))
-    return [*out, F.hash(kept)]
+        masks = [((1 << level) - 1) << (BITS * (r % slices)) for r in range(REPLICAS)]
+        arrays = {(s, r): f"{s}_at{level}_{r}" for s, r in current}
+        hashes = [] if level == LEVELS[0] else [
+            F.hash(c).alias(f"{c}_hash") for c in current.values()
+        ]
+        rows = rows.select(
+            *keep, *done, *whole, *hashes,
+            *[F.filter(c, _has_no(masks[r])).alias(arrays[s, r]) for (s, r), c in current.items()],
+        )
+        if whole:
+            done += [f"{s}_whole" for s in sides]
+        done += [f"{c}_hash" for c in current.values()] if hashes else []
+        whole, current = [], arrays
+    rows = rows.select(*keep, *done, *[F.hash(c).alias(f"{c}_hash") for c in current.values()])
+    return rows.select(
+        *keep,
+        *[
+            F.array(
+                *[f"{s}_at{level}_{r}_hash" for level in reversed(LEVELS) for r in range(REPLICAS)],
+                f"{s}_whole",
+            ).alias(s)
+            for s in sides
+        ],
+    )
 
 
 def likeness(a: Column, b: Column, informative: int = 12) -> Column:
@@ -224,9 +253,9 @@ def fingerprint_documents(
         )
         return F.when(F.size(f"{name}_kept") > 0, F.array_sort(f"{name}_kept")).otherwise(stand_in)
 
-    prints = sets.select(*key, kept("own").alias("own"), kept("edited").alias("changed")).select(
-        *key, F.array(*subset_hashes(F.col("own"))).alias("own"),
-        F.array(*subset_hashes(F.col("changed"))).alias("changed"),
+    prints = hash_subsets(
+        sets.select(*key, kept("own").alias("own"), kept("edited").alias("changed")),
+        ("own", "changed"), key,
     )
     order = Window.partitionBy("bucket").orderBy("no")
     return (
