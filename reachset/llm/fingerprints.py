@@ -189,6 +189,8 @@ def with_next_text(docs: DataFrame, id_col: str, text: str, buckets: int) -> Dat
     spread = rows.join(F.broadcast(plan), "bucket").select(
         F.explode(copies).alias("place"), "id", "text", "h"
     ).select("place.*", "id", "text", "h")
+    # as many tasks as asked for: the work on a byte is far more than its shuffle
+    spread = spread.repartition(max(1, buckets // 2), "bucket")
     order = Window.partitionBy("bucket").orderBy(
         "extra", F.col("id").desc_nulls_last(), F.col("h").desc()
     )
