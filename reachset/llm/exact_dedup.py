@@ -3,7 +3,7 @@
 A Misra-Gries pass (``DataFrame.stat.freqItems``: Karp, Schenker and
 Papadimitriou's form of it) names at most ``1 / support`` digests that may
 be frequent; every digest held by more than ``support`` of the rows is among
-them.  One aggregation verifies them: exact count and smallest id.  That
+them.  One aggregation verifies them: exact count, and smallest id.  That
 table is bounded by ``1 / support`` rows whatever the corpus, so it is
 broadcast, and copies of a frequent text are decided on the map side.  Only
 the remaining digests, none of them frequent, are shuffled.
@@ -35,16 +35,18 @@ def text_digest(text: str = "text") -> Column:
 def heavy_digests(digests: DataFrame, id_col: str, support: float = SUPPORT) -> DataFrame:
     """Verified winners of the frequent digests: ``(digest, heavy_keep, heavy_size)``.
 
-    At most ``1 / support`` rows.  A candidate seen once, or without any id,
-    is left to the ordinary path.
+    At most ``1 / support`` rows.  A candidate that turns out to hold no more
+    than ``support`` of the rows, or one row, or no id, is left to the
+    ordinary path.
     """
+    least = max(1.0, support * digests.count())
     found = digests.select("digest").freqItems(["digest"], support).first()
     candidates = [d for d in (found[0] if found and found[0] else []) if d is not None]
     return (
         digests.where(F.col("digest").isin(candidates) if candidates else F.lit(False))
         .groupBy("digest")
         .agg(F.min(id_col).alias("heavy_keep"), F.count(F.lit(1)).alias("heavy_size"))
-        .where((F.col("heavy_size") > 1) & F.col("heavy_keep").isNotNull())
+        .where((F.col("heavy_size") > least) & F.col("heavy_keep").isNotNull())
     )
 
 

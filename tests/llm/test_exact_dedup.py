@@ -2,7 +2,9 @@ import hashlib
 import re
 from collections import defaultdict
 
-from reachset.llm.exact_dedup import dedup_table, drop_copies, heavy_digests
+from pyspark.sql import functions as F
+
+from reachset.llm.exact_dedup import dedup_table, drop_copies, heavy_digests, text_digest
 
 from .conftest import ROWS
 
@@ -38,9 +40,6 @@ def test_hot_group_is_decided_on_the_map_side(make):
     rows = [(i, "hot text") for i in range(1000, 0, -1)] + [(5000 + i, f"t{i // 2}") for i in range(2000)]
     docs = make(rows).repartition(7)
     assert got(dedup_table(docs)) == brute(rows)
-    from reachset.llm.exact_dedup import text_digest
-    from pyspark.sql import functions as F
-
     heavy = heavy_digests(docs.select(F.col("doc_id").alias("id"), text_digest().alias("digest")), "id")
     assert [(r.digest, r.heavy_keep, r.heavy_size) for r in heavy.collect()] == [(digest("hot text"), 1, 1000)]
 
