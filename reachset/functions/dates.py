@@ -29,9 +29,12 @@ def resolve_date(value: str | dt.date | dt.datetime, as_of: dt.date | None = Non
 
     Relative values count back from ``as_of`` (default: today), so ``'0d'``
     is ``as_of`` itself.  ``as_of`` is explicit so that a run can be repeated.
+    A ``datetime`` keeps its time of day; one at midnight is its date.
     """
     if isinstance(value, dt.datetime):
-        return value.date()
+        if value.tzinfo is not None:
+            raise ValueError(f"a bound is a wall-clock time, without a zone: {value!r}")
+        return value.date() if value.time() == dt.time() else value
     if isinstance(value, dt.date):
         return value
     base = as_of or dt.date.today()
@@ -54,12 +57,18 @@ def resolve_date(value: str | dt.date | dt.datetime, as_of: dt.date | None = Non
         raise ValueError(f"not a date or relative offset: {value!r}") from exc
 
 
+def _stamp(day: dt.date | dt.datetime) -> dt.datetime:
+    if isinstance(day, dt.datetime):
+        return day
+    return dt.datetime(day.year, day.month, day.day)
+
+
 def window_bounds(
     start: str | dt.date, end: str | dt.date, as_of: dt.date | None = None
 ) -> tuple[dt.date, dt.date]:
     """Resolve a scan range ``[start, end)`` (D1).  ``start`` must not be later."""
     lo, hi = resolve_date(start, as_of), resolve_date(end, as_of)
-    if lo > hi:
+    if _stamp(lo) > _stamp(hi):
         raise ValueError(f"window start {lo} is after its end {hi}")
     return lo, hi
 
@@ -77,10 +86,9 @@ def typed_bound(day: dt.date | dt.datetime, data_type) -> Column:
     A cast on the column side would block Parquet pushdown; a literal of the
     same type is folded and pushed.
     """
-    if isinstance(day, dt.datetime):
-        stamp = day
-    else:
-        stamp = dt.datetime(day.year, day.month, day.day)
+    stamp = _stamp(day)
+    if not isinstance(data_type, (TimestampNTZType, TimestampType)) and stamp.time() != dt.time():
+        raise ValueError(f"{day} has a time of day, but the column holds whole days")
     if isinstance(data_type, TimestampNTZType):
         return F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")
     if isinstance(data_type, TimestampType):

@@ -13,8 +13,9 @@ import unicodedata
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 ColumnOrName = Column | str
 
@@ -183,26 +184,49 @@ def keyword_any(c: ColumnOrName, words: Iterable[str] | str, mode: str = "words"
 # --------------------------------------------------------------------------
 
 
-def any_value_in(c: ColumnOrName, values: Iterable) -> Column:
-    """Multi-valued ``IN``: true when any element is one of ``values``."""
+def any_value_in(c: ColumnOrName, values: Iterable, scalar: bool = False) -> Column:
+    """Multi-valued ``IN``: true when any element is one of ``values``.
+
+    ``scalar=True`` for a field stored as one value; :func:`is_multivalued`
+    tells from a frame's schema.
+    """
     vals = list(dict.fromkeys(values))
     if not vals:
         return F.lit(False)
     col = _c(c)
+    if scalar:
+        return col.isin(*vals)
     if len(vals) == 1:
         return F.array_contains(col, F.lit(vals[0]))
     return F.arrays_overlap(col, F.array(*[F.lit(v) for v in vals]))
 
 
-def none_value_is(c: ColumnOrName, value) -> Column:
+def none_value_is(c: ColumnOrName, value, scalar: bool = False) -> Column:
     """Multi-valued ``!=``: no element equals ``value`` (F2 on arrays).
 
-    A missing (null) list has no elements, so it passes -- as an event whose
-    multi-valued field is absent does in the event store.
+    A missing (null) list has no elements, so it passes, by the rule of
+    :func:`not_equal`.
     """
+    if scalar:
+        return not_equal(c, value)
     return ~F.coalesce(F.array_contains(_c(c), F.lit(value)), F.lit(False))
 
 
+def is_multivalued(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, ArrayType)
+
+
+def not_equal(c: ColumnOrName, *values) -> Column:
+    """``!=`` (and ``NOT IN``): a missing field equals nothing, so it passes (F2).
+
+    One rule for scalar and multi-valued fields (SURVEY §1.4); ``!= ''`` is
+    the exception, it asks for a value (:func:`non_empty`).
+    """
+    col = _c(c)
+    differs = col != F.lit(values[0]) if len(values) == 1 else ~col.isin(*values)
+    return col.isNull() | differs
+
+
 # --------------------------------------------------------------------------
 # country / language codes
 # --------------------------------------------------------------------------
@@ -216,15 +240,16 @@ def two_letter_code(c: ColumnOrName) -> Column:
 def same_code(c: ColumnOrName, code: str, case: str = "lower") -> Column:
     """Compare a code column with a parameter in a stated case.
 
-    ``case="lower"``/``"upper"`` normalises the column and the parameter;
-    ``case="as_is"`` compares the stored value with the normalised parameter
-    only, which keeps the predicate pushable to Parquet.
+    ``case="lower"``/``"upper"`` trims and normalises the column, as
+    :func:`two_letter_code` does, and the parameter; ``case="as_is"`` compares
+    the stored value with the trimmed parameter only, which keeps the predicate
+    pushable to Parquet (for data normalised at read).
     """
     code = code.strip()
     if case == "lower":
-        return F.lower(_c(c)) == F.lit(code.lower())
+        return F.lower(F.trim(_c(c))) == F.lit(code.lower())
     if case == "upper":
-        return F.upper(_c(c)) == F.lit(code.upper())
+        return F.upper(F.trim(_c(c))) == F.lit(code.upper())
     if case == "as_is":
         return _c(c) == F.lit(code)
     raise ValueError(f"unknown case {case!r}")

@@ -13,8 +13,9 @@ rules that keep these plans sound at scale:
   side proves small.
 * Where one side is raw rows that may be skewed on the join key (the levels
   of a nested ``IN`` chain), AQE's skew split cannot help -- it needs both
-  join inputs straight from a shuffle, and a grouped side is not -- so
-  :func:`semi_join_spread` salts the hottest keys instead.
+  join inputs straight from a shuffle, and a grouped side is not.  Large
+  inputs are therefore measured, and keys found hot are salted
+  (:func:`hot_values`, :func:`semi_join_spread`); all others join as they are.
 * No key list is collected to the driver; a "key list" is a DataFrame used
   on the right of a semi- or anti-join.
 * Null keys are dropped on entry (SURVEY §1.4 rows 1-2), so null never
@@ -23,12 +24,48 @@ rules that keep these plans sound at scale:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+
+#: Probe sides estimated at this many bytes or more are measured for hot keys.
+MEASURE_FROM = 1 << 30
+#: A key set called bounded is broadcast only if estimated at no more bytes than this.
+BROADCAST_MAX = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def checked_broadcast(df: DataFrame) -> DataFrame:
+    """``broadcast(df)`` while it is estimated small, else ``df`` (Spark then shuffles)."""
+    return F.broadcast(df) if estimated_bytes(df) <= BROADCAST_MAX else df
+
+
+def hot_values(
+    df: DataFrame, on: str, measure_from: int | None = MEASURE_FROM
+) -> list[tuple[object, int]]:
+    """``(value, salts)`` of the ``on`` values that hold over twice a partition's fair share.
+
+    Fewer than ``spark.sql.shuffle.partitions`` values can.  Counts are
+    aggregated on the map side over one column; ``salts`` is as many fair
+    shares as the value holds.  An input estimated under ``measure_from``
+    bytes (None: every input) is not measured and has none.
+    """
+    if measure_from is None or estimated_bytes(df) < measure_from:
+        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.sum("_n").alias("_total")
+    fair = (counts.agg(total).first()[0] or 0) / partitions
+    top = counts.where(F.col("_n") > 2 * fair).orderBy(F.desc("_n")).limit(partitions).collect()
+    return [(r[0], math.ceil(r[1] / fair)) for r in top]
 
 
 def _key_only(df: DataFrame, key: str, source: str | None = None) -> DataFrame:
@@ -129,17 +166,28 @@ def in_any(frames: Sequence[DataFrame], key: str) -> DataFrame:
     return audience(out, key)
 
 
-def exclude(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
+def exclude(
+    df: DataFrame,
+    other: DataFrame,
+    key: str,
+    other_key: str | None = None,
+    null_keys: bool = True,
+) -> DataFrame:
     """Rows of ``df`` whose key is not in ``other``.
 
     A left-anti join: rows of ``df`` with a null key are kept, as pandas'
     ``~isin`` keeps them; a null in ``other`` removes nothing.  ``other`` is
     reduced to its distinct keys first, so a hot key on that side is one row.
+    Rows with a null key go around the join (they would all meet in one
+    partition); ``null_keys=False`` states that there are none (an audience).
     """
     right = audience(other, other_key or key)
     if other_key and other_key != key:
         right = right.withColumnRenamed(other_key, key)
-    return df.join(right, on=key, how="left_anti")
+    if not null_keys:
+        return df.join(right, on=key, how="left_anti")
+    kept = df.where(F.col(key).isNotNull()).join(right, on=key, how="left_anti")
+    return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
 
 
 def restrict_to(
@@ -148,34 +196,31 @@ def restrict_to(
     on: str,
     keys_on: str | None = None,
     spread_by: str | None = None,
-    hot_keys: int = 1000,
-    salts: int | None = None,
     bounded: bool = False,
+    measure_from: int | None = MEASURE_FROM,
 ) -> DataFrame:
     """Rows of ``df`` whose ``on`` value is in ``keys``.
 
     Replaces "collect the ids, paste them into the next query": the key
     list stays distributed and becomes the (grouped) build side of a
-    left-semi join.  ``df`` is the probe side: a lookup table keyed by
-    ``on``, or any frame when ``keys`` is small enough to be broadcast.
+    left-semi join.  ``df`` is the probe side and is joined as it is: when
+    ``keys`` is small it is broadcast and ``df`` is not shuffled.
 
     With ``spread_by`` (a column of ``df`` that varies within an ``on``
-    value, such as the account id of events keyed by city) the probe may be
-    skewed on ``on``: its rows are first reduced to distinct rows (callers
-    that group afterwards lose nothing) and the hottest ``on`` values are
-    salted by ``spread_by`` (:func:`semi_join_spread`).
-
-    ``bounded=True`` states that ``keys`` is a small set of known bound (the
-    keys of a dimension table such as regions or nations); it is then
-    broadcast, and ``df`` is never shuffled for this join.
+    value, such as the account id of events keyed by city) a large probe is
+    measured, and values found hot are salted by it (:func:`hot_values`).
+    Without it ``df`` should hold each ``on`` value a bounded number of
+    times, as a lookup table does.
+
+    ``bounded=True`` asks for a broadcast of ``keys`` (regions, nations); it
+    is done while the estimated size allows it (:func:`checked_broadcast`).
     """
     right = audience(keys, on, source=keys_on)
     if bounded:
-        return df.join(F.broadcast(right), on=on, how="left_semi")
-    if spread_by is None:
-        return df.join(right, on=on, how="left_semi")
-    rows = df.where(F.col(on).isNotNull()).distinct()
-    return semi_join_spread(rows, right, on, spread_by, hot_keys, salts)
+        return df.join(checked_broadcast(right), on=on, how="left_semi")
+    if spread_by is not None and (hot := hot_values(df, on, measure_from)):
+        return semi_join_spread(df.where(F.col(on).isNotNull()), right, on, spread_by, hot)
+    return df.join(right, on=on, how="left_semi")
 
 
 def combine(left: DataFrame, right: DataFrame, key: str, how: str = "full") -> DataFrame:
@@ -218,68 +263,49 @@ class Link:
 
 
 def semi_join_spread(
-    pairs: DataFrame,
+    rows: DataFrame,
     keys: DataFrame,
     on: str,
     spread_by: str,
-    hot_keys: int = 1000,
-    salts: int | None = None,
+    hot: Sequence[tuple[object, int]],
+    how: str = "left_semi",
 ) -> DataFrame:
-    """``pairs ⋉ keys`` on ``on``, safe when one ``on`` value is hot.
-
-    ``keys`` holds distinct values in column ``on`` (a grouping).  A
-    grouped build side is what keeps a hot key there to one row, but it
-    also stops AQE from splitting a skewed *probe* partition (the rule only
-    applies when both join inputs come straight from a shuffle).  So the
-    probe side is protected here, in two steps:
-
-    * ``pairs`` should already be distinct (``on``, ``spread_by``) rows:
-      repeated events of a hot key collapse in the map-side aggregate;
-    * the ``hot_keys`` most frequent ``on`` values (a top-k over a
-      map-side-aggregated count -- at most ``hot_keys`` rows, so the
-      broadcast is bounded by construction) are salted: their probe rows
-      get one of ``salts`` salts from a hash of ``spread_by``, and their
-      build row is replicated once per salt.  Every other key joins with
-      salt 0.  A hot key's rows are thus spread over ``salts`` tasks.
-
-    The result is exact whatever the data: salting changes only where a
-    row is joined.  When AQE finds the salted key set small it broadcasts
-    it and the probe side is not shuffled at all.
+    """``rows`` whose ``on`` value is in ``keys``, with the ``hot`` values salted.
+
+    ``keys`` holds distinct values in column ``on`` (a grouping).  ``hot``
+    comes from :func:`hot_values`: a hot value's rows get one of its salts
+    from a hash of ``spread_by``, and its one build row is repeated per salt,
+    so its rows are spread over that many tasks.  Every other value joins
+    with salt 0.  The result is exact whatever the data: salting changes only
+    where a row is joined.  ``hot`` has fewer values than there are shuffle
+    partitions, which bounds the broadcast.  ``how="left"`` attaches the other
+    columns of ``keys`` instead.
     """
-    spark = pairs.sparkSession
-    n = int(salts or int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(
-        pairs.groupBy(on)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .orderBy(F.desc("_n"), F.asc(on))
-        .limit(int(hot_keys))
-        .select(on, F.lit(True).alias("_hot"))
+    schema = StructType(
+        [StructField(on, rows.schema[on].dataType), StructField("_salts", IntegerType())]
     )
-    salt = F.when(
-        F.col("_hot"), F.pmod(F.xxhash64(F.col(spread_by)), F.lit(n)).cast("int")
-    ).otherwise(F.lit(0))
-    probe = pairs.join(hot, on=on, how="left").select(*pairs.columns, salt.alias("_salt"))
-    replicas = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
-    build = keys.join(hot, on=on, how="left").select(on, F.explode(replicas).alias("_salt"))
-    return probe.join(build, on=[on, "_salt"], how="left_semi").select(*pairs.columns)
+    table = F.broadcast(rows.sparkSession.createDataFrame(list(hot), schema))
+    salt = F.coalesce(F.pmod(F.xxhash64(F.col(spread_by)), F.col("_salts")).cast("int"), F.lit(0))
+    probe = rows.join(table, on=on, how="left").select(*rows.columns, salt.alias("_salt"))
+    replicas = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    build = keys.join(table, on=on, how="left").withColumn("_salt", F.explode(replicas))
+    return probe.join(build.drop("_salts"), on=[on, "_salt"], how=how).drop("_salt")
 
 
 def semi_chain(
     links: Sequence[Link],
     out: str | None = None,
-    hot_keys: int = 1000,
-    salts: int | None = None,
+    measure_from: int | None = MEASURE_FROM,
 ) -> DataFrame:
     """Evaluate nested semi-joins, innermost level first.
 
     Each level keeps the rows whose ``on`` value is among the keys the
-    inner level produced, then hands on its own distinct keys.  Per level:
-    the dataset is reduced to distinct (``on``, ``key``) pairs (map-side
-    partial aggregation collapses repeated events); the inner key set is
-    grouped, so a hot key there is one row; the semi-join itself is
-    :func:`semi_join_spread`, which salts the hottest ``on`` values so that
-    a key holding a third of all rows is split over many tasks
-    (``hot_keys=0`` turns the salting off).  Returns one column named
+    inner level produced, then hands on its own distinct keys: the join
+    reduces the raw rows first, what is left is grouped (map-side partial
+    aggregation) afterwards.  A small key set is broadcast and the level's
+    rows are not shuffled by the join at all.  A level estimated at
+    ``measure_from`` bytes or more is measured, and only values found hot are
+    salted (0 measures every level, None none).  Returns one column named
     ``out`` (default: the outermost level's key).
     """
     if not links:
@@ -293,20 +319,19 @@ def semi_chain(
         if link.on is None:
             raise ValueError(f"level keyed by {link.key!r} needs an 'on' column")
         probe = link.df.select(F.col(link.on).alias("_on"), F.col(link.key).alias("_v"))
-        if isinstance(probe.schema["_v"].dataType, ArrayType):
-            probe = probe.select("_on", F.explode("_v").alias("_v"))
-        probe = probe.where(F.col("_on").isNotNull() & F.col("_v").isNotNull())
+        probe = probe.where(F.col("_on").isNotNull())
         if inner_bounded:
-            # a bounded key set is broadcast: the probe is never shuffled
-            kept = probe.join(F.broadcast(current), on="_on", how="left_semi")
-        elif link.on == link.key or hot_keys <= 0:
-            # distinct pairs of a column with itself hold each value once:
-            # nothing can be hot, and a plain semi-join is skew-free
+            kept = probe.join(checked_broadcast(current), on="_on", how="left_semi")
+        elif link.on == link.key:
+            # distinct values of a column joined on itself: nothing can be hot
             kept = probe.distinct().join(current, on="_on", how="left_semi")
+        elif hot := hot_values(probe, "_on", measure_from):
+            kept = semi_join_spread(probe, current, "_on", "_v", hot)
         else:
-            kept = semi_join_spread(probe.distinct(), current, "_on", "_v", hot_keys, salts)
-        # the keys handed outward: non-null already, grouped once
-        current = kept.select(F.col("_v").alias("_on")).distinct()
+            kept = probe.join(current, on="_on", how="left_semi")
+        if isinstance(kept.schema["_v"].dataType, ArrayType):
+            kept = kept.select(F.explode("_v").alias("_v"))
+        current = kept.where(F.col("_v").isNotNull()).select(F.col("_v").alias("_on")).distinct()
         inner_bounded = link.bounded
     return current.withColumnRenamed("_on", out or links[-1].key)
 

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 INT32_MIN, INT32_MAX = -(2**31), 2**31 - 1
@@ -79,8 +79,40 @@ class EmptyAudienceError(ValueError):
 
 
 def require_rows(df: DataFrame, name: str = "result") -> DataFrame:
-    """Fail if ``df`` is empty (G1).  Opt-in: it runs one small job."""
+    """Fail now if ``df`` is empty (G1).  Runs ``df`` until its first row.
+
+    For a whole plan use :class:`RowGuard`, which runs nothing twice.
+    """
     if df.isEmpty():
         raise EmptyAudienceError(f"{name} came back empty; check the inputs")
     return df
 
+
+class RowGuard:
+    """Counts rows while the plan runs; :meth:`check` fails afterwards (G1).
+
+    ``watch`` marks a part of the plan, ``watch_ids`` counts its ids that are
+    neither null nor a number (they take no part in an audience).  Call
+    ``check`` after the write: it raises for watched parts without rows and
+    returns the number of unusable ids by name.
+    """
+
+    def __init__(self):
+        self._rows: dict[str, Observation] = {}
+        self._ids: dict[str, Observation] = {}
+
+    def watch(self, df: DataFrame, name: str) -> DataFrame:
+        self._rows[name] = Observation()
+        return df.observe(self._rows[name], F.count(F.lit(1)).alias("rows"))
+
+    def watch_ids(self, df: DataFrame, column: str, name: str) -> DataFrame:
+        bad = F.col(column).isNotNull() & F.col(column).try_cast("bigint").isNull()
+        self._ids[name] = Observation()
+        return df.observe(self._ids[name], F.count_if(bad).alias("unusable"))
+
+    def check(self) -> dict[str, int]:
+        # a part the optimizer found empty reports nothing
+        empty = [n for n, seen in self._rows.items() if not seen.get.get("rows", 0)]
+        if empty:
+            raise EmptyAudienceError(f"{', '.join(empty)} came back empty; check the inputs")
+        return {n: seen.get.get("unusable", 0) for n, seen in self._ids.items()}

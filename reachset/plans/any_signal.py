@@ -10,6 +10,7 @@ they run in parallel stages instead of one round trip after another.
 from __future__ import annotations
 
 import datetime as dt
+from collections import ChainMap
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -21,12 +22,14 @@ from ..functions.predicates import (
     any_value_in,
     check_code,
     id_key,
+    is_multivalued,
     keyword_any,
     none_value_is,
+    not_equal,
     positive_id,
 )
 from ..operators.algebra import audience, exclude, in_any
-from ..operators.shape import cast_key, drop_incomplete, require_rows, with_literals
+from ..operators.shape import RowGuard, cast_key, drop_incomplete, with_literals
 from ..sources.events import event_window, union_sources
 
 # The reference's keyword list, in its order and spelling
@@ -104,7 +107,7 @@ def any_signal_audience(
     narrowing is exact or fails, so no further de-duplication is needed.
     """
     raw = in_any(signals, key)
-    kept = exclude(raw, new_accounts, key)
+    kept = exclude(raw, new_accounts, key, null_keys=False)
     # null checks come before the int32 narrowing: Catalyst pushes filters
     # down, and a filter holding the narrowing would test rows the
     # exclusion is about to drop (failing on an excluded out-of-range id)
@@ -130,7 +133,6 @@ class AnySignalParams:
     excluded_groups: tuple[str, ...] = ("privileged", "spider")
     search_rcv: str = "jsv"
     probe_agent: str = "catchpoint"
-    require_rows: bool = False
     partition_col: str | None = None  # event-date partition column, if any
 
 
@@ -156,73 +158,81 @@ def reference_signals(
     def win(name: str) -> DataFrame:
         return event_window(tables[name], lo, hi, partition_col=p.partition_col)
 
-    grp_ok = ~F.col("grp").isin(*p.excluded_groups)
+    grp_ok = not_equal("grp", *p.excluded_groups)
 
-    click = win("clickanalytics").where(
+    click = win("clicks").where(
         (F.col("job_country_code") == up_country)
         & (F.col("joblanguage") == lo_lang)
-        & (F.col("format") != "unknown")
-        & (F.col("account_id") > 0)
+        & not_equal("format", "unknown")
+        & positive_id("account_id")
         & _kw("query", p)
     )
     search = union_sources(
-        {"mobsearch": win("mobsearch"), "jobsearch": win("jobsearch")},
+        {"mobile_searches": win("mobile_searches"), "searches": win("searches")},
         where=grp_ok
         & (F.col("page") == 1)
         & (F.col("rcv") == p.search_rcv)
-        & (F.col("useragent") != p.probe_agent)
+        & not_equal("useragent", p.probe_agent)
         & (F.col("country") == lo_country)
         & (F.col("lang") == lo_lang)
-        & (F.col("account_id") > 0)
+        & positive_id("account_id")
         & _kw("qnorm", p),
     )
-    alerts = win("jobalertcreation").where(
-        none_value_is("creationGroups", "privileged")
+    created, seekers = win("job_alerts"), win("profiles")
+    scalar = lambda df, c: not is_multivalued(df, c)
+    alerts = created.where(
+        none_value_is("creationGroups", "privileged", scalar(created, "creationGroups"))
         & (F.col("alert_country_code") == lo_country)
         & (F.col("lang") == lo_lang)
         & positive_id("accountId")
         & _kw("q", p)
     )
-    views = win("viewjob").where(
+    views = win("job_views").where(
         grp_ok
         & (F.col("rcv") == p.search_rcv)
         & (F.col("site_country_code") == lo_country)
         & (F.col("lang") == lo_lang)
         & F.col("job_title_category").isin(*p.title_categories)
-        & (F.col("account_id") > 0)
+        & positive_id("account_id")
     )
-    profiles = win("jobseekerdata").where(
-        none_value_is("grps", "privileged")
+    profiles = seekers.where(
+        none_value_is("grps", "privileged", scalar(seekers, "grps"))
         & (F.col("country") == up_country)
-        & any_value_in("extractedSkills", p.skill_ids)
-        & (F.col("accountId") > 0)
+        & any_value_in("extractedSkills", p.skill_ids, scalar(seekers, "extractedSkills"))
+        & positive_id("accountId")
     )
     key = "accountId"
     signals = [
-        click.select(F.col("account_id").cast("bigint").alias(key)),
-        search.select(F.col("account_id").cast("bigint").alias(key)),
+        click.select(id_key("account_id").alias(key)),
+        search.select(id_key("account_id").alias(key)),
         alerts.select(id_key("accountId").alias(key)),
-        views.select(F.col("account_id").cast("bigint").alias(key)),
-        profiles.select(F.col("accountId").cast("bigint").alias(key)),
+        views.select(id_key("account_id").alias(key)),
+        profiles.select(id_key("accountId").alias(key)),
     ]
     new_accounts = audience(
         event_window(
-            tables["passaccount"], p.new_account_start, p.new_account_end, as_of=p.as_of,
+            tables["new_accounts"], p.new_account_start, p.new_account_end, as_of=p.as_of,
             partition_col=p.partition_col,
-        ).where((F.col("lang") == p.new_account_lang) & (F.col("accountid") > 0)),
+        )
+        .where((F.col("lang") == p.new_account_lang) & positive_id("accountid"))
+        .select(id_key("accountid").alias(key)),
         key,
-        source="accountid",
     )
     return signals, new_accounts
 
 
 def reference_any_signal(
-    tables: Mapping[str, DataFrame], p: AnySignalParams = AnySignalParams()
+    tables: Mapping[str, DataFrame],
+    p: AnySignalParams = AnySignalParams(),
+    guard: RowGuard | None = None,
 ) -> DataFrame:
     """Q2 over the reference's datasets."""
+    if guard:
+        alerts = guard.watch_ids(tables["job_alerts"], "accountId", "job_alerts.accountId")
+        tables = ChainMap({"job_alerts": alerts}, tables)
     signals, new_accounts = reference_signals(tables, p)
-    if p.require_rows:
+    if guard:
         names = ("click", "search", "job alert", "view", "profile")
-        for name, part in zip(names, signals):
-            require_rows(part, name)
+        signals = [guard.watch(part, name) for name, part in zip(names, signals)]
+        new_accounts = guard.watch(new_accounts, "new account")
     return any_signal_audience(signals, new_accounts)

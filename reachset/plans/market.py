@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_before, resolve_date, window_bounds
 from ..functions.predicates import id_key, non_empty
-from ..operators.algebra import audience, combine, exclude, restrict_to
+from ..operators.algebra import audience, combine, exclude
 from ..operators.shape import fill_defaults, rename, with_literals
 from ..sources.events import event_window, intersect_sources
 from ..sources.lookups import attach_profile, employer_accounts
-from .presets import MarketPreset, preset
+from .presets import METRO_PRESETS, MarketPreset, near_market, preset
 
 
 def market_audience(
@@ -63,7 +63,7 @@ def market_audience(
     with_profile = attach(aud)
     present = {c: v for c, v in defaults.items() if c in with_profile.columns}
     filled = fill_defaults(with_profile, present)
-    kept = exclude(filled, restrict_to(employers, aud, on=key), key)
+    kept = exclude(filled, employers, key, null_keys=False)
     if not one_row_per_account:
         return kept
     attrs = [c for c in kept.columns if c != key]
@@ -85,27 +85,8 @@ class MarketParams:
     partition_col: str | None = None  # event-date partition column, if any
 
 
-def _location(
-    df: DataFrame,
-    city_col: str,
-    pr: MarketPreset,
-    metro_cities: DataFrame | None,
-    spread_by: str,
-) -> DataFrame:
-    """Keep rows in the preset's city, or in any city of its metro list.
-
-    Events are heavily skewed by city (the market's main city holds most of
-    them), so the metro-list semi-join salts hot cities by ``spread_by``;
-    when AQE finds the city list small it is simply broadcast.
-    """
-    if pr.ip_city is not None:
-        return df.where(F.col(city_col) == pr.ip_city)
-    assert metro_cities is not None
-    return restrict_to(df, metro_cities, on=city_col, keys_on="jlcity", spread_by=spread_by)
-
-
 def metro_cities(
-    searchablejobs: DataFrame,
+    job_postings: DataFrame,
     pr: MarketPreset,
     start: dt.date,
     end: dt.date,
@@ -117,7 +98,7 @@ def metro_cities(
     A small grouped frame (one row per city and admin code), used as the
     build side of a semi-join; AQE broadcasts it when it is small.
     """
-    posts = event_window(searchablejobs, start, end, partition_col=partition_col).where(
+    posts = event_window(job_postings, start, end, partition_col=partition_col).where(
         (F.col("jobcountry") == country) & (F.col("jlmsa") == pr.jlmsa) & non_empty("jlcity")
     )
     return audience(posts, "jlcity", "jladmin1code")
@@ -137,25 +118,23 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     cities = None
     if pr.ip_city is None:
         cities = metro_cities(
-            tables["searchablejobs"], pr, days_before(focus, p.metro_days), focus, p.country,
+            tables["job_postings"], pr, days_before(focus, p.metro_days), focus, p.country,
             p.partition_col,
         )
 
     accounts = None
     if p.account_days > 0:
         lo, hi = window_bounds(days_before(focus, p.account_days), focus)
-        signins = _location(
-            event_window(tables["passsigninattempt"], lo, hi, partition_col=p.partition_col)
+        signins = near_market(
+            event_window(tables["sign_ins"], lo, hi, partition_col=p.partition_col)
             .where(F.col("js_ip_country_code") == p.country)
             .select("ipcity", id_key("accountId").alias(key)),
-            "ipcity",
-            pr,
-            cities,
-            spread_by=key,
+            METRO_PRESETS, p.city, p.include_metro, "ipcity",
+            metro_cities=cities, metro_key="jlcity", spread_by=key,
         ).select(key)
-        created = event_window(tables["passaccount"], lo, hi, partition_col=p.partition_col).where(
+        created = event_window(tables["new_accounts"], lo, hi, partition_col=p.partition_col).where(
             F.col("country") == p.country
-        ).select(F.col("accountid").cast("bigint").alias(key))
+        ).select(id_key("accountid").alias(key))
         accounts = intersect_sources(
             {
                 "a": (signins.where(F.col(key) != 0), key),
@@ -169,19 +148,16 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     alerts = None
     if p.alert_days > 0:
         lo, hi = window_bounds(days_before(focus, p.alert_days), focus)
-        found = _location(
-            event_window(tables["jobalertcreation"], lo, hi, partition_col=p.partition_col)
+        found = near_market(
+            event_window(tables["job_alerts"], lo, hi, partition_col=p.partition_col)
             .where(
                 (F.col("country") == p.country.lower())
-                & F.col("ipRegion").isin(*pr.ip_regions)
                 & (F.col("ipCountry") == p.country)
                 & non_empty("accountId")
             )
             .select(id_key("accountId").alias(key), "ipCity", "ipRegion"),
-            "ipCity",
-            pr,
-            cities,
-            spread_by=key,
+            METRO_PRESETS, p.city, p.include_metro, "ipCity", region_col="ipRegion",
+            metro_cities=cities, metro_key="jlcity", spread_by=key,
         )
         alerts = audience(found, key, "ipCity", "ipRegion")
 

@@ -1,7 +1,8 @@
 """Named queries over the driver tables (FIXTURES §C).
 
 Each query exercises one or more library operators on the TPC-H-style
-tables and the ``events`` table, over the whole tables.  ``oracle_sql.SQL``
+tables and the ``events`` table, over the whole tables (a date window or a
+filter is there only where it is the operator's own).  ``oracle_sql.SQL``
 holds the equivalent DuckDB text for every query; column names agree one to
 one.  The operator demos (``inner_audience``, ``anti_audience``, ...) use
 the operator they are named after; the three plans use the cheapest
@@ -17,16 +18,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
-from ..functions.dates import date_text, typed_bound, window_bounds
+from ..functions.dates import date_text, days_before, window_bounds
 from ..functions.predicates import (
     all_of,
     any_of,
     any_value_in,
+    id_key,
+    is_multivalued,
     keyword_any,
     matches,
     non_empty,
+    none_value_is,
+    not_equal,
+    positive_id,
     same_code,
     two_letter_code,
 )
@@ -34,6 +39,7 @@ from ..operators.algebra import (
     Link,
     audience,
     audience_by_token,
+    checked_broadcast,
     combine,
     distinct_count,
     exclude,
@@ -62,7 +68,8 @@ from ..sources.sinks import (
 )
 from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
-from .unconverted import with_company
+from .presets import MarketPreset, near_market
+from .unconverted import unconverted_audience, with_company
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,11 +118,6 @@ def _d(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
 
-def _since(col: str, day: str):
-    """``col >= day`` for a timestamp_ntz column, as a pushable literal."""
-    return F.col(col) >= typed_bound(_d(day), TimestampNTZType())
-
-
 def _events(spark, sf_dir, kind: str, start: str | None = None, end: str | None = None):
     ev = table(spark, sf_dir, "events")
     if start is not None:
@@ -130,7 +132,9 @@ def _events(spark, sf_dir, kind: str, start: str | None = None, end: str | None
 
 def q_event_window(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return event_window(ev, _d("2024-01-10"), _d("2024-01-15")).select("event_id", "user_id")
+    return event_window(
+        ev, dt.datetime(2024, 1, 10, 6), dt.datetime(2024, 1, 25, 18, 30)
+    ).select("event_id", "user_id")
 
 
 def q_union_sources(spark, sf_dir):
@@ -163,9 +167,9 @@ def q_intersect_sources(spark, sf_dir):
 
 def q_profile_lookup(spark, sf_dir):
     keys = audience(
-        _events(spark, sf_dir, "signup", "2024-01-10", "2024-01-12"), "account_id", source="user_id"
+        _events(spark, sf_dir, "signup"), "account_id", source="user_id"
     )
-    nation = table(spark, sf_dir, "nation").where(F.col("n_regionkey") < 3)
+    nation = table(spark, sf_dir, "nation")
     return attach_profile(
         keys,
         "account_id",
@@ -182,10 +186,11 @@ def q_profile_lookup(spark, sf_dir):
 
 def q_scrub_accounts(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("account_id"))
-    employers = employer_accounts(
-        table(spark, sf_dir, "supplier"), "account_id", "s_acctbal", source="s_suppkey",
-        within=customers,
+    # a balance below 0 stands for "no advertiser id", so the flag rejects rows
+    info = table(spark, sf_dir, "supplier").withColumn(
+        "flag", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal"))
     )
+    employers = employer_accounts(info, "account_id", "flag", source="s_suppkey", within=customers)
     return exclude(customers, employers, "account_id")
 
 
@@ -195,17 +200,50 @@ def q_scrub_accounts(spark, sf_dir):
 
 
 def q_filter_compare(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
+    # sessions of some users have '' or no label, so every predicate rejects rows
+    label = (
+        F.when(F.col("user_id") % 5 == 0, "")
+        .when(F.col("user_id") % 7 == 0, F.lit(None))
+        .otherwise(F.col("event_type"))
+    )
+    ev = table(spark, sf_dir, "events").withColumn("label", label)
     return ev.where(
         all_of(
-            F.col("event_type") == "click",
-            non_empty("event_type"),
-            F.col("user_id") != 7,
+            non_empty("label"), not_equal("label", "view"), F.col("user_id") != 7,
             F.col("value") > 50,
         )
     ).select("event_id")
 
 
+def q_not_equal_nulls(spark, sf_dir):
+    """``!=`` on a scalar with nulls, and on a list field that may be missing."""
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
+        F.when(F.col("p_size") > 10, F.col("p_brand")).alias("brand"),
+        F.when(F.col("p_size") > 20, F.split("p_name", " ")).alias("words"),
+        F.split("p_name", " ")[0].alias("word"),
+    )
+    brands = ("Brand#11", "Brand#12")
+    return parts.where(
+        not_equal("brand", *brands)
+        & none_value_is("words", "red")
+        & none_value_is("word", "blue", scalar=not is_multivalued(parts, "word"))
+    ).select("p_partkey")
+
+
+def q_ids_as_text(spark, sf_dir):
+    """Ids stored as text: blanks, words and overflow take no part."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 11 == 0, "abc")
+        .when(F.col("o_orderkey") % 13 == 0, "")
+        .when(F.col("o_orderkey") % 17 == 0, "99999999999999999999")
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("account")
+    )
+    usable = orders.where(positive_id("account")).select(id_key("account").alias("account_id"))
+    return audience(usable, "account_id", count="n")
+
+
 def q_filter_in_list(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     return c.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey")
@@ -263,13 +301,45 @@ def q_multivalue_group(spark, sf_dir):
     return audience_by_token(p, "tokens", alias="token", count="n")
 
 
-# A preset over the driver tables: market name -> region and city label.
-DRIVER_PRESETS = {"Hub A": {"metro": "ASIA", "city": "NATION_2"}}
+# Presets over the driver tables: metro areas are regions, cities are nations,
+# regions are market segments.
+DRIVER_PRESETS = {
+    ("Hub A", True): MarketPreset("Hub A", True, "ASIA", "HA", None, ("BUILDING", "MACHINERY")),
+    ("Hub A", False): MarketPreset("Hub A", False, "ASIA", "HA", "NATION_2", ("BUILDING",)),
+}
+
+
+def _near_hub(spark, sf_dir, include_metro):
+    t = lambda n: table(spark, sf_dir, n)
+    pr = DRIVER_PRESETS["Hub A", include_metro]
+    nation = t("nation").select("n_nationkey", "n_name", "n_regionkey")
+    metro = restrict_to(
+        nation, t("region").where(F.col("r_name") == pr.jlmsa), on="n_regionkey",
+        keys_on="r_regionkey", bounded=True,
+    )
+    people = (
+        t("customer").join(
+            checked_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
+        ).select("c_custkey", "n_name", "c_mktsegment")
+    )
+    near = near_market(
+        people, DRIVER_PRESETS, pr.city, include_metro, "n_name", region_col="c_mktsegment",
+        metro_cities=metro, metro_key="n_name", spread_by="c_custkey",
+    )
+    return with_literals(near.select("c_custkey", "n_name"), {"state": pr.state})
+
+
+def q_near_market_metro(spark, sf_dir):
+    return _near_hub(spark, sf_dir, True)
+
+
+def q_near_market_city(spark, sf_dir):
+    return _near_hub(spark, sf_dir, False)
 
 
 def q_preset_filter(spark, sf_dir):
-    pr = DRIVER_PRESETS["Hub A"]
-    region = table(spark, sf_dir, "region").where(F.col("r_name") == pr["metro"])
+    pr = DRIVER_PRESETS["Hub A", False]
+    region = table(spark, sf_dir, "region").where(F.col("r_name") == pr.jlmsa)
     # region and nation are dimensions of fixed size: their keys are broadcast
     nations = restrict_to(
         table(spark, sf_dir, "nation"), region, on="n_regionkey", keys_on="r_regionkey",
@@ -282,7 +352,7 @@ def q_preset_filter(spark, sf_dir):
         keys_on="n_nationkey",
         bounded=True,
     )
-    return with_literals(customers.select("c_custkey"), {"city": pr["city"]})
+    return with_literals(customers.select("c_custkey"), {"city": pr.ip_city})
 
 
 # --------------------------------------------------------------------------
@@ -322,24 +392,24 @@ def q_semi_chain(spark, sf_dir):
 
 def q_semi_keys(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderstatus") == "F") & _since("o_orderdate", "2001-01-01")
+        (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
     )
     customers = table(spark, sf_dir, "customer").select("c_name", "c_custkey")
     return dedupe(restrict_to(customers, orders, on="c_custkey", keys_on="o_custkey"))
 
 
 def q_inner_audience(spark, sf_dir):
-    views = audience(_events(spark, sf_dir, "view", "2024-01-10", "2024-01-15"), "account_id", source="user_id")
-    clicks = audience(_events(spark, sf_dir, "click", "2024-01-10", "2024-01-15"), "account_id", source="user_id")
+    views = audience(_events(spark, sf_dir, "view"), "account_id", source="user_id")
+    clicks = audience(_events(spark, sf_dir, "click"), "account_id", source="user_id")
     return in_all([views, clicks], "account_id")
 
 
 def q_full_attributes(spark, sf_dir):
     clicks = audience(
-        _events(spark, sf_dir, "click", "2024-01-01", "2024-01-04"), "account_id", source="user_id", count="n_click"
+        _events(spark, sf_dir, "click"), "account_id", source="user_id", count="n_click"
     )
     signups = audience(
-        _events(spark, sf_dir, "signup", "2024-01-01", "2024-01-04"), "account_id", source="user_id", count="n_signup"
+        _events(spark, sf_dir, "signup"), "account_id", source="user_id", count="n_signup"
     )
     return combine(clicks, signups, "account_id", how="full")
 
@@ -354,10 +424,7 @@ def q_union_audiences(spark, sf_dir):
             ev.where((F.col("event_type") == "click") & (F.col("value") > 60)).select(
                 F.col("user_id").alias(key)
             ),
-            od.where(
-                (F.col("o_orderpriority") == "1-URGENT")
-                & _since("o_orderdate", "2001-01-01")
-            ).select(F.col("o_custkey").alias(key)),
+            od.where(F.col("o_orderpriority") == "1-URGENT").select(F.col("o_custkey").alias(key)),
             cu.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").alias(key)),
         ],
         key,
@@ -366,7 +433,7 @@ def q_union_audiences(spark, sf_dir):
 
 def q_anti_audience(spark, sf_dir):
     views = audience(_events(spark, sf_dir, "view"), "account_id", source="user_id")
-    buyers = _events(spark, sf_dir, "purchase", "2024-01-10", "2024-01-12")
+    buyers = _events(spark, sf_dir, "purchase").where(F.col("value") > 60)
     return exclude(views, buyers, "account_id", other_key="user_id")
 
 
@@ -376,7 +443,7 @@ def q_anti_audience(spark, sf_dir):
 
 
 def q_distinct_keys(spark, sf_dir):
-    ev = event_window(table(spark, sf_dir, "events"), _d("2024-01-10"), _d("2024-01-12"))
+    ev = table(spark, sf_dir, "events")
     return audience(ev, "account_id", source="user_id", count="n")
 
 
@@ -393,7 +460,8 @@ def _nation_names(spark, sf_dir, cond):
     nation = table(spark, sf_dir, "nation").where(cond)
     return (
         table(spark, sf_dir, "customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "inner")
+        # 25 nations at most: a dimension of fixed size
+        .join(checked_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "inner")
         .select("c_custkey", "n_name")
     )
 
@@ -412,7 +480,7 @@ def q_fill_defaults(spark, sf_dir):
     )
     nation = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == 2)
     joined = customers.join(
-        nation, customers["c_nationkey"] == nation["n_nationkey"], "left"
+        checked_broadcast(nation), customers["c_nationkey"] == nation["n_nationkey"], "left"
     ).select("account_id", F.col("n_name").alias("city"))
     return fill_defaults(joined, {"city": "Hub A"})
 
@@ -424,22 +492,29 @@ def q_shape_output(spark, sf_dir):
 
 
 def q_date_offset(spark, sf_dir):
-    lo, hi = window_bounds("30d", "0d", as_of=_d("1998-12-01"))
+    focus = _d("1998-12-01")
+    lo, hi = window_bounds(days_before(focus, 30), "0d", as_of=focus)
     od = event_window(table(spark, sf_dir, "orders"), lo, hi, ts="o_orderdate")
     return od.select("o_orderkey")
 
 
 def q_code_filter(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return docs.where(two_letter_code("lang") & same_code("lang", "fr", case="lower")).select(
-        "doc_id", F.upper(F.trim("lang")).alias("lang")
+    # some codes are padded, some too long, some in capitals
+    code = (
+        F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit(" "), F.col("lang"), F.lit(" ")))
+        .when(F.col("doc_id") % 7 == 0, F.concat(F.col("lang"), F.lit("a")))
+        .when(F.col("doc_id") % 3 == 0, F.upper("lang"))
+        .otherwise(F.col("lang"))
+    )
+    docs = table(spark, sf_dir, "documents").select("doc_id", code.alias("code"))
+    two = docs.where(two_letter_code("code"))
+    return two.where(any_of(same_code("code", "fr"), same_code("code", "de", case="upper"))).select(
+        "doc_id", F.upper(F.trim("code")).alias("lang")
     )
 
 
 def q_date_text(spark, sf_dir):
-    od = table(spark, sf_dir, "orders").where(
-        _since("o_orderdate", "2001-01-01")
-    )
+    od = table(spark, sf_dir, "orders")
     return od.select("o_orderkey", date_text("o_orderdate").alias("day"))
 
 
@@ -472,6 +547,33 @@ def q_unconverted_audience(spark, sf_dir):
     return with_company(raw, companies, key=key)
 
 
+def q_unconverted_chain(spark, sf_dir):
+    """Q1 in its own shape: two nested chains, intersection, exclusion, company."""
+    t = lambda n: table(spark, sf_dir, n)
+    key = "l_suppkey"
+    finished = Link(t("orders").where(F.col("o_orderstatus") == "F"), key="o_orderkey")
+    urgent = [
+        Link(t("customer").where(F.col("c_mktsegment") == "BUILDING"), key="c_custkey"),
+        Link(
+            t("orders").where(
+                (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+            ),
+            key="o_orderkey",
+            on="o_custkey",
+        ),
+    ]
+    lines = t("lineitem")
+    base = audience(lines.where(not_equal("l_returnflag", "R")), key)
+    optimized = semi_chain(
+        [finished, Link(lines.where(F.col("l_discount") >= 0.1), key=key, on="l_orderkey")]
+    )
+    spent = semi_chain(
+        [*urgent, Link(lines.where(F.col("l_quantity") > 49), key=key, on="l_orderkey")]
+    )
+    companies = t("supplier").select(F.col("s_suppkey").alias(key), F.col("s_name").alias("company"))
+    return unconverted_audience(base, optimized, spent, companies, key=key)
+
+
 def q_any_signal_audience(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     od = table(spark, sf_dir, "orders")
@@ -506,14 +608,12 @@ def q_market_audience(spark, sf_dir):
         bounded=True,
     )
     buyers = audience(
-        t("orders").where(_since("o_orderdate", "2001-01-01")),
-        key,
-        source="o_custkey",
+        t("orders").where(F.col("o_orderpriority") == "1-URGENT"), key, source="o_custkey"
     )
     located = (
         buyers.join(t("customer").select(F.col("c_custkey").alias(key), "c_nationkey"), key)
-        # the metro's nations: a subset of a fixed-size dimension, broadcast
-        .join(F.broadcast(metro), F.col("c_nationkey") == F.col("n_nationkey"))
+        # the metro's nations: a subset of a fixed-size dimension
+        .join(checked_broadcast(metro), F.col("c_nationkey") == F.col("n_nationkey"))
         .select(key, F.col("n_name").alias("City"))
     )
     alerts = audience(located, key, "City")
@@ -534,23 +634,42 @@ def q_market_audience(spark, sf_dir):
 # --------------------------------------------------------------------------
 
 
+def _awkward_names(spark, sf_dir):
+    """Every customer, some with '', null, quotes, line breaks or outer blanks."""
+    k = F.col("c_custkey")
+    name = (
+        F.when(k % 11 == 0, "")
+        .when(k % 13 == 0, F.lit(None))
+        .when(k % 17 == 0, F.concat(F.lit('say "hi" \\ '), F.col("c_name")))
+        .when(k % 19 == 0, F.concat(F.col("c_name"), F.lit("\nline two")))
+        .when(k % 23 == 0, F.concat(F.lit("  "), F.col("c_name"), F.lit(", x ")))
+        .otherwise(F.col("c_name"))
+    )
+    return table(spark, sf_dir, "customer").select(
+        k.alias("accountId"), name.alias("firstName"), F.col("c_mktsegment").alias("City")
+    )
+
+
+# One output folder for each session and sink, written anew by each call.
+_SCRATCH: dict[tuple[int, str], str] = {}
+
+
+def _scratch(spark, name):
+    memo = (id(spark), name)
+    if memo not in _SCRATCH:
+        _SCRATCH[memo] = shared_dir(spark, name)
+    return _SCRATCH[memo]
+
+
 def q_json_roundtrip(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    out = c.select(F.col("c_custkey").alias("accountId"), F.col("c_name").alias("firstName"))
-    path = shared_dir(spark, "json-roundtrip")
-    write_campaign_json(out, path)
+    path = _scratch(spark, "json-roundtrip")
+    write_campaign_json(_awkward_names(spark, sf_dir).drop("City"), path, mode="overwrite")
     return read_campaign_json(spark, path, "accountId bigint, firstName string")
 
 
 def q_csv_roundtrip(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
-    out = c.select(
-        F.col("c_custkey").alias("accountId"),
-        F.col("c_name").alias("firstName"),
-        F.col("c_mktsegment").alias("City"),
-    )
-    path = shared_dir(spark, "csv-roundtrip")
-    write_campaign_csv(out, path)
+    path = _scratch(spark, "csv-roundtrip")
+    write_campaign_csv(_awkward_names(spark, sf_dir), path, mode="overwrite")
     return read_campaign_csv(spark, path, "accountId bigint, firstName string, City string")
 
 
@@ -561,6 +680,8 @@ QUERIES: dict[str, Query] = {
     "profile_lookup": q_profile_lookup,
     "scrub_accounts": q_scrub_accounts,
     "filter_compare": q_filter_compare,
+    "not_equal_nulls": q_not_equal_nulls,
+    "ids_as_text": q_ids_as_text,
     "filter_in_list": q_filter_in_list,
     "filter_boolean_mix": q_filter_boolean_mix,
     "regex_full_match": q_regex_full_match,
@@ -571,6 +692,8 @@ QUERIES: dict[str, Query] = {
     "multivalue_any": q_multivalue_any,
     "multivalue_group": q_multivalue_group,
     "preset_filter": q_preset_filter,
+    "near_market_metro": q_near_market_metro,
+    "near_market_city": q_near_market_city,
     "semi_chain": q_semi_chain,
     "semi_keys": q_semi_keys,
     "inner_audience": q_inner_audience,
@@ -585,6 +708,7 @@ QUERIES: dict[str, Query] = {
     "shape_output": q_shape_output,
     "date_offset": q_date_offset,
     "unconverted_audience": q_unconverted_audience,
+    "unconverted_chain": q_unconverted_chain,
     "any_signal_audience": q_any_signal_audience,
     "market_audience": q_market_audience,
     "code_filter": q_code_filter,

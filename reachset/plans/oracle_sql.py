@@ -25,8 +25,8 @@ def re2_keyword_pattern(words) -> str:
 
 
 SQL: dict[str, str] = {
-    "event_window": """
-select event_id, user_id from events where ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-15'
+    "event_window": r"""
+select event_id, user_id from events where ts>=timestamp '2024-01-10 06:00:00' and ts<timestamp '2024-01-25 18:30:00'
 """,
     "union_sources": """
 select distinct account_id from (select user_id as account_id, event_type as kind from events union all select o_custkey, o_orderstatus from orders) u where kind in ('click','F') and account_id>0
@@ -34,14 +34,14 @@ select distinct account_id from (select user_id as account_id, event_type as kin
     "intersect_sources": """
 select a.account_id from (select user_id as account_id, count(*) as n from events where event_type='signup' and ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-20' and user_id>0 group by user_id) a join (select o_custkey as account_id, count(*) as n from orders where o_orderstatus='F' and o_custkey>0 group by o_custkey) b on a.account_id=b.account_id where a.n>0 and b.n>0
 """,
-    "profile_lookup": """
-select e.account_id, c.c_name as name, n.n_name as home from (select distinct user_id as account_id from events where event_type='signup' and ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-12') e join customer c on c.c_custkey=e.account_id left join (select * from nation where n_regionkey<3) n on n.n_nationkey=c.c_nationkey
+    "profile_lookup": r"""
+select e.account_id, c.c_name as name, n.n_name as home from (select distinct user_id as account_id from events where event_type='signup') e join customer c on c.c_custkey=e.account_id left join nation n on n.n_nationkey=c.c_nationkey
 """,
-    "scrub_accounts": """
-select c_custkey as account_id from customer where not exists (select 1 from supplier where s_suppkey=c_custkey and s_acctbal is not null)
+    "scrub_accounts": r"""
+select c_custkey as account_id from customer where not exists (select 1 from supplier where s_suppkey=c_custkey and (case when s_acctbal>=0 then s_acctbal end) is not null)
 """,
-    "filter_compare": """
-select event_id from events where event_type='click' and event_type<>'' and user_id<>7 and value>50
+    "filter_compare": r"""
+select event_id from (select *, case when user_id%5=0 then '' when user_id%7=0 then null else event_type end as label from events) e where label<>'' and label<>'view' and user_id<>7 and value>50
 """,
     "filter_in_list": """
 select c_custkey from customer where c_mktsegment in ('BUILDING','MACHINERY')
@@ -70,23 +70,23 @@ select c.c_custkey, p.city from customer c join nation n on n.n_nationkey=c.c_na
     "semi_chain": """
 select distinct l_suppkey from lineitem where l_returnflag<>'R' and l_quantity>40 and l_orderkey in (select o_orderkey from orders where o_orderstatus='F' and o_orderpriority='1-URGENT' and o_custkey in (select c_custkey from customer where c_mktsegment='BUILDING' and c_nationkey in (select n_nationkey from nation where n_regionkey in (select r_regionkey from region where r_name='ASIA'))))
 """,
-    "semi_keys": """
-select distinct c_name, c_custkey from customer where c_custkey in (select o_custkey from orders where o_orderstatus='F' and o_orderdate>=timestamp '2001-01-01')
+    "semi_keys": r"""
+select distinct c_name, c_custkey from customer where c_custkey in (select o_custkey from orders where o_orderstatus='F' and o_orderpriority='1-URGENT')
 """,
-    "inner_audience": """
-select a.account_id from (select distinct user_id as account_id from events where event_type='view' and ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-15') a join (select distinct user_id as account_id from events where event_type='click' and ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-15') b on a.account_id=b.account_id
+    "inner_audience": r"""
+select a.account_id from (select distinct user_id as account_id from events where event_type='view') a join (select distinct user_id as account_id from events where event_type='click') b on a.account_id=b.account_id
 """,
-    "full_attributes": """
-select coalesce(a.account_id,b.account_id) as account_id, a.n_click, b.n_signup from (select user_id as account_id, count(*) as n_click from events where event_type='click' and ts>=timestamp '2024-01-01' and ts<timestamp '2024-01-04' group by user_id) a full join (select user_id as account_id, count(*) as n_signup from events where event_type='signup' and ts>=timestamp '2024-01-01' and ts<timestamp '2024-01-04' group by user_id) b on a.account_id=b.account_id
+    "full_attributes": r"""
+select coalesce(a.account_id,b.account_id) as account_id, a.n_click, b.n_signup from (select user_id as account_id, count(*) as n_click from events where event_type='click' group by user_id) a full join (select user_id as account_id, count(*) as n_signup from events where event_type='signup' group by user_id) b on a.account_id=b.account_id
 """,
-    "union_audiences": """
-select user_id as account_id from events where event_type='click' and value>60 union select o_custkey from orders where o_orderpriority='1-URGENT' and o_orderdate>=timestamp '2001-01-01' union select c_custkey from customer where c_mktsegment='BUILDING'
+    "union_audiences": r"""
+select user_id as account_id from events where event_type='click' and value>60 union select o_custkey from orders where o_orderpriority='1-URGENT' union select c_custkey from customer where c_mktsegment='BUILDING'
 """,
-    "anti_audience": """
-select distinct user_id as account_id from events e where event_type='view' and not exists (select 1 from events s where s.user_id=e.user_id and s.event_type='purchase' and s.ts>=timestamp '2024-01-10' and s.ts<timestamp '2024-01-12')
+    "anti_audience": r"""
+select distinct user_id as account_id from events e where event_type='view' and not exists (select 1 from events s where s.user_id=e.user_id and s.event_type='purchase' and s.value>60)
 """,
-    "distinct_keys": """
-select user_id as account_id, count(*) as n from events where ts>=timestamp '2024-01-10' and ts<timestamp '2024-01-12' group by user_id
+    "distinct_keys": r"""
+select user_id as account_id, count(*) as n from events group by user_id
 """,
     "group_multi_key": """
 select o_custkey, o_orderstatus, o_orderpriority, count(*) as n from orders group by o_custkey, o_orderstatus, o_orderpriority
@@ -118,22 +118,40 @@ select cast(k as int) as accountId, '' as firstName from (select user_id as k fr
 """,
     "market_audience": """
 with metro as (select n_nationkey, n_name from nation where n_regionkey in (select r_regionkey from region where r_name='ASIA')),
-alerts as (select distinct o.o_custkey as k, m.n_name as city from orders o join customer c on c.c_custkey=o.o_custkey join metro m on m.n_nationkey=c.c_nationkey where o.o_orderdate>=timestamp '2001-01-01'),
+alerts as (select distinct o.o_custkey as k, m.n_name as city from orders o join customer c on c.c_custkey=o.o_custkey join metro m on m.n_nationkey=c.c_nationkey where o.o_orderpriority='1-URGENT'),
 accounts as (select distinct user_id as k from events where event_type='signup' and ts>=timestamp '2024-01-20' and ts<timestamp '2024-01-31'),
 audience as (select coalesce(a.k,n.k) as k, a.city from alerts a full join accounts n on a.k=n.k)
 select audience.k as accountId, coalesce(audience.city,'Hub A') as City, c.c_name as firstName from audience left join customer c on c.c_custkey=audience.k where not exists (select 1 from supplier sp where sp.s_suppkey=audience.k and sp.s_acctbal>5000)
 """,
-    "code_filter": """
-select doc_id, upper(trim(lang)) as lang from documents where regexp_full_match(trim(lang), '[A-Za-z]{2}') and lower(lang)='fr'
+    "code_filter": r"""
+select doc_id, upper(trim(code)) as lang from (select doc_id, case when doc_id%5=0 then ' '||lang||' ' when doc_id%7=0 then lang||'a' when doc_id%3=0 then upper(lang) else lang end as code from documents) d where regexp_full_match(trim(code), '[A-Za-z]{2}') and lower(trim(code)) in ('fr','de')
 """,
-    "date_text": """
-select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders where o_orderdate>=timestamp '2001-01-01'
+    "date_text": r"""
+select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as day from orders
 """,
-    "json_roundtrip": """
-select c_custkey as accountId, c_name as firstName from customer where c_mktsegment='BUILDING'
+    "json_roundtrip": r"""
+select c_custkey as accountId, case when c_custkey%11=0 then '' when c_custkey%13=0 then null when c_custkey%17=0 then 'say "hi" \ '||c_name when c_custkey%19=0 then c_name||chr(10)||'line two' when c_custkey%23=0 then '  '||c_name||', x ' else c_name end as firstName from customer
 """,
-    "csv_roundtrip": """
-select c_custkey as accountId, c_name as firstName, c_mktsegment as City from customer where c_mktsegment='BUILDING'
+    "csv_roundtrip": r"""
+select c_custkey as accountId, case when c_custkey%11=0 then '' when c_custkey%13=0 then null when c_custkey%17=0 then 'say "hi" \ '||c_name when c_custkey%19=0 then c_name||chr(10)||'line two' when c_custkey%23=0 then '  '||c_name||', x ' else c_name end as firstName, c_mktsegment as City from customer
+""",
+    "not_equal_nulls": r"""
+select p_partkey from (select p_partkey, case when p_size>10 then p_brand end as brand, case when p_size>20 then string_split(p_name,' ') end as words, string_split(p_name,' ')[1] as word from part) p where (brand is null or brand not in ('Brand#11','Brand#12')) and not coalesce(list_contains(words,'red'), false) and (word is null or word<>'blue')
+""",
+    "ids_as_text": r"""
+select try_cast(account as bigint) as account_id, count(*) as n from (select case when o_orderkey%11=0 then 'abc' when o_orderkey%13=0 then '' when o_orderkey%17=0 then '99999999999999999999' else cast(o_custkey as varchar) end as account from orders) o where try_cast(account as bigint)>0 group by 1
+""",
+    "near_market_metro": r"""
+select c_custkey, n_name, 'HA' as state from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING','MACHINERY') and n_name in (select n_name from nation join region on r_regionkey=n_regionkey where r_name='ASIA')
+""",
+    "near_market_city": r"""
+select c_custkey, n_name, 'HA' as state from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING') and n_name='NATION_2'
+""",
+    "unconverted_chain": r"""
+with base as (select distinct l_suppkey as k from lineitem where l_returnflag is null or l_returnflag<>'R'),
+opt as (select distinct l_suppkey as k from lineitem where l_discount>=0.1 and l_orderkey in (select o_orderkey from orders where o_orderstatus='F')),
+spent as (select distinct l_suppkey as k from lineitem where l_quantity>49 and l_orderkey in (select o_orderkey from orders where o_orderstatus='F' and o_orderpriority='1-URGENT' and o_custkey in (select c_custkey from customer where c_mktsegment='BUILDING')))
+select distinct cast(b.k as int) as advertiserId, s_name as company from base b join opt o on o.k=b.k join supplier on s_suppkey=b.k where b.k not in (select k from spent)
 """,
     "keyword_words": r"""
 select p_partkey from part where regexp_matches(p_name, '(?i)(^|[^\pL\pM\pN])(widget|bolt|red)([^\pL\pM\pN]|$)')

@@ -9,11 +9,14 @@ metro area", taken from recent job postings by a semi-join at run time.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.algebra import restrict_to
+
 
 @dataclass(frozen=True)
 class MarketPreset:
@@ -70,6 +73,34 @@ def preset(city: str, include_metro: bool) -> MarketPreset:
         raise ValueError(f"unknown city {city!r}; one of {', '.join(CITIES)}") from None
 
 
+def near_market(
+    df: DataFrame,
+    presets: Mapping[tuple[str, bool], MarketPreset],
+    city: str,
+    include_metro: bool,
+    city_col: str,
+    region_col: str | None = None,
+    metro_cities: DataFrame | None = None,
+    metro_key: str | None = None,
+    spread_by: str | None = None,
+) -> DataFrame:
+    """Rows in the preset's place.
+
+    With an ``ip_city`` the place is that city; without one it is every city
+    of ``metro_cities`` (column ``metro_key``), by a semi-join that leaves the
+    rows where they are while the list is small.  ``region_col``, if given,
+    must be one of the preset's regions.
+    """
+    pr = presets[city, include_metro]
+    if region_col is not None:
+        df = df.where(F.col(region_col).isin(*pr.ip_regions))
+    if pr.ip_city is not None:
+        return df.where(F.col(city_col) == pr.ip_city)
+    if metro_cities is None:
+        raise ValueError(f"{city} with its metro area needs the list of the metro's cities")
+    return restrict_to(df, metro_cities, on=city_col, keys_on=metro_key, spread_by=spread_by)
+
+
 def presets_frame(spark: SparkSession) -> DataFrame:
     """The 26 presets as a DataFrame (for joins over several markets)."""
     rows = [

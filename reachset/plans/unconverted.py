@@ -16,9 +16,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import window_bounds
-from ..functions.predicates import all_of, any_of, any_value_in, matches, non_empty
-from ..operators.algebra import Link, audience, exclude, in_all, restrict_to, semi_chain
-from ..operators.shape import cast_key, drop_incomplete, require_rows
+from ..functions.predicates import (
+    all_of,
+    any_of,
+    any_value_in,
+    is_multivalued,
+    matches,
+    non_empty,
+    not_equal,
+)
+from ..operators.algebra import (
+    MEASURE_FROM,
+    Link,
+    audience,
+    exclude,
+    in_all,
+    restrict_to,
+    semi_chain,
+)
+from ..operators.shape import RowGuard, cast_key, drop_incomplete
 from ..session import cut_lineage
 from ..sources.events import event_window
 
@@ -42,10 +58,10 @@ def unconverted_audience(
     if optimized_mode == "in":
         kept = in_all([base, optimized], key)
     elif optimized_mode == "not_in":
-        kept = exclude(audience(base, key), optimized, key)
+        kept = exclude(audience(base, key), optimized, key, null_keys=False)
     else:
         raise ValueError(f"optimized_mode must be 'in' or 'not_in', not {optimized_mode!r}")
-    return with_company(exclude(kept, spent, key), companies, key, company, out_key)
+    return with_company(exclude(kept, spent, key, null_keys=False), companies, key, company, out_key)
 
 
 def with_company(
@@ -75,9 +91,14 @@ def with_company(
     return cast_key(drop_incomplete(names), key, out_key)
 
 
-# The reference's hard-coded query constants, as defaults.
 @dataclass(frozen=True)
 class UnconvertedParams:
+    """Campaign constants have no defaults: they name one company's data."""
+
+    client_name: str
+    campaign: str
+    excluded_advertiser: int
+    eligibility_group: str
     start: str | dt.date = "20d"
     focus: str | dt.date = "12d"
     mail_start: str | dt.date = "2d"
@@ -85,10 +106,6 @@ class UnconvertedParams:
     company_start: str | dt.date = "15d"
     company_end: str | dt.date = "0d"
     as_of: dt.date | None = None
-    client_name: str = "Dradis"
-    campaign: str = "smbx_mm_job_live"
-    excluded_advertiser: int = 39741782
-    eligibility_group: str = "midmarket_autoclaim_applyurl1"
     eligibility_event: str = "NEW"
     update_action: str = "UPDATE"
     sponsor_sheet: str = "sponsor.*"
@@ -96,14 +113,13 @@ class UnconvertedParams:
     sponsored_level: str = "sponsored"
     sponsored_state: str = "spon_active"
     optimized_mode: str = "in"
-    require_rows: bool = False
     partition_col: str | None = None  # event-date partition column, if any
     cut_lineage: bool = False  # materialise the shared inner chain once
-    hot_keys: int = 1000  # most frequent keys per chain level that get salted; 0 = off
+    measure_from: int | None = MEASURE_FROM  # chain levels from this size on are measured for skew
 
 
 def reference_unconverted(
-    tables: Mapping[str, DataFrame], p: UnconvertedParams = UnconvertedParams()
+    tables: Mapping[str, DataFrame], p: UnconvertedParams, guard: RowGuard | None = None
 ) -> DataFrame:
     """Q1 over the reference's datasets (names and columns as FIXTURES §A)."""
     lo, hi = window_bounds(p.start, p.focus, p.as_of)
@@ -113,7 +129,7 @@ def reference_unconverted(
 
     base = audience(
         event_window(
-            tables["ravenemail"], p.mail_start, p.mail_focus, as_of=p.as_of,
+            tables["mailings"], p.mail_start, p.mail_focus, as_of=p.as_of,
             partition_col=p.partition_col,
         ).where(
             (F.col("clientName") == p.client_name) & (F.col("campaign") == p.campaign)
@@ -123,30 +139,32 @@ def reference_unconverted(
 
     excl = p.excluded_advertiser
     # The three innermost levels are identical in both chains: build once.
+    eligibility = win("eligibility")
+    one_group = not is_multivalued(eligibility, "tokenizedGroups")
     eligible = Link(
-        win("midmarketAdvertiserEligibility").where(
-            any_value_in("tokenizedGroups", [p.eligibility_group])
+        eligibility.where(
+            any_value_in("tokenizedGroups", [p.eligibility_group], scalar=one_group)
             & (F.col("event") == p.eligibility_event)
         ),
         key="advertiserId",
     )
     claimed = Link(
-        win("midmarketAutoclaimNewJob").where(
+        win("claimed_jobs").where(
             (F.col("success") == 1)
-            & (F.col("advertiserId") != excl)
+            & not_equal("advertiserId", excl)
             & non_empty("claimedAggJobId")
         ),
-        key="dradisJobHash",
+        key="newJobHash",
         on="advertiserId",
     )
     new_jobs = Link(
-        win("litedradisjob").where(
-            (F.col("advertiser_id") != excl) & (F.col("jobagedays") == 0)
+        win("new_jobs").where(
+            not_equal("advertiser_id", excl) & (F.col("jobagedays") == 0)
         ),
         key="job_hash",
         on="job_hash",
     )
-    shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash", hot_keys=p.hot_keys)
+    shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash", measure_from=p.measure_from)
     if p.cut_lineage:
         shared_hashes = cut_lineage(shared_hashes)
 
@@ -154,10 +172,10 @@ def reference_unconverted(
         cond = F.col("edit") == 1
         if extra is not None:
             cond = cond & extra
-        return Link(win("dradiswizardtiming").where(cond), key="jobhash", on="jobhash")
+        return Link(win("job_wizard").where(cond), key="jobhash", on="jobhash")
 
-    updates = win("dradisJobCreateOrUpdate").where(
-        (F.col("action") == p.update_action) & (F.col("advertiser_id") != excl)
+    updates = win("job_changes").where(
+        (F.col("action") == p.update_action) & not_equal("advertiser_id", excl)
     )
 
     optimized = semi_chain(
@@ -166,7 +184,7 @@ def reference_unconverted(
             wizard(),
             Link(updates, key="advertiser_id", on="job_hash"),
         ],
-        hot_keys=p.hot_keys,
+        measure_from=p.measure_from,
     )
 
     spent = semi_chain(
@@ -175,16 +193,16 @@ def reference_unconverted(
             wizard(matches("tosheet", p.sponsor_sheet)),
             Link(updates, key="job_hash", on="job_hash"),
             Link(
-                win("dradis_job2").where(
+                win("job_details").where(
                     (F.col("is_sponsor_all") == 0) & (F.col("daily_total_revenue_cents") > 0)
                 ),
                 key="agg_job_id_tokenized",
                 on="job_hash",
             ),
             Link(
-                win("searchablejobs").where(
+                win("job_postings").where(
                     all_of(
-                        F.col("dupeStatus") != 1,
+                        not_equal("dupeStatus", 1),
                         any_of(
                             F.col("job_visibility_level").isin(*p.open_levels),
                             (F.col("job_visibility_level") == p.sponsored_level)
@@ -192,19 +210,20 @@ def reference_unconverted(
                         ),
                     )
                 ),
-                key="sourceid___claimedadvertiserid",
+                key="claimed_advertiser_id",
                 on="agg_job_id",
             ),
         ],
         out="advertiser_id",
-        hot_keys=p.hot_keys,
+        measure_from=p.measure_from,
     )
 
     companies = event_window(
-        tables["dradis_job2"], p.company_start, p.company_end, as_of=p.as_of,
+        tables["job_details"], p.company_start, p.company_end, as_of=p.as_of,
         partition_col=p.partition_col,
     ).select("advertiser_id", "company")
-    if p.require_rows:
-        for name, part in (("mailed", base), ("optimized", optimized), ("spent", spent)):
-            require_rows(part, name)
-    return unconverted_audience(base, optimized, spent, companies, optimized_mode=p.optimized_mode)
+    if guard:
+        base = guard.watch(base, "mailed")
+        optimized, spent = guard.watch(optimized, "optimized"), guard.watch(spent, "spent")
+    out = unconverted_audience(base, optimized, spent, companies, optimized_mode=p.optimized_mode)
+    return guard.watch(out, "companies") if guard else out

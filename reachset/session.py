@@ -8,6 +8,8 @@ files use :func:`shared_dir`, which always lives under the cluster's
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -31,23 +33,40 @@ SCALE_CONF = {
 
 
 def build_session(
-    master: str = "local[8]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "reachset",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app_name)
-    conf = dict(SCALE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "8g")
-    # local runs: keep catalog files out of the working directory
-    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="reachset-warehouse-"))
-    conf.update(extra or {})
-    for k, v in conf.items():
+    """A session with the settings above.
+
+    Started by a submit command, the session takes its master, partition
+    count, memory and warehouse from there (a value set in code would win
+    over the command's); only what the caller passes, and SQL settings that
+    the command leaves open, are set.  Else it is a local session.
+    """
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "PYSPARK_SUBMIT_ARGS" in os.environ
+    conf: dict[str, str] = {}
+    if not submitted:
+        master = master or "local[*]"
+        conf = SCALE_CONF | {"spark.driver.memory": "8g"}
+        if master.startswith("local"):
+            # keep catalog files out of the working directory
+            conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="reachset-warehouse-")
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for k, v in (conf | (extra or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if submitted:
+        given = spark.sparkContext.getConf()
+        for k, v in SCALE_CONF.items():
+            if k.startswith("spark.sql.") and not given.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -55,8 +74,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3,
-    ...) and is used as is.  Only where it is unset -- local runs and tests --
-    a private directory is created and registered.
+    ...) and is used as is; without it this raises, as a folder of one
+    machine would lose intermediate data.  Only local runs (one machine) make
+    and register a private directory.
     """
     try:
         sc = spark.sparkContext
@@ -69,6 +89,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    master = sc.master if sc else spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[[^,]*(,[^,]*)?\])?$", master):
+        raise ValueError(
+            "spark.checkpoint.dir is not set: on a cluster it must name a folder that "
+            "the driver and all executors share"
+        )
     local = tempfile.mkdtemp(prefix="reachset-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     if sc:

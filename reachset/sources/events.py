@@ -9,13 +9,14 @@ predicate is pushed into the Parquet reader.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.dates import typed_bound, window_bounds
+from ..functions.predicates import id_key
 
 
 def read_dataset(
@@ -24,12 +25,16 @@ def read_dataset(
     aliases: Mapping[str, str] | None = None,
     schema: StructType | str | None = None,
     fmt: str = "parquet",
+    ids: Sequence[str] = (),
 ) -> DataFrame:
-    """Read one dataset and give differently spelled keys one name.
+    """Read one dataset, give differently spelled keys one name and ids one type.
 
     ``aliases`` maps stored name -> canonical name (``advertiserId`` ->
     ``advertiser_id``).  Renaming is a projection alias, so column pruning
-    and filter pushdown still reach the scan.
+    and filter pushdown still reach the scan.  ``ids`` (canonical names) that
+    are stored as text become bigint; text that is no number becomes null
+    (``RowGuard.watch_ids`` counts it).  An id stored as a number is left as it
+    is, so filters on it still reach the scan.
     """
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -40,7 +45,8 @@ def read_dataset(
         if missing:
             raise ValueError(f"{path}: no column(s) {missing}")
         df = df.withColumnsRenamed(dict(aliases))
-    return df
+    text = [c for c in ids if isinstance(df.schema[c].dataType, StringType)]
+    return df.withColumns({c: id_key(c) for c in text}) if text else df
 
 
 def event_window(
@@ -62,8 +68,11 @@ def event_window(
     lo, hi = window_bounds(start, end, as_of)
     cond = window_predicate(df, lo, hi, ts)
     if partition_col is not None and partition_col != ts:
-        # bounds are whole days, so the rows of [lo, hi) lie on days lo .. hi-1
-        cond = window_predicate(df, lo, hi, partition_col) & cond
+        # the rows of [lo, hi) lie on the days from lo's to hi's; a bound within a
+        # day needs that whole day's partition
+        first = lo.date() if isinstance(lo, dt.datetime) else lo
+        after = hi.date() + dt.timedelta(days=1) if isinstance(hi, dt.datetime) else hi
+        cond = window_predicate(df, first, after, partition_col) & cond
     return df.where(cond)
 
 

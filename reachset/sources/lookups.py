@@ -14,7 +14,13 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.algebra import audience, restrict_to
+from ..operators.algebra import (
+    audience,
+    checked_broadcast,
+    hot_values,
+    restrict_to,
+    semi_join_spread,
+)
 
 
 def read_jdbc_table(
@@ -75,7 +81,8 @@ def attach_profile(
     outer merge); ``how="inner"`` returns only keys that have one (the
     profile query).  ``secondary_bounded=True`` states that the secondary
     table is a small dimension of fixed size (nations, regions): it is then
-    broadcast as it is, with no restriction step.
+    broadcast as it is (while its estimated size allows it), with no
+    restriction step.
     """
     link_cols = [link[0]] if secondary is not None and link else []
     if secondary is not None and not link:
@@ -97,7 +104,7 @@ def attach_profile(
     sec_cols = [F.col(src).alias(dst) for dst, src in (secondary_cols or {}).items()]
     if secondary_bounded:
         sec = secondary.select(F.col(link[1]).alias(lk), *sec_cols).where(F.col(lk).isNotNull())
-        return out.join(F.broadcast(sec), on=lk, how="left").drop(lk)
+        return out.join(checked_broadcast(sec), on=lk, how="left").drop(lk)
     if link[0] == primary_key:
         # The secondary table is keyed like the audience (names by account
         # id): join it on the audience key, which both sides are already
@@ -111,8 +118,16 @@ def attach_profile(
         cond = (out[key] == sec["_sk"]) & out[lk].isNotNull()
         return out.join(sec, cond, how="left").drop("_sk", lk)
     sec = secondary.select(F.col(link[1]).alias(lk), *sec_cols).where(F.col(lk).isNotNull())
-    sec = restrict_to(sec, out, on=lk)
-    return out.join(sec, on=lk, how="left").drop(lk)
+    # accounts without a link go around the join (they would meet in one
+    # partition); a link value that many accounts share is measured and salted
+    linked = out.where(F.col(lk).isNotNull())
+    hot = hot_values(linked, lk)
+    named = (
+        semi_join_spread(linked, sec, lk, key, hot, how="left")
+        if hot
+        else linked.join(sec, on=lk, how="left")
+    )
+    return named.unionByName(out.where(F.col(lk).isNull()), allowMissingColumns=True).drop(lk)
 
 
 def employer_accounts(

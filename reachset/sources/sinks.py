@@ -34,19 +34,31 @@ def write_campaign_json(
     writer.json(path)
 
 
+#: Quotes are doubled, as common CSV readers expect; blanks and '' are data.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "emptyValue": '""',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_campaign_csv(
     df: DataFrame,
     path: str,
     mode: str = "errorifexists",
     max_records_per_file: int | None = None,
 ) -> None:
-    """CSV with a header; '' is written as ``""`` and null as nothing."""
-    writer = (
-        df.write.mode(mode)
-        .option("header", "true")
-        .option("emptyValue", '""')
-        .option("nullValue", "")
-    )
+    """CSV with a header; every value reads back as it was.
+
+    '' is written as ``""`` and null as nothing; outer blanks, quotes and
+    line breaks are kept (quoted).  A field may span lines, so a reader
+    cannot split a file: ``max_records_per_file`` keeps files small.
+    """
+    writer = df.write.mode(mode).options(**_CSV)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", str(int(max_records_per_file)))
     writer.csv(path)
@@ -57,4 +69,7 @@ def read_campaign_json(spark: SparkSession, path: str, schema: StructType | str)
 
 
 def read_campaign_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", "true").csv(path)
+    # "" reads back as '', nothing as null: the reader takes a value equal to
+    # nullValue for null, so that must be one no field holds
+    options = _CSV | {"multiLine": "true", "emptyValue": "", "nullValue": "\x00"}
+    return spark.read.schema(schema).options(**options).csv(path)

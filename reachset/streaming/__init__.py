@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
 
-from ..session import shared_dir
-
 
 def read_event_stream(
     spark: SparkSession,
@@ -44,8 +42,9 @@ def stream_audience(
 ) -> DataFrame:
     """Keys as they first appear in the stream (A1 for streams).
 
-    Each key is emitted once per watermark horizon; the de-duplication state
-    is bounded by the watermark, not by the number of events.
+    Each key is emitted once per watermark horizon -- again if it comes back
+    after that, so unlike the batch grouping a key may repeat over a long
+    stream; the de-duplication state is bounded by the watermark.
     """
     col = F.col(source or key)
     event_time = F.col(ts)
@@ -58,23 +57,22 @@ def stream_audience(
 
 def write_audience_stream(
     df: DataFrame,
-    sink: Callable[[DataFrame, str], None],
+    sink: Callable[..., None],
     out_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     once: bool = True,
 ) -> StreamingQuery:
-    """Append each micro-batch with a batch sink (e.g. the campaign JSON).
+    """Append each micro-batch with a batch sink (e.g. ``write_campaign_json``).
 
-    ``sink(batch_df, path)`` is called per micro-batch with a sub-folder of
-    ``out_path`` named by the batch id, so a re-run batch overwrites its own
-    output instead of duplicating it.
+    ``sink(batch_df, path, mode="overwrite")`` is called per micro-batch with
+    a sub-folder of ``out_path`` named by the batch id, so a replayed batch
+    overwrites its own output.  ``checkpoint`` is a shared folder of this
+    stream's own: the same one on each start, or a restart resumes nothing.
     """
-    spark = df.sparkSession
-    ckpt = checkpoint or shared_dir(spark, "audience-stream-ckpt")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        sink(batch, f"{out_path.rstrip('/')}/batch={batch_id}")
+        sink(batch, f"{out_path.rstrip('/')}/batch={batch_id}", mode="overwrite")
 
-    writer = df.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
+    writer = df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if once else writer
     return writer.start()

@@ -53,15 +53,14 @@ pairs_st = st.lists(st.tuples(st.integers(0, 6), st.integers(0, 40)), max_size=6
 
 @SETTINGS
 @given(pairs=pairs_st, inner=st.lists(st.integers(0, 8), max_size=6),
-       hot=st.integers(0, 3), salts=st.integers(1, 5))
-def test_salted_semi_chain_equals_plain_semi_join(spark, pairs, inner, hot, salts):
-    from reachset.operators.algebra import Link, semi_chain
+       hot=st.dictionaries(st.integers(0, 8), st.integers(1, 5), max_size=3))
+def test_salted_semi_join_equals_plain_semi_join(spark, pairs, inner, hot):
+    from reachset.operators.algebra import semi_join_spread
 
     probe = spark.createDataFrame(pairs, "on bigint, v bigint")
     keys = frame(spark, inner)
-    out = semi_chain([Link(keys, key="k"), Link(probe, key="v", on="on")], hot_keys=hot, salts=salts)
-    want = {v for o, v in pairs if o in set(inner)}
-    assert {r.v for r in out.collect()} == want
+    out = semi_join_spread(probe, keys.distinct().withColumnRenamed("k", "on"), "on", "v", list(hot.items()))
+    assert sorted((r.on, r.v) for r in out.collect()) == sorted(p for p in pairs if p[0] in set(inner))
 
 
 events_st = st.lists(st.tuples(st.integers(0, 12), st.sampled_from(["view", "click", "buy"])), max_size=40)

@@ -126,3 +126,19 @@ def test_read_dataset_with_declared_schema_and_list_union(spark, tmp_path):
     assert df.schema.simpleString() == "struct<k:bigint,s:string>"
     both = union_sources([df, df.where(F.col("k") == 2)], where=F.col("k") > 1)
     assert sorted(r.k for r in both.collect()) == [2, 2]
+
+
+def test_windows_within_a_day_are_exact(spark):
+    day = dt.datetime(2024, 1, 10)
+    ev = spark.createDataFrame(
+        [(h, day + dt.timedelta(hours=h)) for h in range(24)], "h int, ts timestamp_ntz"
+    ).withColumn("day", F.to_date("ts"))
+    lo, hi = day.replace(hour=6), day.replace(hour=18)
+    got = event_window(ev, lo, hi).collect()
+    assert sorted(r.h for r in got) == list(range(6, 18))
+    assert event_window(ev, lo, hi, partition_col="day").count() == 12
+    assert event_window(ev, day, dt.date(2024, 1, 11), partition_col="day").count() == 24
+    with pytest.raises(ValueError, match="time of day"):
+        event_window(ev, lo, hi, ts="day")
+    with pytest.raises(ValueError, match="after its end"):
+        event_window(ev, hi, lo)

@@ -4,6 +4,7 @@ no Python evaluation, inner GROUP BYs only where a key set is built."""
 import pytest
 
 import __spark_entry__ as E
+from reachset.plans.named import QUERIES
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,7 +21,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_no_python(spark, name):
     p = plan(E.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):

@@ -6,13 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from reachset.functions.predicates import (
+    any_value_in,
+    check_code,
+    is_multivalued,
     keyword_any,
     literal_prefix,
     matches,
+    non_empty,
+    none_value_is,
+    not_equal,
     positive_id,
     same_code,
     two_letter_code,
-    check_code,
 )
 from reachset.operators.algebra import audience, combine, exclude, in_all, in_any
 from reachset.operators.shape import (
@@ -24,6 +29,7 @@ from reachset.operators.shape import (
     require_rows,
 )
 from reachset.plans.any_signal import TECH_KEYWORDS, reference_pattern
+from reachset.plans.presets import MarketPreset, near_market
 
 
 def keys(spark, values, name="k"):
@@ -184,8 +190,9 @@ def test_empty_signal_and_guard(spark):
 def test_codes(spark):
     df = spark.createDataFrame([(" fr ",), ("FR",), ("fra",), ("f1",), (None,)], "lang string")
     assert sorted(r.lang for r in df.where(two_letter_code("lang")).collect()) == [" fr ", "FR"]
-    assert [r.lang for r in df.where(same_code("lang", " Fr ", "lower")).collect()] == ["FR"]
-    assert [r.lang for r in df.where(same_code("lang", "fr", "upper")).collect()] == ["FR"]
+    # both read a padded code as the code
+    assert [r.lang for r in df.where(same_code("lang", " Fr ", "lower")).collect()] == [" fr ", "FR"]
+    assert [r.lang for r in df.where(same_code("lang", "fr", "upper")).collect()] == [" fr ", "FR"]
     assert check_code("country", " br ") == "br"
     with pytest.raises(ValueError):
         check_code("country", "BRA")
@@ -225,3 +232,40 @@ def test_signal_flags_single_pass(spark):
     assert got == [(1, True, True), (2, True, False), (3, False, True)]
     both = flags.where(F.col("viewed") & ~F.col("big")).select("u")
     assert [r.u for r in both.collect()] == [2]
+
+
+def test_one_rule_for_not_equal(spark):
+    df = spark.createDataFrame(
+        [(1, "a", ["a", "b"]), (2, "b", ["c"]), (3, None, None), (4, "", [])],
+        "i int, s string, m array<string>",
+    )
+    kept = lambda cond: sorted(r.i for r in df.where(cond).collect())
+    assert kept(not_equal("s", "a")) == [2, 3, 4]
+    assert kept(not_equal("s", "a", "b")) == [3, 4]
+    assert kept(none_value_is("m", "a")) == [2, 3, 4]
+    assert kept(none_value_is("s", "a", scalar=True)) == [2, 3, 4]
+    assert kept(any_value_in("s", ["a", "b"], scalar=True)) == [1, 2]
+    assert kept(any_value_in("m", ["a", "c"])) == [1, 2]
+    assert kept(non_empty("s")) == [1, 2]
+    assert is_multivalued(df, "m") and not is_multivalued(df, "s")
+
+
+def test_place_filters(spark):
+    presets = {
+        ("X", True): MarketPreset("X", True, "M", "S", None, ("A", "B")),
+        ("X", False): MarketPreset("X", False, "M", "S", "c1", ("A",)),
+    }
+    df = spark.createDataFrame(
+        [(1, "c1", "A"), (2, "c2", "B"), (3, "c3", "A"), (4, None, "A"), (5, "c1", None)],
+        "i int, city string, region string",
+    )
+    cities = spark.createDataFrame([("c1",), ("c2",), ("c2",), (None,)], "name string")
+    ids = lambda out: sorted(r.i for r in out.collect())
+    assert ids(near_market(df, presets, "X", False, "city", "region")) == [1]
+    assert ids(near_market(df, presets, "X", False, "city")) == [1, 5]
+    metro = near_market(
+        df, presets, "X", True, "city", "region", metro_cities=cities, metro_key="name", spread_by="i"
+    )
+    assert ids(metro) == [1, 2]
+    with pytest.raises(ValueError, match="cities"):
+        near_market(df, presets, "X", True, "city")
