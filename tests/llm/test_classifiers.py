@@ -39,13 +39,14 @@ def test_close_languages_share_a_family():
     import numpy as np
 
     rng = np.random.default_rng(0)
-    a, b = rng.random(50), rng.random(50)
-    near = lambda v: (v + 0.05 * rng.random(50)).astype(np.float32)
-    means = {"aa": near(a), "ab": near(a), "ba": near(b), "bb": near(b)}
+    unit = lambda v: (v / np.linalg.norm(v)).astype(np.float32)
+    stem = {k: rng.normal(size=50) for k in "ab"}
+    means = {x + y: unit(stem[x] + 0.5 * rng.normal(size=50)) for x in "ab" for y in "ab"}
     assert find_families(means) == [["aa", "ab"], ["ba", "bb"]]
-    x = np.vstack([[near(means[k]) for _ in range(20)] for k in means])
-    model = fit(x, np.repeat(list(means), 20))
-    assert [model.predict(v)[0] for v in x[::20]] == list(means)
+    x = np.vstack([unit(means[k] + 0.02 * rng.normal(size=50)) for k in means for _ in range(20)])
+    names = np.repeat(list(means), 20)
+    model = fit(x, names)
+    assert [model.predict(v)[0] for v in x] == names.tolist()
 
 
 def test_windows_hold_the_whole_text():
