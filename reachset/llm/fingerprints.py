@@ -223,20 +223,29 @@ def fingerprint_documents(
         F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), third),
     )
     rows = with_next_text(docs, id_col, text, buckets).select(
-        "bucket", "no", "id", "extra", "text", edited.alias("edited"),
-        n.cast("long").alias("n_chars"),
-        F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
+        "bucket", "no", "text", edited.alias("edited"),
+        F.struct(
+            "id", "extra", n.cast("long").alias("n_chars"),
+            F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
+        ).alias("info"),
     )
-    key = ["bucket", "no", "id", "extra", "n_chars", "edited_sha256"]
-    found = rows.select(
-        *key,
+    sides = rows.select(
+        "bucket",
+        "no",
         F.explode(
             F.array(
-                F.struct(F.lit(0).alias("which"), terms(F.col("text")).alias("terms")),
-                F.struct(F.lit(1).alias("which"), terms(F.col("edited")).alias("terms")),
+                F.struct(F.lit(0).alias("which"), terms(F.col("text")).alias("terms"), "info"),
+                F.struct(
+                    F.lit(1).alias("which"), terms(F.col("edited")).alias("terms"),
+                    F.when(F.lit(False), F.col("info")).alias("info"),
+                ),
             )
         ).alias("side"),
-    ).select(*key, "side.which", F.explode_outer("side.terms").alias("term"))
+    )
+    # what a document has besides its terms is on one of its rows only: narrow rows to sort
+    found = sides.select("bucket", "no", "side.*").select(
+        "bucket", "no", "which", "info", F.posexplode_outer("terms").alias("pos", "term")
+    ).withColumn("info", F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("info"))).drop("pos")
     found = found.join(known, F.col("term") == F.col("known"), "left")
 
     def side(which: int, name: str) -> list[Column]:
@@ -247,7 +256,10 @@ def fingerprint_documents(
         ]
 
     # rows lie by bucket already, so this needs no further shuffle
-    sets = found.groupBy(*key).agg(*side(0, "own"), *side(1, "edited"))
+    sets = found.groupBy("bucket", "no").agg(
+        F.max("info").alias("info"), *side(0, "own"), *side(1, "edited")
+    ).select("bucket", "no", "info.*", "own_kept", "own_all", "edited_kept", "edited_all")
+    key = ["bucket", "no", "id", "extra", "n_chars", "edited_sha256"]
 
     def kept(name: str) -> Column:
         stand_in = F.when(F.col(f"{name}_all").isNotNull(), F.array(f"{name}_all")).otherwise(
