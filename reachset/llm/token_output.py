@@ -127,11 +127,11 @@ def read_tokens(
     runs = spark.read.schema(RUN).parquet(path)
     total = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (  # one row for each part
+    parts = (  # one row for each task of the write, which bounds the broadcast
         runs.select("part", total.alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
         .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ids_before"))
     )
-    read = runs.join(parts, "part").drop("part", "run").mapInPandas(decode, schema)
+    read = runs.join(F.broadcast(parts), "part").drop("part", "run").mapInPandas(decode, schema)
     doc = F.when(~F.col("no_id"), F.col("id")).alias(id_col)
     return read.select(doc, *[c for c in read.columns if c not in ("id", "no_id")])
 
