@@ -202,9 +202,12 @@ def mix_documents(
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, columns unchanged."""
-    whole = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
-        F.monotonically_increasing_id().alias("mix_row"),
+    whole = materialize(  # written, so that a row has one number in all jobs
+        docs.select(
+            F.struct(*[docs[c] for c in docs.columns]).alias("doc"),
+            F.monotonically_increasing_id().alias("mix_row"),
+        ),
+        "numbered",
     )
     names = {k: options.pop(k, k) for k in ("text", "source")} | {
         "id": options.pop("id_col", "doc_id")
