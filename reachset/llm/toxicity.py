@@ -2,9 +2,12 @@
 
 Labelled training rows (a bounded sample, ``toxic_rows`` and
 ``ordinary_rows`` of them, ``sample_bytes`` of each from a hashed place) give
-two dictionaries: ordinary text, from the words that recur in it, and toxic
-text, from the words that recur there in several contexts and far more often
-than in ordinary text.  Every text is cut into windows of about ``window``
+two dictionaries.  The ordinary one is trained on all windows of the
+ordinary rows.  The toxic one is trained on the windows of one or two words
+of the toxic rows, each as often as its contrast weighs: how much likelier it
+is in several contexts of toxic text than in ordinary text, measured against
+what chance gives among so many windows.  Words of any length, pairs of
+ordinary words and rare words count.  Every text is cut into windows of about ``window``
 bytes at blanks, whole, to the end.  A window is compressed with the ordinary
 dictionary and with the toxic one in front of it; the bytes that the toxic
 one saves are its distance.  A logistic function of the distances (largest,
@@ -38,7 +41,7 @@ WINDOW = 32
 DICTIONARY = 4096
 #: A window that the toxic dictionary makes this many bytes shorter counts as toxic.
 SAVED = 4
-#: How much more often than in ordinary text a word must recur to be toxic training text.
+#: How much more often than in ordinary text a word or pair must recur to weigh.
 CONTRAST = 8.0
 LEVEL = 12
 _EDGES = b".,;:!?\"'()[]*%$&|<>"
@@ -62,28 +65,48 @@ def windows(text: str | None, size: int = WINDOW) -> list[bytes]:
     return out
 
 
+def _runs(text: str) -> list[tuple[bytes, bytes, bytes]]:
+    """``word, pair, context`` all along a text: each word, with the word before it, and
+    the word before both."""
+    out, a, b = [], b"", b""
+    for w in words(text):
+        w = w.strip(_EDGES)
+        out.append((w, b + b" " + w, a))
+        a, b = b, w
+    return out
+
+
 def _contexts(texts: list[str]) -> Counter:
-    """Of each word of four bytes or more, how many different words it follows
-    where a text first has it.
+    """Of each word and pair of words, how many different words it follows where a text
+    first has it.
 
     One long text, or copies of one passage, don't make a word recur.
     """
     seen: dict[bytes, set[int]] = defaultdict(set)
     for t in texts:
         first: dict[bytes, bytes] = {}
-        before = b""
-        for w in words(t):
-            w = w.strip(_EDGES)
-            first.setdefault(w, before)
-            before = w
-        for w, context in first.items():
-            if len(w) >= 4:
-                seen[w].add(zlib.crc32(context))
-    return Counter({w: len(s) for w, s in seen.items()})
+        for w, pair, before in _runs(t):
+            first.setdefault(w, pair)
+            first.setdefault(pair, before)
+        for unit, context in first.items():
+            seen[unit].add(zlib.crc32(context))
+    return Counter({u: len(s) for u, s in seen.items()})
+
+
+def _contrast(mine: Counter, theirs: Counter, ratio: float) -> dict[bytes, float]:
+    """The log-likelihood gain of each unit that recurs ``CONTRAST`` times more than
+    ordinary text lets expect, in parts of what chance gives among so many units."""
+    chance = np.log(1 + len(mine))
+    gain = {}
+    for unit, c in mine.items():
+        expected = ratio * (theirs[unit] + 0.5)
+        if c > max(1.0, CONTRAST * expected) and unit.strip():
+            gain[unit] = (c * np.log(c / expected) - (c - expected)) / chance
+    return gain
 
 
 def _train(units: list[bytes], size: int, rng: np.random.Generator) -> bytes:
-    """A trained dictionary of shuffled training words, ten to a sample."""
+    """A trained dictionary of shuffled training windows, ten to a sample."""
     units = [units[i] for i in rng.permutation(len(units))]
     samples = [b" " + b" ".join(units[i : i + 10]) + b" " for i in range(0, len(units), 10)]
     try:
@@ -94,19 +117,15 @@ def _train(units: list[bytes], size: int, rng: np.random.Generator) -> bytes:
 
 def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     rng = np.random.default_rng(6)
-    mine, theirs = _contexts(toxic), _contexts(ordinary)
-    least = 3 + 0.008 * len(toxic)
-    marked = sorted(
-        w for w, c in mine.items()
-        if c >= least and c / len(toxic) > CONTRAST * (theirs[w] + 0.5) / len(ordinary)
-    )
-    usual = sorted(w for w, c in theirs.items() if c >= 4)
-    plain = [w for w in usual for _ in range(min(20, theirs[w]))]
-    toxic_part = _train(marked * 20, DICTIONARY, rng)
-    # words that the trainer passed over follow what it chose
-    left_out = [w for w in marked if w not in toxic_part]
-    toxic_part += b" " + b" ".join(left_out) + b" "
-    return toxic_part, _train(plain, DICTIONARY, rng)
+    gain = _contrast(_contexts(toxic), _contexts(ordinary), len(toxic) / len(ordinary))
+    marked = []
+    for t in toxic:
+        for w, pair, _ in _runs(t):
+            own, both = gain.get(w, 0.0), gain.get(pair, 0.0)
+            weight = min(20, int(4 * max(own, both) ** 3))
+            marked += [w if own >= both else pair.strip()] * weight
+    plain = [w for t in ordinary for w in windows(t)]
+    return _train(marked, DICTIONARY, rng), _train(plain, DICTIONARY, rng)
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
