@@ -18,8 +18,11 @@ Documents are encoded where they lie and cut into pieces of at most
 
 When no gap is left, as many empty sequences are opened as the items' total
 needs, and sweeping goes on.  Items far smaller than the gaps are first
-bundled with their neighbours in size order, which bounds the sweeps.  Each
-round is written to the shared folder, so losing executors costs a re-read.
+bundled with their neighbours in size order, which bounds the sweeps.  While
+there are bundles no gap is closed: when no gap fits one, the bundles left are
+opened, their items make bundles ``ratio`` times smaller, and so on down to
+single items, before a sequence is opened.  Each round is written to the
+shared folder, so losing executors costs a re-read.
 
 Defined results: a null text is empty and gives one piece, the end token; a
 piece is one row, also for repeated documents and null ids; an empty table
@@ -101,8 +104,10 @@ def _ranked(events: DataFrame, counts: pd.DataFrame, salts: int) -> DataFrame:
     )
 
 
-def sweep(events: DataFrame, counts: pd.DataFrame, capacity: int, salts: int) -> DataFrame:
-    """One round: placed items, items left and gaps that took an item."""
+def sweep(
+    events: DataFrame, counts: pd.DataFrame, capacity: int, salts: int, keep: bool = False
+) -> DataFrame:
+    """One round: placed items, items left and gaps that took an item (``keep``: all gaps)."""
     on_level = Window.partitionBy("level").orderBy("size", "kind")
     seen = _ranked(events, counts, salts).select(
         "id",
@@ -131,6 +136,8 @@ def sweep(events: DataFrame, counts: pd.DataFrame, capacity: int, salts: int) ->
         (F.col("kind") == ITEM) & ~F.coalesce(F.col("taken"), F.lit(False)),
         F.array(row(F.col("id"), size, ITEM)),
     )
+    if keep:
+        out = out.when(F.col("kind") == GAP, F.array(row(F.col("id"), size, GAP)))
     return seen.select(F.explode(out).alias("e")).select("e.*")
 
 
@@ -170,36 +177,65 @@ def place(items: DataFrame, capacity: int, salts: int = 32, ratio: int = 8) -> D
     bundles: list[DataFrame] = []
     new_bin = -1  # bins opened here count down; those of large items have the item's id
     new_item = 1 << 62
+    made, limit = None, 0  # the bundles that are open and about how large they are
     while True:
         open_ = state.where(F.col("kind") != PLACED)
         counts = class_counts(open_, salts)
         left = counts[counts["kind"] == ITEM]
         if not len(left):
             break
-        least, most = int(left["size"].min()), int(left["size"].max())
+        least = int(left["size"].min())
         total = int((left["size"].astype("int64") * left["n"]).sum())
         gaps = counts[(counts["kind"] == GAP) & (counts["size"] >= least)]
+        fits = (F.col("kind") == ITEM) | (F.col("size") >= least)
+        idle = open_.where(~fits)
         if len(gaps):
-            events = open_.where((F.col("kind") == ITEM) | (F.col("size") >= least))
+            events = open_.where(fits)
             counts = pd.concat([left, gaps]).sort_values(["size", "kind", "salt"])
         else:
             remaining = open_.where(F.col("kind") == ITEM)
-            if most * ratio <= capacity and total > capacity // ratio:
+            if made is not None:  # no gap fits a bundle: their items may fit
+                whole = remaining.join(made.select("id").distinct(), "id", "left_anti")
+                opened = made.join(remaining.select("id"), "id", "left_semi").select(
+                    F.col("child").alias("id"), "size", *_event(ITEM)
+                )
+                remaining = materialize(whole.unionByName(opened), "pack")
+                limit //= ratio
+                made = None
+            else:
                 limit = capacity // ratio
-                made = materialize(_bundle(remaining, left, limit, new_item, salts), "bundles")
+                idle = None  # no gap fits an item
+                needed = -(-total // capacity)
+                empty = spark.range(new_bin - needed + 1, new_bin + 1).select(
+                    "id", F.lit(capacity).alias("size"), *_event(GAP)
+                )
+                new_bin -= needed
+            left = class_counts(remaining, salts)
+            most = int(left["size"].max())
+            # larger items stay single beside the bundles
+            small = left[left["size"] <= limit // 4]
+            volume = int((small["size"].astype("int64") * small["n"]).sum())
+            if (idle is not None or most <= limit) and limit > 1 and volume > limit:
+                single = remaining.where(F.col("size") > int(small["size"].max()))
+                few = remaining.where(F.col("size") <= int(small["size"].max()))
+                made = materialize(_bundle(few, small, limit, new_item, salts), "bundles")
                 bundles.append(made.select("child", "id", "at"))
-                new_item += -(-total // limit) + 1
-                remaining = made.groupBy("id").agg(F.sum("size").cast("int").alias("size")).select(
-                    "id", "size", *_event(ITEM)
+                new_item += -(-volume // limit) + 1
+                remaining = single.unionByName(
+                    made.groupBy("id").agg(F.sum("size").cast("int").alias("size")).select(
+                        "id", "size", *_event(ITEM)
+                    )
                 )
-            needed = -(-total // capacity)
-            empty = spark.range(new_bin - needed + 1, new_bin + 1).select(
-                "id", F.lit(capacity).alias("size"), *_event(GAP)
-            )
-            new_bin -= needed
+            if idle is not None:
+                state = remaining.unionByName(open_.where(F.col("kind") == GAP))
+                state = materialize(state, "pack")
+                continue
             events = remaining.unionByName(empty)
             counts = class_counts(events, salts)
-        state = materialize(sweep(events, counts, capacity, salts), "pack")
+        state = sweep(events, counts, capacity, salts, made is not None)
+        if made is not None:
+            state = state.unionByName(idle) if idle is not None else state
+        state = materialize(state, "pack")
         placed.append(state.where(F.col("kind") == PLACED).select("id", "bin", "at"))
     result = placed[0]
     for more in placed[1:]:
