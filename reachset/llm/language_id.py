@@ -23,7 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType
 
@@ -147,15 +147,20 @@ def train(
     rows = docs.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).alias("lang"),
         F.col(text).alias("text"),
-        F.xxhash64(F.col(id_col), F.lit(9)).bitwiseAND((1 << 40) - 1).alias("h"),
+        F.xxhash64(F.col(id_col), F.col(text), F.lit(9)).bitwiseAND((1 << 40) - 1).alias("h"),
     )
-    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    different = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    counts = {r.lang: r.n for r in different.collect()}
     if not counts:
         return None
     share = F.create_map(
         *[F.lit(v) for k, n in counts.items() for v in (k, 1.2 * per_language / n)]
     )
     sample = rows.where(F.col("h") < F.element_at(share, F.col("lang")) * float(1 << 40))
+    # equal rows count once, and no more rows than are used reach the driver
+    first = Window.partitionBy("lang").orderBy("h")
+    sample = sample.dropDuplicates(["lang", "h"]).withColumn("no", F.row_number().over(first))
+    sample = sample.where(F.col("no") <= per_language)
     got = sample.select("lang", "h", _training_vectors("text", "h").alias("v")).collect()
     x, y, taken = [], [], dict.fromkeys(counts, 0)
     for r in sorted(got, key=lambda r: (r.lang, r.h)):

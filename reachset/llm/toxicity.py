@@ -234,7 +234,12 @@ def train(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(
         "text is not null"
     ).join(F.broadcast(chosen), "id").select(
-        "toxic", "h", F.substring("text", start.cast("int"), F.lit(sample_bytes)).alias("text")
+        "id", "toxic", "h",
+        F.substring("text", start.cast("int"), F.lit(sample_bytes)).alias("text"),
+    )
+    # one row for each id, however often it is repeated
+    texts = texts.groupBy("id", "toxic", "h").agg(
+        F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
     )
     got = sorted(texts.collect(), key=lambda r: (r.h, r.text))
     return fit([r.text for r in got if r.toxic == 1], [r.text for r in got if r.toxic == 0])
