@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, documents, materialize, whole_text
@@ -105,7 +105,7 @@ def _decider(seed: int, level: int, last: bool):
     """One block's flight, and on the last level its landing."""
 
     def decide(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(["id", "h"], kind="stable", na_position="last")
+        batch = batch.sort_values(["id", "h", "copy"], kind="stable", na_position="last")
         size = batch["size"].to_numpy(dtype=np.int64)
         rng = np.random.default_rng([seed, level, int(key[0]), int(key[1])])
         pi = flight(batch["pi"].to_numpy(), size, rng)
@@ -114,6 +114,22 @@ def _decider(seed: int, level: int, last: bool):
     return decide
 
 
+def _with_copy(sized: DataFrame) -> DataFrame:
+    """``copy`` numbers equal rows from 0, each part of the table by itself and the parts
+    by their counts, so that a row that is repeated often is not one task."""
+    keyed = sized.withColumn("k", F.xxhash64("source", "id", "h")).withColumn(
+        "part", F.shiftright("no", 33)
+    )
+    before = Window.partitionBy("k").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = keyed.groupBy("k", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        "k", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    ).where("start > 0")
+    within = F.row_number().over(Window.partitionBy("k", "part").orderBy("no")) - 1
+    return keyed.withColumn("copy", within).join(starts, ["k", "part"], "left").withColumn(
+        "copy", F.col("copy") + F.coalesce("start", F.lit(0))
+    ).drop("k", "part", "start", "no")
+
+
 def mix_documents(
     docs: DataFrame,
     weights: tuple[float, ...] = (1.0, 2.0, 3.0),
@@ -138,6 +154,7 @@ def mix_documents(
             F.col(source).alias("source"),
             F.regexp_count(whole_text(text), F.lit(WORD)).cast("long").alias("size"),
             F.xxhash64(whole_text(text)).alias("h"),
+            F.monotonically_increasing_id().alias("no"),
             *carried,
         ),
         "mix-sizes",
@@ -156,8 +173,8 @@ def mix_documents(
         "plan_source string, source_no int, n long, source_size long, target double, rate double",
     )
     same = F.col("source").eqNullSafe(F.col("plan_source"))
-    units = sized.join(F.broadcast(plan), same).select(
-        "id", "h", "size", "source_size", "target", "source_no", "n",
+    units = _with_copy(sized).join(F.broadcast(plan), same).select(
+        "id", "h", "copy", "size", "source_size", "target", "source_no", "n",
         F.floor("rate").cast("int").alias("whole"),
         (F.col("rate") - F.floor("rate")).alias("pi"),
         *(["row"] if row else []),
@@ -174,7 +191,7 @@ def mix_documents(
 
         # a source has blocks in proportion to its documents, so a small one has few
         own = F.greatest(F.lit(1), F.ceil(F.col("n") * F.lit(blocks / largest)))
-        spread = F.pmod(F.xxhash64("id", "h", F.lit(level)), own.cast("long")).cast("int")
+        spread = F.pmod(F.xxhash64("id", "h", "copy", F.lit(level)), own.cast("long")).cast("int")
         flown = materialize(
             left.withColumn("block", spread).groupBy("source_no", "block")
             .applyInPandas(_decider(seed, level, last), schema),
