@@ -7,6 +7,7 @@ from . import (
     fingerprints,
     jaccard_join,
     language_id,
+    line_dedup,
     mixing,
     packing,
     sharding,
@@ -26,9 +27,11 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_language_id": language_id.op9_language_id,
     "op10_i_match": fingerprints.op10_i_match,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
 }
 
 SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op5_url_filter": url_filter.OP5_SQL,
+    "op11_line_dedup": line_dedup.OP11_SQL,
 }
