@@ -7,6 +7,7 @@ from . import (
     fingerprints,
     jaccard_join,
     language_id,
+    lexical_search,
     line_dedup,
     mixing,
     packing,
@@ -28,10 +29,12 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op10_i_match": fingerprints.op10_i_match,
     "op11_line_dedup": line_dedup.op11_line_dedup,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
 }
 
 SQL = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op5_url_filter": url_filter.OP5_SQL,
     "op11_line_dedup": line_dedup.OP11_SQL,
+    "op12_lexical_search": lexical_search.OP12_SQL,
 }

@@ -1,0 +1,132 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from reachset.llm import lexical_search
+from reachset.llm.lexical_search import rank_documents, terms
+
+from .conftest import ROWS
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def words(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(rows, items, k=20):
+    docs = [(i, Counter(words(t))) for i, t in rows]
+    docs = [(i, c, sum(c.values())) for i, c in docs if c]
+    n_docs, total = len(docs), sum(n for _, _, n in docs)
+    df = Counter(t for _, c, _ in docs for t in c)
+    out = []
+    for item, text in items:
+        found = []
+        for i, c, n in docs:
+            m = 100 - 25 + 25 * n * n_docs // total
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t in words(text)
+                if c[t]
+            )
+            if score > 0:
+                found.append((-score, i is None, i))
+        found.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, r + 1, i, -s) for r, (s, _, i) in enumerate(found[:k])]
+    return sorted(out, key=repr)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+ITEMS = [
+    (1, "The CAT sat on the mat"),
+    (2, None),
+    (3, "!!! ..."),
+    (4, "Ärger Öl w5 w6 w7 nowhere"),
+    (4, "a row without an id, 12345"),
+    (None, "cat cat dog"),
+]
+
+
+@pytest.fixture
+def items(spark):
+    return spark.createDataFrame(
+        [(i, t, 1, "x") for i, t in ITEMS], "item_id long, text string, score int, id string"
+    )
+
+
+@given(st.text())
+@settings(max_examples=200, deadline=None)
+def test_terms(text):
+    assert terms(text.encode("utf-8", "ignore")) == [w.encode() for w in words(text.encode("utf-8", "ignore").decode())]
+
+
+def test_edge_rows(edge_docs, items):
+    assert got(rank_documents(edge_docs, items)) == brute([r[:2] for r in ROWS], ITEMS)
+
+
+def corpus(seed, docs=400):
+    rng = random.Random(seed)
+    vocabulary = [f"t{i}" for i in range(120)]
+    weights = [1 / (i + 1) for i in range(120)]
+    rows = [(i // 2, " ".join(rng.choices(vocabulary, weights, k=rng.choice([3, 20, 200])))) for i in range(docs)]
+    return rows, [(i, " ".join(rng.choices(vocabulary, weights, k=12))) for i in range(15)]
+
+
+def test_random_corpus_with_ties_and_blocks(make, spark):
+    rows, asked = corpus(5)
+    rows += [(1000 + i, rows[7][1]) for i in range(60)]  # many documents of one score
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    want = brute(rows, asked, k=5)
+    docs = make(rows).repartition(4)
+    assert got(rank_documents(docs, items, k=5)) == want
+    assert got(rank_documents(docs, items, k=5, block_bytes=150)) == want
+
+
+def test_small_shards_give_the_same(make, spark, monkeypatch):
+    rows, asked = corpus(8, 3000)
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    search = lexical_search.search_index
+    monkeypatch.setattr(
+        lexical_search, "search_index", lambda *a: search(*a, shard_rows=1024, shard_postings=20_000)
+    )
+    assert got(rank_documents(make(rows).repartition(2), items)) == brute(rows, asked)
+
+
+def test_accumulators_stop_and_survivors_go_on():
+    """A frequent, light term makes no accumulator once k documents are out of its reach."""
+    size = 1000
+    rare = np.array([3, 5, 9])
+    shard = lexical_search.Shard(
+        np.full(size, 10), np.array([1 + (d in rare) for d in range(size)]),
+        np.concatenate([[0, 1] if d in rare else [1] for d in range(size)]),
+        np.concatenate([[1, 1] if d in rare else [1] for d in range(size)]), 2, size, size * 10,
+    )
+    made = []
+    kth = lexical_search.Shard._kth
+
+    def spy(scores, *a):
+        made.append(int((scores > 0).sum()))
+        return kth(scores, *a)
+
+    shard._kth = spy
+    docs, scores = shard.top([(0, 7000), (1, 5)], 3, 0)
+    assert made == [3] and docs.tolist() == [3, 5, 9]
+    share = 10**9 // (1000 + 12 * 100)
+    assert scores.tolist() == [7005 * share] * 3
+
+
+def test_no_rows(no_docs, edge_docs, items):
+    assert rank_documents(no_docs, items).count() == 0
+    none = rank_documents(edge_docs, items.where("false"))
+    assert none.count() == 0 and none.columns == ["item_id", "rank", "doc_id", "score"]
