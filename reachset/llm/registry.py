@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import (
+    conversation_trie,
     exact_dedup,
     fingerprints,
     jaccard_join,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_i_match": fingerprints.op10_i_match,
     "op11_line_dedup": line_dedup.op11_line_dedup,
     "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_conversation_trie": conversation_trie.op13_conversation_trie,
 }
 
 SQL = {
@@ -37,4 +39,5 @@ SQL = {
     "op5_url_filter": url_filter.OP5_SQL,
     "op11_line_dedup": line_dedup.OP11_SQL,
     "op12_lexical_search": lexical_search.OP12_SQL,
+    "op13_conversation_trie": conversation_trie.OP13_SQL,
 }
