@@ -28,7 +28,7 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -56,16 +56,26 @@ def hot_values(
     Fewer than ``spark.sql.shuffle.partitions`` values can.  Counts are
     aggregated on the map side over one column; ``salts`` is as many fair
     shares as the value holds.  An input estimated under ``measure_from``
-    bytes (None: every input) is not measured and has none.
+    bytes (None: every input) is not measured and has none.  One job.
     """
     if measure_from is None or estimated_bytes(df) < measure_from:
         return []
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = _partitions(df)
     counts = df.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    total = F.sum("_n").alias("_total")
-    fair = (counts.agg(total).first()[0] or 0) / partitions
-    top = counts.where(F.col("_n") > 2 * fair).orderBy(F.desc("_n")).limit(partitions).collect()
-    return [(r[0], math.ceil(r[1] / fair)) for r in top]
+    # the total is observed while the same job finds the largest counts
+    rows = Observation()
+    top = counts.observe(rows, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(partitions).collect()
+    fair = (rows.get.get("total") or 0) / partitions if top else 0
+    return [(r[0], math.ceil(r["_n"] / fair)) for r in top if r["_n"] > 2 * fair]
+
+
+def no_salt(key: str) -> Column:
+    """Salt 0 for every key, in a form that is not folded: a literal would leave the join's keys."""
+    return F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+
+
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _key_only(df: DataFrame, key: str, source: str | None = None) -> DataFrame:
@@ -178,16 +188,20 @@ def exclude(
     A left-anti join: rows of ``df`` with a null key are kept, as pandas'
     ``~isin`` keeps them; a null in ``other`` removes nothing.  ``other`` is
     reduced to its distinct keys first, so a hot key on that side is one row.
-    Rows with a null key go around the join (they would all meet in one
-    partition); ``null_keys=False`` states that there are none (an audience).
+    Rows with a null key match nothing; a salt from their other columns keeps
+    them from meeting in one partition.  ``null_keys=False`` states that there
+    are none (an audience): then a partitioning by the key is used as it is.
     """
     right = audience(other, other_key or key)
     if other_key and other_key != key:
         right = right.withColumnRenamed(other_key, key)
-    if not null_keys:
+    if not null_keys or not df.schema[key].nullable:
         return df.join(right, on=key, how="left_anti")
-    kept = df.where(F.col(key).isNotNull()).join(right, on=key, how="left_anti")
-    return kept.select(*df.columns).unionByName(df.where(F.col(key).isNull()))
+    rest = [F.col(c) for c in df.columns if c != key] or [F.lit(0)]
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*rest), F.lit(_partitions(df)))).otherwise(0)
+    salted = df.withColumn("_salt", salt.cast("int"))
+    kept = salted.join(right.withColumn("_salt", no_salt(key)), on=[key, "_salt"], how="left_anti")
+    return kept.select(*df.columns)
 
 
 def restrict_to(
@@ -266,7 +280,7 @@ def semi_join_spread(
     rows: DataFrame,
     keys: DataFrame,
     on: str,
-    spread_by: str,
+    spread_by: str | Sequence[str],
     hot: Sequence[tuple[object, int]],
     how: str = "left_semi",
 ) -> DataFrame:
@@ -278,14 +292,17 @@ def semi_join_spread(
     so its rows are spread over that many tasks.  Every other value joins
     with salt 0.  The result is exact whatever the data: salting changes only
     where a row is joined.  ``hot`` has fewer values than there are shuffle
-    partitions, which bounds the broadcast.  ``how="left"`` attaches the other
-    columns of ``keys`` instead.
+    partitions, which bounds the broadcast.  ``how="left"`` (or ``"inner"``)
+    attaches the other columns of ``keys`` instead; rows without a value, which
+    match nothing, are then spread as well.
     """
     schema = StructType(
         [StructField(on, rows.schema[on].dataType), StructField("_salts", IntegerType())]
     )
     table = F.broadcast(rows.sparkSession.createDataFrame(list(hot), schema))
-    salt = F.coalesce(F.pmod(F.xxhash64(F.col(spread_by)), F.col("_salts")).cast("int"), F.lit(0))
+    salts = F.coalesce(F.col("_salts"), F.when(F.col(on).isNull(), _partitions(rows)).otherwise(1))
+    spread = [spread_by] if isinstance(spread_by, str) else list(spread_by)
+    salt = F.pmod(F.xxhash64(*spread), salts).cast("int")
     probe = rows.join(table, on=on, how="left").select(*rows.columns, salt.alias("_salt"))
     replicas = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
     build = keys.join(table, on=on, how="left").withColumn("_salt", F.explode(replicas))

@@ -8,6 +8,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 INT32_MIN, INT32_MAX = -(2**31), 2**31 - 1
 
@@ -92,9 +93,10 @@ class RowGuard:
     """Counts rows while the plan runs; :meth:`check` fails afterwards (G1).
 
     ``watch`` marks a part of the plan, ``watch_ids`` counts its ids that are
-    neither null nor a number (they take no part in an audience).  Call
-    ``check`` after the write: it raises for watched parts without rows and
-    returns the number of unusable ids by name.
+    neither null nor a number (they take no part in an audience); ids stored
+    as numbers need no counting and their plan stays as it is.  Call ``check``
+    after the write: it raises for watched parts without rows and returns the
+    number of unusable ids by name, where there are any.
     """
 
     def __init__(self):
@@ -106,13 +108,20 @@ class RowGuard:
         return df.observe(self._rows[name], F.count(F.lit(1)).alias("rows"))
 
     def watch_ids(self, df: DataFrame, column: str, name: str) -> DataFrame:
+        if not isinstance(df.schema[column].dataType, StringType):
+            return df
         bad = F.col(column).isNotNull() & F.col(column).try_cast("bigint").isNull()
         self._ids[name] = Observation()
         return df.observe(self._ids[name], F.count_if(bad).alias("unusable"))
 
+    @staticmethod
+    def _reported(seen: Observation, name: str) -> int:
+        # a part that the optimizer found empty and took out reports a row without fields
+        return seen.get.get(name, 0) if seen._jo.getRow().length() else 0
+
     def check(self) -> dict[str, int]:
-        # a part the optimizer found empty reports nothing
-        empty = [n for n, seen in self._rows.items() if not seen.get.get("rows", 0)]
+        empty = [n for n, seen in self._rows.items() if not self._reported(seen, "rows")]
         if empty:
             raise EmptyAudienceError(f"{', '.join(empty)} came back empty; check the inputs")
-        return {n: seen.get.get("unusable", 0) for n, seen in self._ids.items()}
+        counts = {n: self._reported(seen, "unusable") for n, seen in self._ids.items()}
+        return {n: count for n, count in counts.items() if count}

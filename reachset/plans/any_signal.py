@@ -10,7 +10,6 @@ they run in parallel stages instead of one round trip after another.
 from __future__ import annotations
 
 import datetime as dt
-from collections import ChainMap
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -143,7 +142,9 @@ def _kw(col: str, p: AnySignalParams) -> Column:
 
 
 def reference_signals(
-    tables: Mapping[str, DataFrame], p: AnySignalParams = AnySignalParams()
+    tables: Mapping[str, DataFrame],
+    p: AnySignalParams = AnySignalParams(),
+    guard: RowGuard | None = None,
 ) -> tuple[list[DataFrame], DataFrame]:
     """The five signal frames and the new-account frame, keyed ``accountId``.
 
@@ -155,12 +156,15 @@ def reference_signals(
     up_country, lo_country, lo_lang = country.upper(), country.lower(), language.lower()
     lo, hi = window_bounds(p.start, p.focus, p.as_of)
 
-    def win(name: str) -> DataFrame:
-        return event_window(tables[name], lo, hi, partition_col=p.partition_col)
+    def seen(df: DataFrame, name: str, key: str) -> DataFrame:
+        return guard.watch_ids(df, key, f"{name}.{key}") if guard else df
+
+    def win(name: str, key: str) -> DataFrame:
+        return seen(event_window(tables[name], lo, hi, partition_col=p.partition_col), name, key)
 
     grp_ok = not_equal("grp", *p.excluded_groups)
 
-    click = win("clicks").where(
+    click = win("clicks", "account_id").where(
         (F.col("job_country_code") == up_country)
         & (F.col("joblanguage") == lo_lang)
         & not_equal("format", "unknown")
@@ -168,7 +172,7 @@ def reference_signals(
         & _kw("query", p)
     )
     search = union_sources(
-        {"mobile_searches": win("mobile_searches"), "searches": win("searches")},
+        {name: win(name, "account_id") for name in ("mobile_searches", "searches")},
         where=grp_ok
         & (F.col("page") == 1)
         & (F.col("rcv") == p.search_rcv)
@@ -178,7 +182,7 @@ def reference_signals(
         & positive_id("account_id")
         & _kw("qnorm", p),
     )
-    created, seekers = win("job_alerts"), win("profiles")
+    created, seekers = win("job_alerts", "accountId"), win("profiles", "accountId")
     scalar = lambda df, c: not is_multivalued(df, c)
     alerts = created.where(
         none_value_is("creationGroups", "privileged", scalar(created, "creationGroups"))
@@ -187,7 +191,7 @@ def reference_signals(
         & positive_id("accountId")
         & _kw("q", p)
     )
-    views = win("job_views").where(
+    views = win("job_views", "account_id").where(
         grp_ok
         & (F.col("rcv") == p.search_rcv)
         & (F.col("site_country_code") == lo_country)
@@ -209,11 +213,12 @@ def reference_signals(
         views.select(id_key("account_id").alias(key)),
         profiles.select(id_key("accountId").alias(key)),
     ]
+    opened = event_window(
+        tables["new_accounts"], p.new_account_start, p.new_account_end, as_of=p.as_of,
+        partition_col=p.partition_col,
+    )
     new_accounts = audience(
-        event_window(
-            tables["new_accounts"], p.new_account_start, p.new_account_end, as_of=p.as_of,
-            partition_col=p.partition_col,
-        )
+        seen(opened, "new_accounts", "accountid")
         .where((F.col("lang") == p.new_account_lang) & positive_id("accountid"))
         .select(id_key("accountid").alias(key)),
         key,
@@ -227,10 +232,7 @@ def reference_any_signal(
     guard: RowGuard | None = None,
 ) -> DataFrame:
     """Q2 over the reference's datasets."""
-    if guard:
-        alerts = guard.watch_ids(tables["job_alerts"], "accountId", "job_alerts.accountId")
-        tables = ChainMap({"job_alerts": alerts}, tables)
-    signals, new_accounts = reference_signals(tables, p)
+    signals, new_accounts = reference_signals(tables, p, guard)
     if guard:
         names = ("click", "search", "job alert", "view", "profile")
         signals = [guard.watch(part, name) for name, part in zip(names, signals)]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import days_before, resolve_date, window_bounds
 from ..functions.predicates import id_key, non_empty
 from ..operators.algebra import audience, combine, exclude
-from ..operators.shape import fill_defaults, rename, with_literals
+from ..operators.shape import RowGuard, fill_defaults, rename, with_literals
 from ..sources.events import event_window, intersect_sources
 from ..sources.lookups import attach_profile, employer_accounts
 from .presets import METRO_PRESETS, MarketPreset, near_market, preset
@@ -104,9 +104,15 @@ def metro_cities(
     return audience(posts, "jlcity", "jladmin1code")
 
 
-def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketParams()) -> DataFrame:
+def reference_market(
+    tables: Mapping[str, DataFrame], p: MarketParams = MarketParams(), guard: RowGuard | None = None
+) -> DataFrame:
     """Q3 over the reference's datasets; columns
-    (accountId, City, State, emailAddress, lastName, firstName)."""
+    (accountId, City, State, emailAddress, lastName, firstName).
+
+    ``guard`` watches the chosen sources and the result for rows, and the
+    datasets' ids.
+    """
     if not (0 <= p.account_days <= 30 and 0 <= p.alert_days <= 30):
         raise ValueError("account_days and alert_days must be within 0..30")
     if p.account_days == 0 and p.alert_days == 0:
@@ -115,6 +121,13 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     pr = preset(p.city, p.include_metro)
     key = "accountId"
 
+    def watched(df: DataFrame, name: str) -> DataFrame:
+        return guard.watch(df, name) if guard else df
+
+    def win(name: str, column: str, lo: dt.date, hi: dt.date) -> DataFrame:
+        df = event_window(tables[name], lo, hi, partition_col=p.partition_col)
+        return guard.watch_ids(df, column, f"{name}.{column}") if guard else df
+
     cities = None
     if pr.ip_city is None:
         cities = metro_cities(
@@ -126,19 +139,19 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     if p.account_days > 0:
         lo, hi = window_bounds(days_before(focus, p.account_days), focus)
         signins = near_market(
-            event_window(tables["sign_ins"], lo, hi, partition_col=p.partition_col)
+            win("sign_ins", "accountId", lo, hi)
             .where(F.col("js_ip_country_code") == p.country)
             .select("ipcity", id_key("accountId").alias(key)),
             METRO_PRESETS, p.city, p.include_metro, "ipcity",
             metro_cities=cities, metro_key="jlcity", spread_by=key,
         ).select(key)
-        created = event_window(tables["new_accounts"], lo, hi, partition_col=p.partition_col).where(
+        created = win("new_accounts", "accountid", lo, hi).where(
             F.col("country") == p.country
         ).select(id_key("accountid").alias(key))
         accounts = intersect_sources(
             {
-                "a": (signins.where(F.col(key) != 0), key),
-                "b": (created.where(F.col(key) != 0), key),
+                "a": (watched(signins.where(F.col(key) != 0), "sign-in"), key),
+                "b": (watched(created.where(F.col(key) != 0), "new account"), key),
             },
             key=key,
         )
@@ -149,7 +162,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
     if p.alert_days > 0:
         lo, hi = window_bounds(days_before(focus, p.alert_days), focus)
         found = near_market(
-            event_window(tables["job_alerts"], lo, hi, partition_col=p.partition_col)
+            win("job_alerts", "accountId", lo, hi)
             .where(
                 (F.col("country") == p.country.lower())
                 & (F.col("ipCountry") == p.country)
@@ -159,7 +172,7 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
             METRO_PRESETS, p.city, p.include_metro, "ipCity", region_col="ipRegion",
             metro_cities=cities, metro_key="jlcity", spread_by=key,
         )
-        alerts = audience(found, key, "ipCity", "ipRegion")
+        alerts = audience(watched(found, "job alert"), key, "ipCity", "ipRegion")
 
     def attach(aud: DataFrame) -> DataFrame:
         return attach_profile(
@@ -186,4 +199,5 @@ def reference_market(tables: Mapping[str, DataFrame], p: MarketParams = MarketPa
         key=key,
         one_row_per_account=p.one_row_per_account,
     )
-    return out.select(key, "City", "State", "emailAddress", "lastName", "firstName")
+    out = out.select(key, "City", "State", "emailAddress", "lastName", "firstName")
+    return watched(out, "market audience")

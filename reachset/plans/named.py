@@ -49,6 +49,7 @@ from ..operators.algebra import (
     semi_chain,
     signal_flags,
 )
+from ..operators.chains import SharedLink, shared_chains
 from ..operators.shape import (
     cast_key,
     dedupe,
@@ -69,7 +70,7 @@ from ..sources.sinks import (
 from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
 from .presets import MarketPreset, near_market
-from .unconverted import unconverted_audience, with_company
+from .unconverted import with_company
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -190,7 +191,7 @@ def q_scrub_accounts(spark, sf_dir):
     info = table(spark, sf_dir, "supplier").withColumn(
         "flag", F.when(F.col("s_acctbal") >= 0, F.col("s_acctbal"))
     )
-    employers = employer_accounts(info, "account_id", "flag", source="s_suppkey", within=customers)
+    employers = employer_accounts(info, "account_id", "flag", source="s_suppkey")
     return exclude(customers, employers, "account_id")
 
 
@@ -548,30 +549,37 @@ def q_unconverted_audience(spark, sf_dir):
 
 
 def q_unconverted_chain(spark, sf_dir):
-    """Q1 in its own shape: two nested chains, intersection, exclusion, company."""
+    """Q1 in its own shape: two nested chains and the base over shared levels, then company.
+
+    Orders and lineitem are read once each: the base begins at lineitem, one
+    chain at orders, the other at customer.
+    """
     t = lambda n: table(spark, sf_dir, n)
     key = "l_suppkey"
-    finished = Link(t("orders").where(F.col("o_orderstatus") == "F"), key="o_orderkey")
-    urgent = [
-        Link(t("customer").where(F.col("c_mktsegment") == "BUILDING"), key="c_custkey"),
-        Link(
-            t("orders").where(
-                (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    flags = shared_chains(
+        [
+            SharedLink(t("customer").where(F.col("c_mktsegment") == "BUILDING"), {"spent": "c_custkey"}),
+            SharedLink(
+                t("orders").where(F.col("o_orderstatus") == "F"),
+                {"optimized": "o_orderkey", "spent": "o_orderkey"},
+                on="o_custkey",
+                where={"spent": F.col("o_orderpriority") == "1-URGENT"},
             ),
-            key="o_orderkey",
-            on="o_custkey",
-        ),
-    ]
-    lines = t("lineitem")
-    base = audience(lines.where(not_equal("l_returnflag", "R")), key)
-    optimized = semi_chain(
-        [finished, Link(lines.where(F.col("l_discount") >= 0.1), key=key, on="l_orderkey")]
-    )
-    spent = semi_chain(
-        [*urgent, Link(lines.where(F.col("l_quantity") > 49), key=key, on="l_orderkey")]
-    )
+            SharedLink(
+                t("lineitem"),
+                {"base": key, "optimized": key, "spent": key},
+                on="l_orderkey",
+                where={
+                    "base": not_equal("l_returnflag", "R"),
+                    "optimized": F.col("l_discount") >= 0.1,
+                    "spent": F.col("l_quantity") > 49,
+                },
+            ),
+        ]
+    ).flags(key)
+    raw = flags.where(F.col("base") & F.col("optimized") & ~F.col("spent")).select(key)
     companies = t("supplier").select(F.col("s_suppkey").alias(key), F.col("s_name").alias("company"))
-    return unconverted_audience(base, optimized, spent, companies, key=key)
+    return with_company(raw, companies, key=key)
 
 
 def q_any_signal_audience(spark, sf_dir):

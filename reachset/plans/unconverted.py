@@ -3,7 +3,9 @@
 
 ``unconverted_audience`` is the algebra; ``reference_unconverted`` builds
 its three inputs from the reference's event datasets (FIXTURES §A).
-Everything is one lazy plan; the only action is the caller's write.
+Everything is one lazy plan; the only actions are the caller's write, and one
+small job per chain level from ``measure_from`` bytes on (``cut_lineage`` adds
+the job that writes the shared levels).
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ from ..operators.algebra import (
     restrict_to,
     semi_chain,
 )
+from ..operators.chains import SharedLink, shared_chains
 from ..operators.shape import RowGuard, cast_key, drop_incomplete
-from ..session import cut_lineage
 from ..sources.events import event_window
 
 
@@ -114,7 +116,7 @@ class UnconvertedParams:
     sponsored_state: str = "spon_active"
     optimized_mode: str = "in"
     partition_col: str | None = None  # event-date partition column, if any
-    cut_lineage: bool = False  # materialise the shared inner chain once
+    cut_lineage: bool = False  # write the levels that both chains share
     measure_from: int | None = MEASURE_FROM  # chain levels from this size on are measured for skew
 
 
@@ -138,60 +140,57 @@ def reference_unconverted(
     )
 
     excl = p.excluded_advertiser
-    # The three innermost levels are identical in both chains: build once.
+    # Both chains follow the same datasets up to the job changes, which are read
+    # once: the sheet filter and what is handed on there are the chains' own.
     eligibility = win("eligibility")
     one_group = not is_multivalued(eligibility, "tokenizedGroups")
-    eligible = Link(
-        eligibility.where(
-            any_value_in("tokenizedGroups", [p.eligibility_group], scalar=one_group)
-            & (F.col("event") == p.eligibility_event)
-        ),
-        key="advertiserId",
-    )
-    claimed = Link(
-        win("claimed_jobs").where(
-            (F.col("success") == 1)
-            & not_equal("advertiserId", excl)
-            & non_empty("claimedAggJobId")
-        ),
-        key="newJobHash",
-        on="advertiserId",
-    )
-    new_jobs = Link(
-        win("new_jobs").where(
-            not_equal("advertiser_id", excl) & (F.col("jobagedays") == 0)
-        ),
-        key="job_hash",
-        on="job_hash",
-    )
-    shared_hashes = semi_chain([eligible, claimed, new_jobs], out="job_hash", measure_from=p.measure_from)
-    if p.cut_lineage:
-        shared_hashes = cut_lineage(shared_hashes)
-
-    def wizard(extra=None) -> Link:
-        cond = F.col("edit") == 1
-        if extra is not None:
-            cond = cond & extra
-        return Link(win("job_wizard").where(cond), key="jobhash", on="jobhash")
-
-    updates = win("job_changes").where(
-        (F.col("action") == p.update_action) & not_equal("advertiser_id", excl)
-    )
-
-    optimized = semi_chain(
+    both = lambda column: {"optimized": column, "spent": column}
+    shared = shared_chains(
         [
-            Link(shared_hashes, key="job_hash"),
-            wizard(),
-            Link(updates, key="advertiser_id", on="job_hash"),
+            SharedLink(
+                eligibility.where(
+                    any_value_in("tokenizedGroups", [p.eligibility_group], scalar=one_group)
+                    & (F.col("event") == p.eligibility_event)
+                ),
+                both("advertiserId"),
+            ),
+            SharedLink(
+                win("claimed_jobs").where(
+                    (F.col("success") == 1)
+                    & not_equal("advertiserId", excl)
+                    & non_empty("claimedAggJobId")
+                ),
+                both("newJobHash"),
+                on="advertiserId",
+            ),
+            SharedLink(
+                win("new_jobs").where(
+                    not_equal("advertiser_id", excl) & (F.col("jobagedays") == 0)
+                ),
+                both("job_hash"),
+                on="job_hash",
+            ),
+            SharedLink(
+                win("job_wizard").where(F.col("edit") == 1),
+                both("jobhash"),
+                on="jobhash",
+                where={"spent": matches("tosheet", p.sponsor_sheet)},
+            ),
+            SharedLink(
+                win("job_changes").where(
+                    (F.col("action") == p.update_action) & not_equal("advertiser_id", excl)
+                ),
+                {"optimized": "advertiser_id", "spent": "job_hash"},
+                on="job_hash",
+            ),
         ],
         measure_from=p.measure_from,
+        cut=p.cut_lineage,
     )
-
+    optimized = shared.of("optimized", "advertiser_id")
     spent = semi_chain(
         [
-            Link(shared_hashes, key="job_hash"),
-            wizard(matches("tosheet", p.sponsor_sheet)),
-            Link(updates, key="job_hash", on="job_hash"),
+            Link(shared.of("spent", "job_hash"), key="job_hash"),
             Link(
                 win("job_details").where(
                     (F.col("is_sponsor_all") == 0) & (F.col("daily_total_revenue_cents") > 0)

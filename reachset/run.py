@@ -111,6 +111,7 @@ def parser() -> argparse.ArgumentParser:
     q3.add_argument("--alert-days", type=int, default=0)
     q3.add_argument("--format", default="json", choices=["json", "csv"])
     q3.add_argument("--one-row-per-account", action="store_true")
+    q3.add_argument("--require-rows", action="store_true", help="fail if a source or the result came back empty")
     return ap
 
 
@@ -122,7 +123,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
         # no master here: the submit command's wins, a plain run is local
         spark = SparkSession.getActiveSession() or build_session()
     tables = LazyTables(spark, args.data, layout=json.loads(args.layout) if args.layout else None)
-    guard = RowGuard() if getattr(args, "require_rows", False) else None
+    guard = RowGuard() if args.require_rows else None
     as_of, part = _date(args.as_of), args.partition_col
     if args.plan == "unconverted":
         p = UnconvertedParams(
@@ -147,7 +148,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> Da
             account_days=args.account_days, alert_days=args.alert_days, as_of=as_of,
             one_row_per_account=args.one_row_per_account, partition_col=part,
         )
-        out = reference_market(tables, p)
+        out = reference_market(tables, p, guard)
         if args.format == "csv":
             write_campaign_csv(out, args.out, mode=args.mode)
         else:

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.algebra import (
+    MEASURE_FROM,
     audience,
     checked_broadcast,
     hot_values,
-    restrict_to,
     semi_join_spread,
 )
 
@@ -63,6 +63,7 @@ def attach_profile(
     secondary_cols: Mapping[str, str] | None = None,
     how: str = "left",
     secondary_bounded: bool = False,
+    measure_from: int | None = MEASURE_FROM,
 ) -> DataFrame:
     """Attach profile attributes to an audience (S4 with the left join J6).
 
@@ -71,18 +72,15 @@ def attach_profile(
     left-joined to that on ``link = (primary column, secondary column)``.
     Column maps are ``{output name: stored name}``.
 
-    As the reference ships the audience's ids to the database, each
-    profile table is first restricted to the keys it needs by a left-semi
-    join in which the *profile table* is the probe side: when the audience
-    is small its keys are broadcast and the (large) profile table is only
-    scanned, never shuffled; when both are large, the restricted rows come
-    out partitioned on the key and the following join needs no exchange.
-    ``how="left"`` keeps audience keys without a profile (the reference's
-    outer merge); ``how="inner"`` returns only keys that have one (the
-    profile query).  ``secondary_bounded=True`` states that the secondary
-    table is a small dimension of fixed size (nations, regions): it is then
-    broadcast as it is (while its estimated size allows it), with no
-    restriction step.
+    Each table is met by one join.  ``how="left"`` keeps audience keys without
+    a profile (the reference's outer merge); Spark's runtime filter cuts a
+    large profile table down to the audience's keys before it is shuffled.
+    ``how="inner"`` returns only keys that have a profile (the profile query).
+    ``secondary_bounded=True`` states that the secondary table is a small
+    dimension of fixed size (nations, regions): it is then broadcast (while
+    its estimated size allows it).  Otherwise a link value that many profiles
+    share is measured on the profile table, before any join, and salted, and
+    so are rows without a link.
     """
     link_cols = [link[0]] if secondary is not None and link else []
     if secondary is not None and not link:
@@ -92,12 +90,7 @@ def attach_profile(
         *[F.col(src).alias(dst) for dst, src in primary_cols.items()],
         *[F.col(c).alias(f"_link_{c}") for c in link_cols],
     ).where(F.col(key).isNotNull())
-    if how == "inner":
-        # an inner join restricts both ways already; the profile table is
-        # the probe side, so a small audience is broadcast
-        out = aud.join(p, on=key, how="inner")
-    else:
-        out = aud.join(restrict_to(p, aud, on=key), on=key, how=how)
+    out = aud.join(p, on=key, how=how)
     if secondary is None:
         return out
     lk = f"_link_{link[0]}"
@@ -114,42 +107,24 @@ def attach_profile(
         sec = secondary.select(F.col(link[1]).alias("_sk"), *sec_cols).where(
             F.col("_sk").isNotNull()
         )
-        sec = restrict_to(sec, aud.select(F.col(key).alias("_sk")), on="_sk")
         cond = (out[key] == sec["_sk"]) & out[lk].isNotNull()
         return out.join(sec, cond, how="left").drop("_sk", lk)
     sec = secondary.select(F.col(link[1]).alias(lk), *sec_cols).where(F.col(lk).isNotNull())
-    # accounts without a link go around the join (they would meet in one
-    # partition); a link value that many accounts share is measured and salted
-    linked = out.where(F.col(lk).isNotNull())
-    hot = hot_values(linked, lk)
-    named = (
-        semi_join_spread(linked, sec, lk, key, hot, how="left")
-        if hot
-        else linked.join(sec, on=lk, how="left")
-    )
-    return named.unionByName(out.where(F.col(lk).isNull()), allowMissingColumns=True).drop(lk)
+    return semi_join_spread(out, sec, lk, key, hot_values(p, lk, measure_from), how="left").drop(lk)
 
 
 def employer_accounts(
-    info: DataFrame,
-    key: str,
-    flag: Column | str,
-    source: str | None = None,
-    within: DataFrame | None = None,
+    info: DataFrame, key: str, flag: Column | str, source: str | None = None
 ) -> DataFrame:
     """Accounts the reference table marks as employers (S5 + F10).
 
     ``flag`` is a column name (kept when not null, as ``advertiser_id``)
-    or a boolean condition.  ``within`` (a frame with column ``key``)
-    restricts the lookup to those accounts first -- the reference asks the
-    lookup service about the audience's ids only -- so that a small
-    audience never causes the whole reference table to be shuffled.
+    or a boolean condition.  The reference asks the lookup service about the
+    audience's ids only; here the anti-join that uses the result meets the
+    audience anyway, so no join restricts it first.
     """
     cond = F.col(flag).isNotNull() if isinstance(flag, str) else flag
-    flagged = info.where(cond).select(F.col(source or key).alias(key))
-    if within is not None:
-        flagged = restrict_to(flagged, within, on=key)
-    return audience(flagged, key)
+    return audience(info.where(cond), key, source=source)
 
 
 def write_bucketed_lookup(

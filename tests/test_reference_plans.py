@@ -371,6 +371,63 @@ def test_guard_names_the_empty_part_and_counts_unusable_ids(spark):
         guard.check()
 
 
+def test_q2_guard_counts_ids_of_every_dataset(spark):
+    tables = {
+        n: df.withColumns({c: F.col(c).cast("string") for c in df.columns if c.lower() in ("accountid", "account_id")})
+        for n, df in build(spark, q2_data()).items()
+    }
+    guard = RowGuard()
+    bad = {}
+    for name, key in (("clicks", "account_id"), ("searches", "account_id"), ("mobile_searches", "account_id"),
+                      ("job_views", "account_id"), ("profiles", "accountId"), ("new_accounts", "accountid")):
+        one = tables[name].limit(1).withColumn(key, F.lit("no number"))
+        tables[name] = tables[name].unionByName(one)
+        bad[f"{name}.{key}"] = 1
+    want = {r.accountId for r in reference_any_signal(build(spark, q2_data()), AnySignalParams(as_of=Q2_AS_OF)).collect()}
+    out = reference_any_signal(tables, AnySignalParams(as_of=Q2_AS_OF), guard)
+    assert {r.accountId for r in out.collect()} == want
+    got = guard.check()
+    assert {k: got.get(k) for k in bad} == bad
+
+
+def test_q3_guard_watches_sources_and_ids(spark):
+    data = q3_data()
+    tables = build(spark, data)
+    tables["sign_ins"] = tables["sign_ins"].withColumn("accountId", F.col("accountId").cast("string"))
+    tables["sign_ins"] = tables["sign_ins"].unionByName(tables["sign_ins"].limit(1).withColumn("accountId", F.lit("x")))
+    p = MarketParams(focus=FOCUS, city="Chicago", include_metro=True, account_days=3, alert_days=2)
+    guard = RowGuard()
+    got = rows(reference_market(tables, p, guard))
+    assert got == rows(reference_market(build(spark, data), p))
+    assert guard.check()["sign_ins.accountId"] == 1
+    data["job_alerts"] = []
+    guard = RowGuard()
+    reference_market(build(spark, data), p, guard).collect()
+    with pytest.raises(EmptyAudienceError, match="job alert"):
+        guard.check()
+
+
+def test_q1_reads_shared_datasets_once(spark, tmp_path):
+    tables = {}
+    for name, df in build(spark, q1_data()).items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    for limit in ("-1", "10m"):
+        spark.conf.set(broadcast, limit)
+        spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+        try:
+            out = reference_unconverted(tables, q1_params())
+            got = out.collect()
+            plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        finally:
+            spark.conf.unset(broadcast)
+            spark.conf.unset("spark.sql.maxMetadataStringLength")
+        assert got == reference_unconverted(build(spark, q1_data()), q1_params()).collect()
+        for name in ("eligibility", "claimed_jobs", "new_jobs", "job_wizard", "job_changes"):
+            assert plan.count(f"/{name}]") == 1, name
+
+
 def test_q1_guard_covers_companies(spark):
     data = q1_data()
     guard = RowGuard()
