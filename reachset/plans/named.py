@@ -49,7 +49,10 @@ from ..operators.algebra import (
     semi_chain,
     signal_flags,
 )
+from ..operators.bitmap_counts import count_bitmaps, group_bitmaps, merge_bitmaps, number_keys
 from ..operators.chains import SharedLink, shared_chains
+from ..operators.day_windows import day_counts, move_window, read_days, window_counts, write_days
+from ..operators.membership import semi_join_filtered
 from ..operators.shape import (
     cast_key,
     dedupe,
@@ -58,7 +61,7 @@ from ..operators.shape import (
     rename,
     with_literals,
 )
-from ..session import shared_dir
+from ..session import cut_lineage, shared_dir
 from ..sources.events import event_window, intersect_sources, union_sources, window_predicate
 from ..sources.lookups import attach_profile, employer_accounts
 from ..sources.sinks import (
@@ -70,51 +73,12 @@ from ..sources.sinks import (
 from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
 from .presets import MarketPreset, near_market
+from .tables import DRIVER_SCHEMAS, table  # noqa: F401  the schemas are part of this module's interface
 from .unconverted import with_company
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-# The driver tables' schemas (FIXTURES §C).  Reading with a declared schema
-# skips footer-based inference, which on a table of many files means
-# opening every footer on the driver before the job starts.
-DRIVER_SCHEMAS = {
-    "region": "r_regionkey int, r_name string",
-    "nation": "n_nationkey int, n_name string, n_regionkey int",
-    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
-    "c_mktsegment string",
-    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
-    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
-    "p_retailprice double",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
-    "o_orderdate timestamp_ntz, o_orderpriority string",
-    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
-    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
-    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
-    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
-    "value double, props string",
-    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
-}
-
-
-# The driver tables are read-only, so one DataFrame per (session, file) is
-# reused by every query: the file is listed once per session, not once per
-# reference in every query.
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    memo = (id(spark), path)
-    hit = _TABLES.get(memo)
-    if hit is None or hit.sparkSession is not spark:
-        reader = spark.read
-        if name in DRIVER_SCHEMAS:
-            reader = reader.schema(DRIVER_SCHEMAS[name])
-        _TABLES[memo] = reader.parquet(path)
-    return _TABLES[memo]
-
-
 def _d(s: str) -> dt.date:
     return dt.date.fromisoformat(s)
 
@@ -185,6 +149,24 @@ def q_profile_lookup(spark, sf_dir):
     )
 
 
+def q_profile_linked(spark, sf_dir):
+    """The general link: hot link values measured and salted, profiles without a link kept."""
+    keys = audience(_events(spark, sf_dir, "signup"), "account_id", source="user_id")
+    has_home = F.col("c_custkey") % 7 != 0
+    customer = table(spark, sf_dir, "customer").withColumn("home_key", F.when(has_home, F.col("c_nationkey")))
+    return attach_profile(
+        keys,
+        "account_id",
+        primary=customer,
+        primary_key="c_custkey",
+        primary_cols={"name": "c_name"},
+        secondary=table(spark, sf_dir, "nation"),
+        link=("home_key", "n_nationkey"),
+        secondary_cols={"home": "n_name"},
+        measure_from=0,
+    )
+
+
 def q_scrub_accounts(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("account_id"))
     # a balance below 0 stands for "no advertiser id", so the flag rejects rows
@@ -399,6 +381,15 @@ def q_semi_keys(spark, sf_dir):
     return dedupe(restrict_to(customers, orders, on="c_custkey", keys_on="o_custkey"))
 
 
+def q_filtered_semi_keys(spark, sf_dir):
+    """Lines of urgent open orders: a membership filter thins them before the exact join."""
+    urgent = table(spark, sf_dir, "orders").where(
+        (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "O")
+    )
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_suppkey")
+    return semi_join_filtered(lines, urgent, "o_orderkey")
+
+
 def q_inner_audience(spark, sf_dir):
     views = audience(_events(spark, sf_dir, "view"), "account_id", source="user_id")
     clicks = audience(_events(spark, sf_dir, "click"), "account_id", source="user_id")
@@ -457,6 +448,25 @@ def q_distinct_count(spark, sf_dir):
     return distinct_count(table(spark, sf_dir, "events"), "event_type", "user_id", "accounts")
 
 
+def q_distinct_bitmaps(spark, sf_dir):
+    """Distinct users per event type and of all, merged from bitmaps per day and type."""
+    ev = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id")
+    ids = number_keys(ev, "user_id")
+    daily = cut_lineage(group_bitmaps(ev, ["day", "event_type"], "user_id", ids))
+    by_type = count_bitmaps(merge_bitmaps(daily, ["event_type"]), ["event_type"], "users")
+    total = count_bitmaps(merge_bitmaps(daily, []).withColumn("event_type", F.lit("all")), ["event_type"], "users")
+    return by_type.unionByName(total)
+
+
+def q_moved_window(spark, sf_dir):
+    """Events per user in a window moved by a day: its state and two days are read."""
+    old, new = (_d("2024-01-05"), _d("2024-01-25")), (_d("2024-01-06"), _d("2024-01-26"))
+    path = shared_dir(spark, "day-counts")
+    write_days(day_counts(table(spark, sf_dir, "events"), "user_id"), path)
+    state = window_counts(read_days(spark, path, [old], "bigint", "user_id"), "user_id")
+    return move_window(state, path, "user_id", old, new)
+
+
 def _nation_names(spark, sf_dir, cond):
     nation = table(spark, sf_dir, "nation").where(cond)
     return (
@@ -686,6 +696,7 @@ QUERIES: dict[str, Query] = {
     "union_sources": q_union_sources,
     "intersect_sources": q_intersect_sources,
     "profile_lookup": q_profile_lookup,
+    "profile_linked": q_profile_linked,
     "scrub_accounts": q_scrub_accounts,
     "filter_compare": q_filter_compare,
     "not_equal_nulls": q_not_equal_nulls,
@@ -704,6 +715,7 @@ QUERIES: dict[str, Query] = {
     "near_market_city": q_near_market_city,
     "semi_chain": q_semi_chain,
     "semi_keys": q_semi_keys,
+    "filtered_semi_keys": q_filtered_semi_keys,
     "inner_audience": q_inner_audience,
     "full_attributes": q_full_attributes,
     "union_audiences": q_union_audiences,
@@ -711,6 +723,8 @@ QUERIES: dict[str, Query] = {
     "distinct_keys": q_distinct_keys,
     "group_multi_key": q_group_multi_key,
     "distinct_count": q_distinct_count,
+    "distinct_bitmaps": q_distinct_bitmaps,
+    "moved_window": q_moved_window,
     "drop_incomplete": q_drop_incomplete,
     "fill_defaults": q_fill_defaults,
     "shape_output": q_shape_output,

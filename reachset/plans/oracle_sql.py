@@ -36,6 +36,9 @@ select a.account_id from (select user_id as account_id, count(*) as n from event
 """,
     "profile_lookup": r"""
 select e.account_id, c.c_name as name, n.n_name as home from (select distinct user_id as account_id from events where event_type='signup') e join customer c on c.c_custkey=e.account_id left join nation n on n.n_nationkey=c.c_nationkey
+""",
+    "profile_linked": r"""
+select e.account_id, c.c_name as name, n.n_name as home from (select distinct user_id as account_id from events where event_type='signup') e left join customer c on c.c_custkey=e.account_id left join nation n on n.n_nationkey=case when c.c_custkey%7<>0 then c.c_nationkey end
 """,
     "scrub_accounts": r"""
 select c_custkey as account_id from customer where not exists (select 1 from supplier where s_suppkey=c_custkey and (case when s_acctbal>=0 then s_acctbal end) is not null)
@@ -93,6 +96,15 @@ select o_custkey, o_orderstatus, o_orderpriority, count(*) as n from orders grou
 """,
     "distinct_count": """
 select event_type, count(distinct user_id) as accounts from events group by event_type
+""",
+    "distinct_bitmaps": """
+select event_type, count(distinct user_id) as users from events group by event_type union all select 'all', count(distinct user_id) from events
+""",
+    "moved_window": """
+select user_id, count(*) as n from events where ts >= '2024-01-06' and ts < '2024-01-26' and user_id is not null group by user_id
+""",
+    "filtered_semi_keys": """
+select l_orderkey as o_orderkey, l_linenumber, l_suppkey from lineitem where l_orderkey in (select o_orderkey from orders where o_orderpriority='1-URGENT' and o_orderstatus='O')
 """,
     "drop_incomplete": """
 select distinct e.user_id as account_id, n.n_name as city from events e left join (select c_custkey, n_name from customer join nation on n_nationkey=c_nationkey where n_regionkey<2) n on n.c_custkey=e.user_id where n.n_name is not null
