@@ -1,19 +1,23 @@
 """Toxicity by compression distance: two zstandard dictionaries, one per class.
 
-Labelled training rows (a bounded sample, ``toxic_rows`` and
-``ordinary_rows`` of them, ``sample_bytes`` of each from a hashed place) give
-two dictionaries.  The ordinary one is trained on all windows of the
-ordinary rows.  The toxic one is trained on the windows of one or two words
-of the toxic rows, each as often as its contrast weighs: how much likelier it
-is in several contexts of toxic text than in ordinary text, measured against
-what chance gives among so many windows.  Words of any length, pairs of
-ordinary words and rare words count.  Every text is cut into windows of about ``window``
-bytes at blanks, whole, to the end.  A window is compressed with the ordinary
-dictionary and with the toxic one in front of it; the bytes that the toxic
-one saves are its distance.  A logistic function of the distances (largest,
-largest three, their sum, share of windows over ``SAVED``, mean, number of
-windows), calibrated on training rows the dictionaries have not seen, is the
-score; ``threshold`` on it decides.
+Labelled training rows, whole texts, a bounded number of each class
+(``toxic_rows``, ``ordinary_rows``), give two dictionaries.  The ordinary one is
+trained on windows of the ordinary rows (at most ``PLAIN_WINDOWS``, by hash).
+The toxic one is trained on the windows of one or two words of the toxic rows,
+each as often as its contrast weighs: how much likelier it is in several
+contexts of toxic text than in ordinary text, measured against what chance
+gives among so many windows; windows of no weight are left out, as they would
+fill the dictionary with ordinary prose.  Words of any length, pairs of ordinary
+words and rare words count.  Counting, weighing and measuring the training rows
+are Spark jobs; the driver holds the units that weigh, the ordinary windows and
+a few numbers per training row, never texts.
+
+Every text is cut into windows of about ``window`` bytes at blanks, whole, to the
+end.  A window is compressed with the ordinary dictionary and with the toxic one
+in front of it; the bytes that the toxic one saves are its distance.  A logistic
+function of the distances (largest, largest three, their sum, share of windows
+over ``SAVED``, mean, number of windows), calibrated on training rows the
+dictionaries have not seen, is the score; ``threshold`` on it decides.
 
 Defined results: null and empty texts are one empty window and score like
 any text without savings; without labelled rows of both classes every score
@@ -25,6 +29,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +38,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, in_fold
+from .common import documents, in_fold, materialize
 
 THRESHOLD = 0.7
 WINDOW = 32
@@ -43,6 +48,12 @@ DICTIONARY = 4096
 SAVED = 4
 #: How much more often than in ordinary text a word or pair must recur to weigh.
 CONTRAST = 8.0
+#: A gain below this weighs nothing: ``int(4 * gain ** 3)`` is 0.
+LEAST_GAIN = 0.62
+#: Ordinary windows that go to the trainer, about, at most.
+PLAIN_WINDOWS = 250_000
+#: Parts of the training rows; each is measured with dictionaries of the others.
+FOLDS = 3
 LEVEL = 12
 _EDGES = b".,;:!?\"'()[]*%$&|<>"
 
@@ -76,6 +87,15 @@ def _runs(text: str) -> list[tuple[bytes, bytes, bytes]]:
     return out
 
 
+def _first_units(text: str) -> dict[bytes, bytes]:
+    """Each word and pair of words of a text, with what comes before its first place."""
+    first: dict[bytes, bytes] = {}
+    for w, pair, before in _runs(text):
+        first.setdefault(w, pair)
+        first.setdefault(pair, before)
+    return first
+
+
 def _contexts(texts: list[str]) -> Counter:
     """Of each word and pair of words, how many different words it follows where a text
     first has it.
@@ -84,11 +104,7 @@ def _contexts(texts: list[str]) -> Counter:
     """
     seen: dict[bytes, set[int]] = defaultdict(set)
     for t in texts:
-        first: dict[bytes, bytes] = {}
-        for w, pair, before in _runs(t):
-            first.setdefault(w, pair)
-            first.setdefault(pair, before)
-        for unit, context in first.items():
+        for unit, context in _first_units(t).items():
             seen[unit].add(zlib.crc32(context))
     return Counter({u: len(s) for u, s in seen.items()})
 
@@ -115,17 +131,29 @@ def _train(units: list[bytes], size: int, rng: np.random.Generator) -> bytes:
         return b"".join(samples)[-size:]
 
 
-def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+def _marked(text: str, gain: dict[bytes, float]) -> Counter:
+    """How often each word or pair of a toxic text goes to the trainer."""
+    out: Counter = Counter()
+    for w, pair, _ in _runs(text):
+        own, both = gain.get(w, 0.0), gain.get(pair, 0.0)
+        if weight := min(20, int(4 * max(own, both) ** 3)):
+            out[w if own >= both else pair.strip()] += weight
+    return out
+
+
+def _dictionaries(marked: Counter, plain: list[bytes]) -> tuple[bytes, bytes]:
     rng = np.random.default_rng(6)
+    units = [u for u in sorted(marked) for _ in range(marked[u])]
+    return _train(units, DICTIONARY, rng), _train(plain, DICTIONARY, rng)
+
+
+def train_dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
+    """The dictionaries of texts at hand; :func:`train` makes the same ones in Spark."""
     gain = _contrast(_contexts(toxic), _contexts(ordinary), len(toxic) / len(ordinary))
-    marked = []
+    marked: Counter = Counter()
     for t in toxic:
-        for w, pair, _ in _runs(t):
-            own, both = gain.get(w, 0.0), gain.get(pair, 0.0)
-            weight = min(20, int(4 * max(own, both) ** 3))
-            marked += [w if own >= both else pair.strip()] * weight
-    plain = [w for t in ordinary for w in windows(t)]
-    return _train(marked, DICTIONARY, rng), _train(plain, DICTIONARY, rng)
+        marked += _marked(t, gain)
+    return _dictionaries(marked, [w for t in ordinary for w in windows(t)])
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:
@@ -192,9 +220,8 @@ def _calibrate(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.nda
     return mean, scale, b
 
 
-def fit(toxic: list[str], ordinary: list[str], folds: int = 3) -> Model | None:
-    """Dictionaries of all rows; the threshold is calibrated on rows scored by
-    dictionaries of the other folds, so none has seen what it is calibrated on."""
+def fit(toxic: list[str], ordinary: list[str], folds: int = FOLDS) -> Model | None:
+    """:func:`train` for texts at hand."""
     if len(toxic) < folds or len(ordinary) < folds:
         return None
     x, y = [], []
@@ -205,22 +232,19 @@ def fit(toxic: list[str], ordinary: list[str], folds: int = 3) -> Model | None:
             x += [distance.features(t) for t in side[k::folds]]
             y += [label] * len(side[k::folds])
     x, y = np.array(x), np.array(y)
-    # ordinary rows weigh as if there were four for each toxic one
-    weight = np.where(y > 0, 1.0, 4.0 * y.sum() / (1 - y).sum())
-    return Model(Distance(*train_dictionaries(toxic, ordinary)), *_calibrate(x, y, weight))
+    return Model(Distance(*train_dictionaries(toxic, ordinary)), *_calibrate(x, y, _balance(y)))
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    usable: Column,
-    id_col: str = "doc_id",
-    text: str = "text",
-    toxic_rows: int = 1500,
-    ordinary_rows: int = 3000,
-    sample_bytes: int = 8192,
-) -> Model | None:
-    """Fit on a bounded sample of the ``usable`` label rows (by a hash of the id)."""
+def _balance(y: np.ndarray) -> np.ndarray:
+    """Ordinary rows weigh as if there were four for each toxic one."""
+    return np.where(y > 0, 1.0, 4.0 * y.sum() / (1 - y).sum())
+
+
+def training_rows(
+    docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text: str,
+    toxic_rows: int, ordinary_rows: int,
+) -> DataFrame:
+    """``toxic, fold, text``: the labelled texts to learn from, one row for each chosen id."""
     rows = (
         labels.where(usable & F.col("toxic").isin(0, 1))
         .select(F.col(id_col).alias("id"), "toxic").distinct()
@@ -229,20 +253,127 @@ def train(
     chosen = rows.where("toxic = 1").orderBy("h", "id").limit(toxic_rows).unionByName(
         rows.where("toxic = 0").orderBy("h", "id").limit(ordinary_rows)
     )
-    # characters, a byte at least each
-    start = 1 + F.pmod(F.col("h"), F.greatest(F.lit(1), F.char_length("text") - sample_bytes))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where(
         "text is not null"
-    ).join(F.broadcast(chosen), "id").select(
-        "id", "toxic", "h",
-        F.substring("text", start.cast("int"), F.lit(sample_bytes)).alias("text"),
-    )
+    ).join(F.broadcast(chosen), "id")  # toxic_rows + ordinary_rows ids
     # one row for each id, however often it is repeated
-    texts = texts.groupBy("id", "toxic", "h").agg(
-        F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    one = texts.groupBy("id", "toxic", "h").agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    return materialize(
+        one.select(F.col("toxic").cast("int").alias("toxic"), F.pmod("h", F.lit(FOLDS)).cast("int").alias("fold"), "text"),
+        "toxic-training",
     )
-    got = sorted(texts.collect(), key=lambda r: (r.h, r.text))
-    return fit([r.text for r in got if r.toxic == 1], [r.text for r in got if r.toxic == 0])
+
+
+def contrasts(rows: DataFrame, sizes: dict[tuple[int, int], int]) -> list[dict[bytes, float]]:
+    """The gains of the units that weigh: for each fold without its rows, and last for all.
+
+    Contexts are counted in Spark, a row for each unit, class and context; units
+    that weigh in no model stay there.  ``sizes``: rows by class and fold.
+    """
+
+    def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                first = _first_units(r.text)
+                yield pd.DataFrame(
+                    {"toxic": r.toxic, "fold": r.fold, "unit": list(first),
+                     "context": [zlib.crc32(c) for c in first.values()]}
+                )
+
+    found = rows.mapInPandas(units, "toxic int, fold int, unit binary, context long")
+    folds = found.groupBy("unit", "toxic", "context").agg(
+        F.bit_or(F.expr("shiftleft(1, fold)")).alias("folds")
+    )
+    models = [[k for k in range(FOLDS) if k != left] for left in range(FOLDS + 1)]
+    sets = [sum(1 << k for k in m) for m in models]
+    counts = [
+        F.count_if((F.col("toxic") == label) & (F.col("folds").bitwiseAND(F.lit(m)) != 0)).alias(f"{name}{i}")
+        for i, m in enumerate(sets) for label, name in ((1, "mine"), (0, "theirs"))
+    ]
+    counted = materialize(folds.groupBy("unit").agg(*counts), "units")
+    known = counted.agg(*[F.count_if(F.col(f"mine{i}") > 0).alias(f"n{i}") for i in range(len(models))]).first()
+    gains = []
+    for i, m in enumerate(models):
+        ratio = sum(sizes.get((1, k), 0) for k in m) / max(1, sum(sizes.get((0, k), 0) for k in m))
+        mine, expected = F.col(f"mine{i}"), ratio * (F.col(f"theirs{i}") + 0.5)
+        gain = (mine * F.log(mine / expected) - (mine - expected)) / float(np.log(1 + known[f"n{i}"]) or 1)
+        weighs = (mine > F.greatest(F.lit(1.0), CONTRAST * expected)) & F.col("unit").isNotNull()
+        gains.append(F.when(weighs, gain).otherwise(0.0).alias(f"gain{i}"))
+    best = counted.select("unit", *gains).where(F.greatest(*[F.col(f"gain{i}") for i in range(len(models))]) >= LEAST_GAIN)
+    out: list[dict[bytes, float]] = [{} for _ in models]
+    for r in best.collect():  # units that recur in training rows, of which there is a bounded number
+        unit = bytes(r["unit"])
+        for i in range(len(models)):
+            if r[f"gain{i}"] and unit.strip():
+                out[i][unit] = r[f"gain{i}"]
+    return out
+
+
+def _plain_windows(rows: DataFrame, limit: int) -> list[tuple[int, bytes]]:
+    """``fold, window`` of the ordinary rows: all, or about ``limit`` of them by hash."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                yield pd.DataFrame({"fold": r.fold, "window": windows(r.text)})
+
+    found = rows.where("toxic = 0").mapInPandas(cut, "fold int, window binary")
+    total = found.count()
+    if total > limit:
+        h = F.pmod(F.xxhash64("window", "fold"), F.lit(1 << 20))
+        found = found.where(h < int(limit / total * (1 << 20)))
+    got = found.toArrow()
+    return sorted(zip(got["fold"].to_pylist(), got["window"].to_pylist()))
+
+
+def _marked_units(rows: DataFrame, gains: list[dict[bytes, float]]) -> list[Counter]:
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for r in batch.itertuples(index=False):
+                for i, gain in enumerate(gains):
+                    if r.fold != i and (units := _marked(r.text, gain)):
+                        yield pd.DataFrame({"model": i, "unit": list(units), "n": list(units.values())})
+
+    found = rows.where("toxic = 1").mapInPandas(mark, "model int, unit binary, n long")
+    out = [Counter() for _ in gains]
+    for r in found.groupBy("model", "unit").agg(F.sum("n").alias("n")).collect():
+        out[r.model][bytes(r.unit)] = r.n
+    return out
+
+
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    usable: Column,
+    id_col: str = "doc_id",
+    text: str = "text",
+    toxic_rows: int = 1500,
+    ordinary_rows: int = 3000,
+    plain_windows: int = PLAIN_WINDOWS,
+) -> Model | None:
+    """Fit on a bounded sample of the ``usable`` label rows (by a hash of the id).
+
+    Dictionaries of all rows; the threshold is calibrated on rows measured by
+    dictionaries of the other folds, so none has seen what it is calibrated on.
+    """
+    rows = training_rows(docs, labels, usable, id_col, text, toxic_rows, ordinary_rows)
+    sizes = {(r.toxic, r.fold): r["count"] for r in rows.groupBy("toxic", "fold").count().collect()}
+    if any(sum(n for (t, _), n in sizes.items() if t == label) < FOLDS for label in (0, 1)):
+        return None
+    gains = contrasts(rows, sizes)
+    marked, plain = _marked_units(rows, gains), _plain_windows(rows, plain_windows)
+    models = [
+        Distance(*_dictionaries(units, [w for fold, w in plain if fold != i])) for i, units in enumerate(marked)
+    ]
+
+    @F.pandas_udf("array<double>")
+    def measured(texts: pd.Series, folds: pd.Series) -> pd.Series:
+        return pd.Series([models[k].features(t) for t, k in zip(texts, folds)])
+
+    got = rows.select("toxic", measured("text", "fold").alias("x")).collect()  # six numbers a row
+    got.sort(key=lambda r: (r.toxic, r.x))
+    x, y = np.array([r.x for r in got]), np.array([float(r.toxic) for r in got])
+    return Model(models[-1], *_calibrate(x, y, _balance(y)))
 
 
 def score(model: Model | None, text: str = "text") -> Column:
