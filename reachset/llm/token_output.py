@@ -15,7 +15,8 @@ A long document is a run of its own and is never cut.  Spark's committer
 makes the write whole or absent, so a lost executor only repeats its task.
 
 Defined results: a null text is empty and gives the end id alone; null ids
-come first; repeated ids are ordered by a hash of the text; an empty table
+come first; repeated ids are ordered by a hash of the text, copies of a row by
+their place in the input, so that they are spread over tasks; an empty table
 gives no runs; other columns are ignored.
 """
 
@@ -68,8 +69,10 @@ def encode_runs(
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("id"),
         F.col(id_col).isNull().alias("no_id"),
         F.col(text).alias("text"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    order = [F.col("no_id").desc(), F.col("id"), F.xxhash64("text")]
+    # the row's place in the input is last, so that copies of a row can be parted
+    order = [F.col("no_id").desc(), F.col("id"), F.xxhash64("text"), F.col("row")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return ranged.mapInPandas(encode, RUN)
 

@@ -119,3 +119,18 @@ def test_a_piece_of_just_the_capacity(make):
     (r,) = pack(make([(1, "cat " * 7)]), capacity=8).collect()
     assert (r.length, r.offset, r.piece) == (8, 0, 0)
     assert pack(make([(1, "cat " * 8)]), capacity=8).agg(F.max("piece")).first()[0] == 1
+
+
+def test_copies_of_a_row_are_spread_over_tasks(spark, make, tmp_path):
+    rows = [(7, "the same row")] * 3000 + [(i, f"text {i}") for i in range(6000)]
+    path = str(tmp_path / "hot")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        write_tokens(make(rows).repartition(6), path, run_ids=100)
+    finally:
+        spark.conf.unset(coalesce)
+    sizes = [r["n"] for r in spark.read.parquet(path).groupBy("part").agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = read_tokens(spark, path)
+    assert got.count() == 9000 and got.where("doc_id = 7").count() == 3001
