@@ -1,11 +1,12 @@
 """Sharding by sampled splitters (JVM-side only).
 
-Documents are ordered by ``(hash of the text, id)`` and cut into shards of
+Documents are ordered by ``(hash of the text, id, row number)`` and cut into shards of
 nearly equal bytes (law ``bytes``).  A size-weighted sample of keys (the
 ``n_ranges * per_range`` smallest of ``-ln(u) / size``, ``u`` a hash of the
 key) gives quantile boundaries; records fall into the ranges between them.
 Exact bytes per range are then summed, and a range that came out overfull is
-sampled again and subdivided until none is, or only one key is left in it.
+sampled again and subdivided until none is, or only one row is left in it
+(copies of a row have keys of their own, by a row number written once).
 Ranges are the unit of parallel work: each one's running sum of bytes plus
 the bytes of all ranges before it places a document in the whole order, so
 shards are cut where the bytes say and a hot group of equal texts spreads
@@ -33,10 +34,11 @@ from .common import documents, materialize, whole_text
 OVERFULL = 2.0
 
 
-def _key(h: str, id_col: str) -> Column:
-    """``(hash, id)`` as fixed-width text, so that splitters are plain strings."""
+def _key(h: str, id_col: str, row: str) -> Column:
+    """``(hash, id, row number)`` as text, so that splitters are plain strings."""
     wide = lambda c: F.lpad(F.hex(c), 16, "0")
-    return F.concat(wide(F.col(h)), F.coalesce(wide(F.col(id_col)), F.lit("")))
+    named = F.coalesce(F.concat(F.lit("1"), wide(F.col(id_col))), F.lit("0"))
+    return F.concat(wide(F.col(h)), named, wide(F.col(row)))
 
 
 def _sample_keys(rows: DataFrame, size: int) -> list[str]:
@@ -98,7 +100,8 @@ def shard_documents(
             (F.octet_length(whole_text(text)) + overhead).cast("long").alias("size"),
             F.crc32(body).alias("text_crc32"),
             F.xxhash64(whole_text(text)).alias("h"),
-        ).select("id", "size", "text_crc32", _key("h", "id").alias("key")),
+            F.monotonically_increasing_id().alias("row"),
+        ).select("id", "size", "text_crc32", _key("h", "id", "row").alias("key")),
         "shard-keys",
     )
     splitters = _boundaries(_sample_keys(rows, n_ranges * per_range), n_ranges)

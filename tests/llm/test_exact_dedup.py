@@ -40,7 +40,8 @@ def test_hot_group_is_decided_on_the_map_side(make):
     rows = [(i, "hot text") for i in range(1000, 0, -1)] + [(5000 + i, f"t{i // 2}") for i in range(2000)]
     docs = make(rows).repartition(7)
     assert got(dedup_table(docs)) == brute(rows)
-    heavy = heavy_digests(docs.select(F.col("doc_id").alias("id"), text_digest().alias("digest")), "id")
+    rows_of = docs.select(F.col("doc_id").alias("id"), text_digest().alias("digest"), F.monotonically_increasing_id().alias("row"))
+    heavy = heavy_digests(rows_of)
     assert [(r.digest, r.heavy_keep, r.heavy_size) for r in heavy.collect()] == [(digest("hot text"), 1, 1000)]
 
 
@@ -54,3 +55,14 @@ def test_kept_rows_have_their_columns(edge_docs):
 def test_no_rows(no_docs):
     assert dedup_table(no_docs).count() == 0
     assert drop_copies(no_docs).count() == 0
+
+
+def test_a_third_of_the_rows_alike_whatever_their_ids(make):
+    for hot in (None, 7):
+        rows = [(hot, "hot text")] * 1500 + [(5000 + i, f"t{i // 2}") for i in range(3000)]
+        docs = make(rows).repartition(6)
+        assert got(dedup_table(docs)) == brute(rows)
+        assert drop_copies(docs).count() == 1501
+        rows_of = docs.select(F.col("doc_id").alias("id"), text_digest().alias("digest"), F.monotonically_increasing_id().alias("row"))
+        (heavy,) = heavy_digests(rows_of).collect()
+        assert (heavy.heavy_keep, heavy.heavy_size) == (hot, 1500)  # one row of it is left to the shuffle

@@ -3,13 +3,11 @@ from pyspark.sql import functions as F
 from reachset.llm import language_id, toxicity
 
 
-def test_a_repeated_label_id_is_one_training_row(make, spark, monkeypatch):
-    seen = []
-    monkeypatch.setattr(toxicity, "fit", lambda toxic, ordinary: seen.append((len(toxic), len(ordinary))))
+def test_a_repeated_label_id_is_one_training_row(make, spark):
     docs = make([(1, f"bad text {k}") for k in range(50)] + [(2, "a"), (3, "b")])
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
-    toxicity.train(docs, labels, F.lit(True))
-    assert seen == [(1, 2)]
+    rows = toxicity.training_rows(docs, labels, F.lit(True), "doc_id", "text", 1500, 3000)
+    assert sorted(r.toxic for r in rows.collect()) == [0, 0, 1]
 
 
 def test_language_rows_that_share_an_id_are_cut_in_spark(make, spark, monkeypatch):

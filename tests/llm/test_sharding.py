@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import zlib
 from collections import defaultdict
 
@@ -42,3 +43,14 @@ def test_hot_group_and_long_texts_split_by_bytes(make):
 
 def test_no_rows(no_docs):
     assert shard_documents(no_docs).count() == 0
+
+
+def test_copies_of_a_row_are_spread_over_ranges(spark, make):
+    from reachset.llm.sharding import _boundaries, _key, _sample_keys, _totals, _with_range
+
+    rows = spark.range(9000).select(
+        F.when(F.col("id") < 3000, 5).otherwise(F.xxhash64("id")).alias("h"),
+        F.when(F.col("id") >= 3000, F.col("id")).alias("name"), F.col("id").alias("row"), F.lit(20).alias("size"),
+    ).withColumn("key", _key("h", "name", "row"))
+    totals = _totals(_with_range(rows, _boundaries(_sample_keys(rows, 64 * 16), 64)))
+    assert max(n for n, _ in totals.values()) < 3 * 9000 / 64
