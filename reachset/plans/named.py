@@ -70,6 +70,7 @@ from ..sources.sinks import (
     write_campaign_csv,
     write_campaign_json,
 )
+from .all_markets import market_places, near_any_market
 from .any_signal import TECH_KEYWORDS, any_signal_audience
 from .market import market_audience
 from .presets import MarketPreset, near_market
@@ -320,6 +321,20 @@ def q_near_market_city(spark, sf_dir):
     return _near_hub(spark, sf_dir, False)
 
 
+def q_all_markets(spark, sf_dir):
+    """The hub's customers with and without its metro area, in one pass."""
+    t = lambda n: table(spark, sf_dir, n)
+    nation = t("nation").select("n_nationkey", "n_name", "n_regionkey")
+    cities = nation.join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("r_name").alias("jlmsa"), F.col("n_name").alias("place")
+    )
+    people = t("customer").join(checked_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    return near_any_market(
+        people.select("c_custkey", "n_name", "c_mktsegment"), market_places(spark, cities, DRIVER_PRESETS),
+        "n_name", "c_mktsegment", spread_by="c_custkey", measure_from=0,
+    ).select("market", "metro", "c_custkey", "n_name", "state")
+
+
 def q_preset_filter(spark, sf_dir):
     pr = DRIVER_PRESETS["Hub A", False]
     region = table(spark, sf_dir, "region").where(F.col("r_name") == pr.jlmsa)
@@ -713,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "preset_filter": q_preset_filter,
     "near_market_metro": q_near_market_metro,
     "near_market_city": q_near_market_city,
+    "all_markets": q_all_markets,
     "semi_chain": q_semi_chain,
     "semi_keys": q_semi_keys,
     "filtered_semi_keys": q_filtered_semi_keys,

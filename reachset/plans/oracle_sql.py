@@ -155,6 +155,9 @@ select try_cast(account as bigint) as account_id, count(*) as n from (select cas
 """,
     "near_market_metro": r"""
 select c_custkey, n_name, 'HA' as state from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING','MACHINERY') and n_name in (select n_name from nation join region on r_regionkey=n_regionkey where r_name='ASIA')
+""",
+    "all_markets": r"""
+select 'Hub A' as market, true as metro, c_custkey, n_name, 'HA' as state from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING','MACHINERY') and n_name in (select n_name from nation join region on r_regionkey=n_regionkey where r_name='ASIA') union all select 'Hub A', false, c_custkey, n_name, 'HA' from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING') and n_name='NATION_2'
 """,
     "near_market_city": r"""
 select c_custkey, n_name, 'HA' as state from customer join nation on n_nationkey=c_nationkey where c_mktsegment in ('BUILDING') and n_name='NATION_2'

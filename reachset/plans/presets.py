@@ -101,11 +101,13 @@ def near_market(
     return restrict_to(df, metro_cities, on=city_col, keys_on=metro_key, spread_by=spread_by)
 
 
-def presets_frame(spark: SparkSession) -> DataFrame:
+def presets_frame(
+    spark: SparkSession, presets: Mapping[tuple[str, bool], MarketPreset] = METRO_PRESETS
+) -> DataFrame:
     """The 26 presets as a DataFrame (for joins over several markets)."""
     rows = [
         (p.city, p.include_metro, p.jlmsa, p.state, p.ip_city, list(p.ip_regions))
-        for p in METRO_PRESETS.values()
+        for p in presets.values()
     ]
     schema = (
         "city string, include_metro boolean, jlmsa string, state string, "

@@ -697,3 +697,46 @@ def test_q1_same_rows_without_salting(spark):
     salted = reference_unconverted(build(spark, data), q1_params(measure_from=0))
     plain = reference_unconverted(build(spark, data), q1_params(measure_from=None))
     assert sorted(tuple(r) for r in salted.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+@pytest.mark.parametrize("days", [(3, 2), (3, 0), (0, 2)])
+def test_all_markets_equal_separate_runs(spark, tmp_path, days):
+    from reachset.plans.all_markets import reference_all_markets
+
+    data = q3_data()
+    alert = {"ts": T3, "country": "us", "ipCountry": "US"}
+    data["job_alerts"] += [
+        {**alert, "ipCity": "Phoenix", "ipRegion": "AZ", "accountId": "31"},
+        {**alert, "ipCity": "San Francisco", "ipRegion": "CA", "accountId": "32"},
+        {**alert, "ipCity": "Sunnyvale", "ipRegion": "CA", "accountId": "22"},
+        {**alert, "ipCity": "Mesa", "ipRegion": "AZ", "accountId": "34"},
+        {**alert, "ipCity": None, "ipRegion": "AZ", "accountId": "35"},
+    ]
+    data["sign_ins"].append({"ts": T3, "js_ip_country_code": "US", "ipcity": "Phoenix", "accountId": "14"})
+    data["job_postings"].append(
+        {"ts": ts("2019-12-10"), "jobcountry": "US", "jlmsa": "Phoenix-Mesa-Scottsdale, AZ", "jlcity": "Mesa", "jladmin1code": "AZ"}
+    )
+    tables = {}
+    for name, df in build(spark, data).items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    p = MarketParams(focus=FOCUS, account_days=days[0], alert_days=days[1])
+    out = reference_all_markets(tables, p)
+    got = {}
+    for r in out.collect():
+        got.setdefault((r.market, r.metro), []).append(tuple(r)[2:])
+    local = build(spark, data)
+    some = [("Chicago", True), ("Chicago", False), ("Phoenix", True), ("Scottsdale", False), ("San Francisco", True),
+            ("Sunnyvale", True), ("Boston", True), ("Austin", False)]
+    for city, metro in METRO_PRESETS if days == (3, 2) else some:
+        one = MarketParams(focus=FOCUS, city=city, include_metro=metro, account_days=days[0], alert_days=days[1])
+        want = [tuple(r) for r in reference_market(local, one).collect()]
+        assert sorted(got.get((city, metro), []), key=repr) == sorted(want, key=repr), (city, metro)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = reference_all_markets(tables, p)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert plan.count("js_ip_country_code#") <= 3  # one relation and its filter
+
+
