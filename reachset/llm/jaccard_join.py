@@ -50,8 +50,8 @@ FRAGMENTS = 4
 ORDER_SAMPLE = 8
 #: N-grams that the order can hold as frequent (16 bytes each in every task).
 FREQUENT = 200_000
-#: Up to so many ids are sent to the tasks; more are joined.
-SENT_IDS = 4_000_000
+#: Bitmaps of the filter of candidate sets (4096 bytes each); its size is fixed.
+BLOCKS = 4096
 #: Sets of one n-gram that are paired with its whole list in one task.
 SPREAD = 256
 #: Words of 64 parity bits kept for each set.
@@ -157,10 +157,10 @@ def find_order(docs: DataFrame, text: str, n: int) -> Order:
 
 
 def prefix_lists(
-    docs: DataFrame, sets: DataFrame, text: str, n: int, percent: int, order: Order
+    docs: DataFrame, text: str, n: int, percent: int, order: Order, prior: bool = False
 ) -> DataFrame:
-    """``gram, id, size, place, prior`` and parities: the prefixes of all sets, where another
-    set has the n-gram in its prefix too; ``prior`` is the n-gram before it in the prefix."""
+    """``gram, id, size, place`` (and ``prior``, the n-gram before it): the prefixes of all
+    sets, where another set has the n-gram in its prefix too."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(order)
 
@@ -174,49 +174,62 @@ def prefix_lists(
                 seen.add(i)
                 p = len(s) - required(len(s), percent) + 1
                 grams.append(_signed(sent.value.sort(s)[:p]))
-                priors += [None, *grams[-1][:-1].tolist()]
+                if prior:
+                    priors += [None, *grams[-1][:-1].tolist()]
                 ids.append(np.full(p, i))
                 sizes.append(np.full(p, len(s), dtype=np.int32))
                 places.append(np.arange(p, dtype=np.int32))
             if grams:
-                yield pd.DataFrame(
+                out = pd.DataFrame(
                     {"gram": np.concatenate(grams), "id": np.concatenate(ids),
-                     "size": np.concatenate(sizes), "place": np.concatenate(places),
-                     "prior": pd.array(priors, dtype="Int64")}
+                     "size": np.concatenate(sizes), "place": np.concatenate(places)}
                 )
+                yield out.assign(prior=pd.array(priors, dtype="Int64")) if prior else out
 
-    lists = docs.select(F.col(text).alias("text")).mapInPandas(
-        prefixes, "gram long, id long, size int, place int, prior long"
-    )
+    schema = "gram long, id long, size int, place int" + (", prior long" if prior else "")
+    lists = docs.select(F.col(text).alias("text")).mapInPandas(prefixes, schema)
     by_gram = Window.partitionBy("gram")
     shared = lists.withColumn("least", F.min("id").over(by_gram)).withColumn(
         "most", F.max("id").over(by_gram)
     ).where("least != most").drop("least", "most")
-    words = sets.groupBy(F.col("set_id").alias("id")).agg(
-        *[F.max(p).alias(p) for p in _PARITIES]  # the same in all rows of a set
+    return materialize(shared.dropDuplicates(["gram", "id"]), "prefix-lists")
+
+
+def parities(sets: DataFrame) -> DataFrame:
+    """``id, n`` and the parity words of every set that is not empty, once."""
+    return sets.where("n_shingles > 0").groupBy(F.col("set_id").alias("id")).agg(
+        F.max("n_shingles").alias("n"), *[F.max(p).alias(p) for p in _PARITIES]  # alike in all rows
     )
-    return materialize(shared.dropDuplicates(["gram", "id"]).join(words, "id"), "prefix-lists")
 
 
-def _can_link(a: str, b: str, percent: int) -> Column:
-    """Whether sizes, the places of a shared n-gram and the parities leave room for the
-    threshold."""
-    size_a, size_b = F.col(f"{a}_size"), F.col(f"{b}_size")
-    both = size_a + size_b
-    most = F.least(size_a - F.col(f"{a}_place"), size_b - F.col(f"{b}_place"))
+def _room(size_a: Column, size_b: Column, a: str, b: str, percent: int) -> Column:
+    """Whether the parities leave room for the threshold: twice the overlap is both sizes less
+    the n-grams in which the sets differ, and these are at least the slots of odd difference."""
     differ = F.lit(0)
     for p in _PARITIES:
         differ = differ + F.bit_count(F.col(f"{a}_{p}").bitwiseXOR(F.col(f"{b}_{p}")))
-    # overlap / (a + b - overlap) >= t  <=>  (100 + p) * overlap >= p * (a + b),
-    # and twice the overlap is a + b less the n-grams in which the sets differ
-    return (
-        (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b))
-        & (most * (100 + percent) >= percent * both)
-        & ((both - differ) * (100 + percent) >= 2 * percent * both)
+    both = size_a + size_b
+    return (both - differ) * (100 + percent) >= 2 * percent * both
+
+
+def _can_link(a: str, b: str, percent: int) -> Column:
+    """Whether sizes and the places of a shared n-gram leave room for the threshold."""
+    size_a, size_b = F.col(f"{a}_size"), F.col(f"{b}_size")
+    most = F.least(size_a - F.col(f"{a}_place"), size_b - F.col(f"{b}_place"))
+    # overlap / (a + b - overlap) >= t  <=>  (100 + p) * overlap >= p * (a + b)
+    return (100 * F.least(size_a, size_b) >= percent * F.greatest(size_a, size_b)) & (
+        most * (100 + percent) >= percent * (size_a + size_b)
     )
 
 
-_CARRIED = ("id", "size", "place", *_PARITIES)
+def with_room(pairs: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` whose parities leave room for the threshold."""
+    of = lambda x: words.select(*[F.col(c).alias(x if c == "id" else f"{x}_{c}") for c in words.columns])
+    joined = pairs.join(of("u"), "u").join(of("v"), "v")
+    return joined.where(_room(F.col("u_n"), F.col("v_n"), "u", "v", percent)).select("u", "v")
+
+
+_CARRIED = ("id", "size", "place")
 
 
 def _side(lists: DataFrame, name: str, *more: str) -> DataFrame:
@@ -257,8 +270,8 @@ def across_components(
     return _pairs(found).join(tested, ["u", "v"], "left_anti")
 
 
-def all_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of sets that share a prefix n-gram.
+def all_pairs(lists: DataFrame, words: DataFrame, percent: int) -> DataFrame:
+    """All pairs of sets that share a prefix n-gram, pruned by places and parities in the join.
 
     A run of shared n-grams proposes a pair at its first one only: where both
     sets have the same n-gram before, that n-gram has proposed them.  One side
@@ -268,32 +281,57 @@ def all_pairs(lists: DataFrame, percent: int) -> DataFrame:
         F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("slices")
     ).where("slices > 1")
     cut = materialize(
-        lists.join(slices, "gram", "left").withColumn("slices", F.coalesce("slices", F.lit(1))),
+        lists.join(slices, "gram", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+        .join(words.drop("n"), "id"),
         "lists",
     )
-    a = _side(cut, "a", "prior", "slices").withColumn(
+    a = _side(cut, "a", "prior", "slices", *_PARITIES).withColumn(
         "slice", F.pmod(F.xxhash64("a_id"), F.col("a_slices")).cast("int")
     )
-    b = _side(cut, "b", "prior", "slices").withColumn(
+    b = _side(cut, "b", "prior", "slices", *_PARITIES).withColumn(
         "slice", F.explode(F.sequence(F.lit(0), F.col("b_slices") - 1))
     )
     first = F.coalesce(F.col("a_prior") != F.col("b_prior"), F.lit(True))
     found = a.join(b, ["gram", "slice"]).where(
         (F.col("a_id") < F.col("b_id")) & first & _can_link("a", "b", percent)
+        & _room(F.col("a_size"), F.col("b_size"), "a", "b", percent)
     )
     return _pairs(found)
 
 
+def _places(i, shift) -> list[tuple]:
+    """Two (bitmap, bit) places of an id, which is a hash itself; ``i``: a column or a number."""
+    return [(shift(i, 15), shift(i, 0)), (shift(i, 42), shift(i, 27))]
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """The ids as ``BLOCKS`` bitmaps, two bits each: of fixed size, however many there are."""
+    bits = _places(F.col("id"), F.shiftright)
+    place = lambda block, bit: F.struct(
+        block.bitwiseAND(F.lit(BLOCKS - 1)).alias("block"), bit.bitwiseAND(F.lit(32767)).alias("bit")
+    )
+    rows = ids.select(F.explode(F.array(*[place(*p) for p in bits])).alias("p")).select("p.*")
+    out = np.zeros((BLOCKS, 4096), dtype=np.uint8)
+    for r in rows.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        out[r.block] = np.frombuffer(r.bits, dtype=np.uint8)
+    return out
+
+
+def maybe_in(bitmaps: np.ndarray, i: int) -> bool:
+    """Whether the filter may hold the id: all that it holds, and few others."""
+    return all(
+        bitmaps[block % BLOCKS, bit % 32768 // 8] >> (bit % 8) & 1
+        for block, bit in _places(i, lambda x, by: x >> by)
+    )
+
+
 def overlaps(
     docs: DataFrame, pairs: DataFrame, text: str, n: int, percent: int, order: Order
 ) -> DataFrame:
     """The pairs over the threshold: overlaps by fragment, summed per pair."""
     spark = docs.sparkSession
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    ids = materialize(ids, "ids")
-    few = ids.count() <= SENT_IDS
-    wanted = np.sort(ids.toPandas()["id"].to_numpy(dtype=np.int64)) if few else None
-    sent = spark.sparkContext.broadcast((order, wanted))
+    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
+    sent = spark.sparkContext.broadcast((order, id_filter(ids)))
 
     def fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order, wanted = sent.value
@@ -301,12 +339,8 @@ def overlaps(
             rows, seen = [], set()
             for t in batch["text"]:
                 s = ngrams(t, n)
-                if not len(s) or (i := set_id(s)) in seen:
+                if not len(s) or (i := set_id(s)) in seen or not maybe_in(wanted, i):
                     continue
-                if wanted is not None:
-                    at = np.searchsorted(wanted, i)
-                    if at == len(wanted) or wanted[at] != i:
-                        continue
                 seen.add(i)
                 f = order.fragment(s)
                 rows += [
@@ -318,9 +352,9 @@ def overlaps(
     cut = docs.select(F.col(text).alias("text")).mapInPandas(
         fragments, "id long, fragment int, size int, grams array<long>"
     )
-    if not few:
-        cut = cut.join(ids, "id", "left_semi")
-    cut = materialize(cut.dropDuplicates(["id", "fragment"]), "fragments")
+    # the few that passed the filter by chance go here
+    cut = cut.join(ids, "id", "left_semi").dropDuplicates(["id", "fragment"])
+    cut = materialize(cut, "fragments")
     u = cut.select(F.col("id").alias("u"), "fragment", F.col("size").alias("u_size"),
                    F.col("grams").alias("u_grams"))
     v = cut.select(F.col("id").alias("v"), "fragment", F.col("size").alias("v_size"),
@@ -368,8 +402,8 @@ def jaccard_join(
     ``u, v, overlap``: every two different sets over the threshold, once, ``u < v``."""
     base = _sets(docs, n, id_col, text)
     order = find_order(docs, text, n)
-    lists = prefix_lists(docs, base, text, n, percent, order)
-    pairs = materialize(all_pairs(lists, percent), "pairs")
+    lists = prefix_lists(docs, text, n, percent, order, prior=True)
+    pairs = materialize(all_pairs(lists, parities(base), percent), "pairs")
     links = materialize(overlaps(docs, pairs, text, n, percent, order), "links")
     return base.select("id", "set_id", "n_shingles"), links
 
@@ -400,11 +434,13 @@ def jaccard_groups(
     """``id, n_shingles, component_id`` for every row (``row``: a column to carry along)."""
     base = _sets(docs, n, id_col, text, row)
     order = find_order(docs, text, n)
-    lists = prefix_lists(docs, base, text, n, percent, order)
-    first = materialize(through_hubs(lists, percent), "pairs")
+    lists, words = prefix_lists(docs, text, n, percent, order), materialize(parities(base), "parities")
+    tested = materialize(through_hubs(lists, percent), "pairs")
+    first = materialize(with_room(tested, words, percent), "pairs")
     links = materialize(overlaps(docs, first, text, n, percent, order), "links")
     stars = connected_components(links.select("u", "v"))
-    rest = materialize(across_components(lists, stars, first, percent), "pairs")
+    rest = across_components(lists, stars, tested, percent)
+    rest = materialize(with_room(rest, words, percent), "pairs")
     more = materialize(overlaps(docs, rest, text, n, percent, order), "links")
     stars = connected_components(stars.unionByName(more.select("u", "v")))
 

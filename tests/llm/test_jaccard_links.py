@@ -49,3 +49,17 @@ def test_no_link_inside_a_group_is_lost(make, monkeypatch, spread):
 
 def test_links_of_edge_rows(edge_docs):
     check(edge_docs, [r[:2] for r in ROWS], 2, 30)
+
+
+def test_the_filter_of_sets_loses_none(spark):
+    from pyspark.sql import functions as F
+
+    from reachset.llm.jaccard_join import id_filter, maybe_in
+
+    ids = spark.range(30_000).select(F.xxhash64("id").alias("id"))
+    found = id_filter(ids)
+    assert found.nbytes == 1 << 24
+    assert all(maybe_in(found, r.id) for r in ids.collect())
+    others = spark.range(30_000).select(F.xxhash64(F.col("id") + 90_000).alias("id"))
+    assert sum(maybe_in(found, r.id) for r in others.collect()) < 10
+    assert not id_filter(ids.where("false")).any()
