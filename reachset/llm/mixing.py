@@ -80,11 +80,36 @@ def flight(pi: np.ndarray, size: np.ndarray, rng: np.random.Generator) -> np.nda
     return np.array(p)
 
 
+def turns(miss: float, change: np.ndarray) -> tuple[float, list[int]]:
+    """The least miss left by at most two different ``change``s, and their places.
+
+    For each change the best partner is a neighbour of what it leaves open, in
+    the changes by size.  Fewer changes win ties.
+    """
+    best = (abs(miss), [])
+    if not len(change):
+        return best
+    one = int(np.argmin(np.abs(miss + change)))
+    best = min(best, (abs(miss + change[one]), [one]), key=lambda x: x[0])
+    order = np.argsort(change, kind="stable")
+    ranked, rank = change[order], np.empty(len(change), dtype=np.int64)
+    rank[order] = np.arange(len(change))
+    at = np.searchsorted(ranked, -(miss + change))
+    for near in (-2, -1, 0, 1):  # a change is no partner of its own
+        j = at + near
+        ok = (j >= 0) & (j < len(change)) & (j != rank)
+        left = np.where(ok, np.abs(miss + change + ranked[np.clip(j, 0, len(change) - 1)]), np.inf)
+        i = int(np.argmin(left))
+        if left[i] < best[0]:
+            best = (float(left[i]), [i, int(order[j[i]])])
+    return best
+
+
 def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Round the last (at most two) probabilities so that the words are missed least.
 
-    Each rounding may be mended by turning one more document of the block in
-    or out, so the miss is about the gap between two sizes, not half a document.
+    Each rounding may be mended by turning up to two more documents of the block
+    in or out, so the miss is about the gap between sums of two sizes.
     """
     last = np.flatnonzero((pi > 0) & (pi < 1))
     best: tuple | None = None
@@ -92,12 +117,10 @@ def land(pi: np.ndarray, size: np.ndarray) -> np.ndarray:
         tried = pi.copy()
         tried[last] = [(m >> k) & 1 for k in range(len(last))]
         miss = float(((tried - pi) * size).sum())
-        turned = np.append(np.where(tried > 0, -size, size), 0) + miss  # after turning each, or none
-        k = int(np.argmin(np.abs(turned) + np.append(np.full(len(pi), 1e-6), 0)))
-        if best is None or abs(turned[k]) < best[0]:
-            if k < len(pi):
-                tried[k] = 1 - tried[k]
-            best = (abs(turned[k]), tried)
+        left, which = turns(miss, np.where(tried > 0, -size, size).astype(float))
+        if best is None or left < best[0]:
+            tried[which] = 1 - tried[which]
+            best = (left, tried)
     return best[1]
 
 

@@ -75,3 +75,25 @@ def test_edge_rows(edge_docs):
 def test_no_rows(no_docs):
     assert mix_documents(no_docs).count() == 0
     assert mixed_rows(no_docs).count() == 0
+
+
+def test_landing_turns_the_best_pair():
+    from itertools import combinations
+
+    import numpy as np
+
+    from reachset.llm.mixing import land, turns
+
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 3, 9, 40):
+        for _ in range(20):
+            change = rng.choice([-1, 1], n) * rng.integers(0, 500, n).astype(float)
+            miss = float(rng.normal(0, 400))
+            left, which = turns(miss, change)
+            sets = [()] + [(i,) for i in range(n)] + list(combinations(range(n), 2))
+            assert abs(left - min(abs(miss + sum(change[list(x)])) for x in sets)) < 1e-6
+            assert len(set(which)) == len(which) and abs(abs(miss + change[which].sum()) - left) < 1e-6
+    size = np.array([2_000, 900, 850, 40, 30, 20, 700, 650])
+    pi = np.array([0.1, 1, 1, 0, 1, 0, 0, 0.5])
+    taken = land(pi, size)
+    assert set(taken) <= {0.0, 1.0} and abs(((taken - pi) * size).sum()) < 60
