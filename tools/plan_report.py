@@ -16,7 +16,7 @@ from reachset.session import build_session  # noqa: E402
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
+    from reachset.plans.named import QUERIES
 
     spark = build_session(
         extra={
@@ -28,7 +28,7 @@ def main():
     print("| query | scans | shuffles | sort-merge joins | broadcast joins (bounded sets) "
           "| pushed filters | python |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         df = q(spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
