@@ -28,8 +28,9 @@ def connected_components(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     ``links`` has the columns ``u`` and ``v``.  Each round hangs every node
     under the smallest neighbour of its neighbours; the number of rounds grows
     with the logarithm of the longest path.  Links never leave the executors:
-    minima are aggregated on the map side and joined back, so a node with very
-    many links is a skewed join, which the optimizer splits.
+    minima are aggregated on the map side and joined back.  The side of the minima
+    is grouped, so the optimizer cannot split that join: the links of a node with
+    very many meet in one task there, as rows of two numbers, streamed.
     """
     edges = materialize(_down(links), "components")
     mark = _mark(edges)
