@@ -53,6 +53,7 @@ from ..operators.bitmap_counts import count_bitmaps, group_bitmaps, merge_bitmap
 from ..operators.chains import SharedLink, shared_chains
 from ..operators.day_windows import day_counts, move_window, read_days, window_counts, write_days
 from ..operators.membership import semi_join_filtered
+from ..operators.phrase_join import keyword_hits, phrase_table
 from ..operators.shape import (
     cast_key,
     dedupe,
@@ -252,6 +253,9 @@ def q_regex_full_match(spark, sf_dir):
     return p.where(matches("p_name", ".*widget|red ring|blue bol*.")).select("p_partkey")
 
 
+NAME_KEYWORDS = ("widget", "Bolt", "RED", "red widget", "Blue  bolt", "blue bolt", "dget")
+
+
 def q_keyword_any(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.where(keyword_any("p_name", ["widget", "bolt", "red"], mode="contains")).select(
@@ -270,6 +274,13 @@ def q_keyword_documents(spark, sf_dir):
     return docs.where(keyword_any("text", TECH_KEYWORDS)).select("doc_id")
 
 
+def q_keyword_attribution(spark, sf_dir):
+    """Each keyword with the parts whose name it hits."""
+    return keyword_hits(
+        table(spark, sf_dir, "part"), phrase_table(spark, NAME_KEYWORDS), "p_partkey", "p_name"
+    )
+
+
 def q_regex_prefix(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.where(matches("p_name", "blue.*")).select("p_partkey")
@@ -722,6 +733,7 @@ QUERIES: dict[str, Query] = {
     "keyword_any": q_keyword_any,
     "keyword_words": q_keyword_words,
     "keyword_documents": q_keyword_documents,
+    "keyword_attribution": q_keyword_attribution,
     "regex_prefix": q_regex_prefix,
     "multivalue_any": q_multivalue_any,
     "multivalue_group": q_multivalue_group,

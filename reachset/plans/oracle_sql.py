@@ -174,4 +174,8 @@ select p_partkey from part where regexp_matches(p_name, '(?i)(^|[^\pL\pM\pN])(wi
     "keyword_documents": "select doc_id from documents where regexp_matches(text, '"
     + re2_keyword_pattern(TECH_KEYWORDS).replace("'", "''")
     + "')",
+    "keyword_attribution": """
+select p_partkey, keyword from part, (values ('widget', 'widget'), ('Bolt', 'bolt'), ('RED', 'red'), ('red widget', 'red widget'), ('Blue  bolt', 'blue  bolt'), ('blue bolt', 'blue bolt'), ('dget', 'dget')) as k(keyword, word)
+where regexp_matches(p_name, '(?i)(^|[^\\pL\\pM\\pN])' || word || '([^\\pL\\pM\\pN]|$)')
+""",
 }
