@@ -6,7 +6,8 @@ put together, so each distinct chunk goes to the tokenizers library once per
 worker.  Plain words, with or without punctuation after them, go to the
 library's model alone, after the lower-casing and byte spelling that its
 normalizer and pre-tokenizer would do; every other chunk goes through the
-whole library.  The caches are bounded: at ``max_entries`` they start anew.
+whole library.  The caches are bounded: at ``max_entries`` they start anew; a
+chunk is kept from the second time on.
 """
 
 from __future__ import annotations
@@ -53,6 +54,28 @@ class _Known(dict):
         return value
 
 
+class _Repeated(_Known):
+    """Entries kept from the second time on, so that those asked for once do not use them up.
+
+    ``marks`` has a byte for each slot of hashes; it starts anew at a quarter of the slots."""
+
+    SLOTS = 1 << 22
+
+    def __init__(self, make, max_entries: int):
+        super().__init__(make, max_entries)
+        self.marks, self.marked = bytearray(self.SLOTS), 0
+
+    def __missing__(self, key):
+        slot = hash(key) % self.SLOTS
+        if self.marks[slot]:
+            return super().__missing__(key)
+        if self.marked >= self.SLOTS // 4:
+            self.marks, self.marked = bytearray(self.SLOTS), 0
+        self.marks[slot] = 1
+        self.marked += 1
+        return self.make(key)
+
+
 class ChunkEncoder:
     """Texts to little-endian uint32 ids, as bytes."""
 
@@ -64,7 +87,7 @@ class ChunkEncoder:
         self.model = self.tokenizer.model
         self.spelling = byte_spelling()
         self.words = _Known(self._word, max_entries)
-        self.chunks = _Known(self._chunk, max_entries)
+        self.chunks = _Repeated(self._chunk, max_entries)
         self.plain = all(self._plain(p) == self._whole(p) for p in _PROBES)
 
     def _whole(self, chunk: str) -> bytes:

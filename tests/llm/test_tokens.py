@@ -134,3 +134,14 @@ def test_copies_of_a_row_are_spread_over_tasks(spark, make, tmp_path):
     assert sum(sizes) == 9000 and max(sizes) < 2 * 9000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = read_tokens(spark, path)
     assert got.count() == 9000 and got.where("doc_id = 7").count() == 3001
+
+
+def test_chunks_seen_once_do_not_use_up_the_cache():
+    enc = ChunkEncoder(default_tokenizer(), max_entries=50)
+    made = []
+    make = enc.chunks.make
+    enc.chunks.make = lambda chunk: made.append(chunk) or make(chunk)
+    text = " ".join(f"the cat, once{k} sat." for k in range(300))
+    whole = enc.tokenizer.encode(text, add_special_tokens=False).ids
+    assert enc.encode([text, None]) == [np.array(whole, dtype="<u4").tobytes(), b""]
+    assert made.count(b"the") == made.count(b"cat,") == made.count(b"sat.") == 2
