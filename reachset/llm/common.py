@@ -21,15 +21,16 @@ def whole_text(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back.
 
     Later passes read the files, so a lost executor costs a re-read and
-    not a recomputation of everything upstream.
+    not a recomputation of everything upstream.  ``codec``: the compression of
+    the files, the session's if not given; copies of whole texts take ``zstd``.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

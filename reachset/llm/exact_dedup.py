@@ -98,6 +98,7 @@ def drop_copies(
             F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
         ),
         "numbered",
+        "zstd",
     )
     gone = _decided(whole.select("id", "row", "digest"), support).where("not kept").select("row")
     return whole.join(gone, "row", "left_anti").select("doc.*")

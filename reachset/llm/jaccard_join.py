@@ -456,6 +456,7 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, **options) -> DataF
             F.monotonically_increasing_id().alias("row"),
         ),
         "numbered",
+        "zstd",
     )
     keys = whole.select(
         "row", F.col(f"doc.{options.get('id_col', 'doc_id')}").alias("id"),

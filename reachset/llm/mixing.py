@@ -248,6 +248,7 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
             F.monotonically_increasing_id().alias("mix_row"),
         ),
         "numbered",
+        "zstd",
     )
     names = {k: options.pop(k, k) for k in ("text", "source")} | {
         "id": options.pop("id_col", "doc_id")
