@@ -13,17 +13,20 @@ the overlap of a pair, and pairs that cannot reach the threshold go at once.
 The overlaps of the pairs left are counted fragment by fragment, each as an
 equi-join on (set, fragment), and summed per pair.
 
-The join (``jaccard_join``) tests every two sets that share a prefix n-gram and
-gives every link with its overlap; components and the number of links of a
-document are derived from it.  Lists of frequent n-grams are spread over tasks.
-A group of k different near copies has about k * k / 2 links, and all are found.
-
-Who needs groups only (``jaccard_groups``, ``keep_one``) needs fewer pairs.
-First every list of sets that share a prefix n-gram is linked through one of
-its members only, which is linear in the list; verified links give components.
-Then all pairs of *different* components that share a prefix n-gram are
-checked, so no group is lost: a group of thousands of copies costs about as
-many pairs as it has members.
+Pairs are proposed in two rounds.  First every list of sets that share a prefix
+n-gram is linked through one of its members only, which is linear in the list;
+verified links give components.  Then all pairs of *different* components that
+share a prefix n-gram are checked, so no group is lost: a group of thousands of
+copies costs about as many pairs as it has members.  That is all that
+``jaccard_groups`` and ``keep_one`` need.
+
+The join (``jaccard_join``) gives every link with its overlap, or for each set
+the number of its links.  Links lie inside components, so the sets of each
+component are compared there, all with all: a large component is cut into
+blocks of ``SPREAD`` sets, and every two blocks meet in a task, which finds the
+overlaps by one product of matrices.  A group of k different near copies has
+about k * k / 2 links.  All are found; where only their numbers are wanted,
+they are counted in the task and are never rows.
 
 Defined results: a null text is empty, has no set and is linked with nothing,
 its group is its own id; fewer than ``n`` words are one n-gram; ids may repeat
@@ -52,8 +55,12 @@ ORDER_SAMPLE = 8
 FREQUENT = 200_000
 #: Bitmaps of the filter of candidate sets (4096 bytes each); its size is fixed.
 BLOCKS = 4096
-#: Sets of one n-gram that are paired with its whole list in one task.
+#: Sets of one n-gram, or of one component, that are paired with others in one task.
 SPREAD = 256
+#: N-grams of the sets of a component's block, about (8 bytes each).
+BLOCK_GRAMS = 1 << 20
+#: N-grams that a product of matrices takes at once (4 bytes for each set of two blocks).
+COLUMNS = 4096
 #: Words of 64 parity bits kept for each set.
 PARITY = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -157,16 +164,16 @@ def find_order(docs: DataFrame, text: str, n: int) -> Order:
 
 
 def prefix_lists(
-    docs: DataFrame, text: str, n: int, percent: int, order: Order, prior: bool = False
+    docs: DataFrame, text: str, n: int, percent: int, order: Order
 ) -> DataFrame:
-    """``gram, id, size, place`` (and ``prior``, the n-gram before it): the prefixes of all
-    sets, where another set has the n-gram in its prefix too."""
+    """``gram, id, size, place``: the prefixes of all sets, where another set has the
+    n-gram in its prefix too."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(order)
 
     def prefixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            grams, ids, sizes, places, priors, seen = [], [], [], [], [], set()
+            grams, ids, sizes, places, seen = [], [], [], [], set()
             for t in batch["text"]:
                 s = ngrams(t, n)
                 if not len(s) or (i := set_id(s)) in seen:
@@ -174,20 +181,18 @@ def prefix_lists(
                 seen.add(i)
                 p = len(s) - required(len(s), percent) + 1
                 grams.append(_signed(sent.value.sort(s)[:p]))
-                if prior:
-                    priors += [None, *grams[-1][:-1].tolist()]
                 ids.append(np.full(p, i))
                 sizes.append(np.full(p, len(s), dtype=np.int32))
                 places.append(np.arange(p, dtype=np.int32))
             if grams:
-                out = pd.DataFrame(
+                yield pd.DataFrame(
                     {"gram": np.concatenate(grams), "id": np.concatenate(ids),
                      "size": np.concatenate(sizes), "place": np.concatenate(places)}
                 )
-                yield out.assign(prior=pd.array(priors, dtype="Int64")) if prior else out
 
-    schema = "gram long, id long, size int, place int" + (", prior long" if prior else "")
-    lists = docs.select(F.col(text).alias("text")).mapInPandas(prefixes, schema)
+    lists = docs.select(F.col(text).alias("text")).mapInPandas(
+        prefixes, "gram long, id long, size int, place int"
+    )
     by_gram = Window.partitionBy("gram")
     shared = lists.withColumn("least", F.min("id").over(by_gram)).withColumn(
         "most", F.max("id").over(by_gram)
@@ -256,47 +261,32 @@ def through_hubs(lists: DataFrame, percent: int) -> DataFrame:
 def across_components(
     lists: DataFrame, stars: DataFrame, tested: DataFrame, percent: int
 ) -> DataFrame:
-    """All pairs of sets of different components that share a prefix n-gram."""
+    """All pairs of sets of different components that share a prefix n-gram.
+
+    One side of a long list is cut into slices, the other goes to each of them.
+    """
     labelled = lists.join(stars.withColumnRenamed("u", "id"), "id", "left").select(
         "gram", *_CARRIED, F.coalesce("v", "id").alias("comp")
     )
     split = labelled.groupBy("gram").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-    left = materialize(
-        labelled.join(split.where("x != y").select("gram"), "gram", "left_semi"), "lists"
-    )
-    found = _side(left, "a", "comp").join(_side(left, "b", "comp"), "gram").where(
-        (F.col("a_comp") < F.col("b_comp")) & _can_link("a", "b", percent)
-    )
-    return _pairs(found).join(tested, ["u", "v"], "left_anti")
-
-
-def all_pairs(lists: DataFrame, words: DataFrame, percent: int) -> DataFrame:
-    """All pairs of sets that share a prefix n-gram, pruned by places and parities in the join.
-
-    A run of shared n-grams proposes a pair at its first one only: where both
-    sets have the same n-gram before, that n-gram has proposed them.  One side
-    of a long list is cut into slices, the other goes to each of them.
-    """
-    slices = lists.groupBy("gram").agg(
+    left = labelled.join(split.where("x != y").select("gram"), "gram", "left_semi")
+    slices = left.groupBy("gram").agg(
         F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("slices")
     ).where("slices > 1")
-    cut = materialize(
-        lists.join(slices, "gram", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-        .join(words.drop("n"), "id"),
+    left = materialize(
+        left.join(slices, "gram", "left").withColumn("slices", F.coalesce("slices", F.lit(1))),
         "lists",
     )
-    a = _side(cut, "a", "prior", "slices", *_PARITIES).withColumn(
+    a = _side(left, "a", "comp", "slices").withColumn(
         "slice", F.pmod(F.xxhash64("a_id"), F.col("a_slices")).cast("int")
     )
-    b = _side(cut, "b", "prior", "slices", *_PARITIES).withColumn(
+    b = _side(left, "b", "comp", "slices").withColumn(
         "slice", F.explode(F.sequence(F.lit(0), F.col("b_slices") - 1))
     )
-    first = F.coalesce(F.col("a_prior") != F.col("b_prior"), F.lit(True))
     found = a.join(b, ["gram", "slice"]).where(
-        (F.col("a_id") < F.col("b_id")) & first & _can_link("a", "b", percent)
-        & _room(F.col("a_size"), F.col("b_size"), "a", "b", percent)
+        (F.col("a_comp") < F.col("b_comp")) & _can_link("a", "b", percent)
     )
-    return _pairs(found)
+    return _pairs(found).join(tested, ["u", "v"], "left_anti")
 
 
 def _places(i, shift) -> list[tuple]:
@@ -325,36 +315,48 @@ def maybe_in(bitmaps: np.ndarray, i: int) -> bool:
     )
 
 
-def overlaps(
-    docs: DataFrame, pairs: DataFrame, text: str, n: int, percent: int, order: Order
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("id"))
+
+
+def cut_sets(
+    docs: DataFrame, base: DataFrame, ids: DataFrame, text: str, n: int, order: Order
 ) -> DataFrame:
-    """The pairs over the threshold: overlaps by fragment, summed per pair."""
-    spark = docs.sparkSession
-    ids = materialize(pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "ids")
-    sent = spark.sparkContext.broadcast((order, id_filter(ids)))
+    """``id, fragment, size, grams``: the sets of these ids (distinct ones), by fragment.
+    Of the texts of a set one is cut up again, the others are passed over by their hash."""
+    keys = base.join(ids.withColumnRenamed("id", "set_id"), "set_id").groupBy("set_id").agg(
+        F.min("key").alias("id")
+    )
+    sent = docs.sparkSession.sparkContext.broadcast((order, id_filter(keys)))
 
     def fragments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         order, wanted = sent.value
         for batch in batches:
             rows, seen = [], set()
-            for t in batch["text"]:
+            for key, t in zip(batch["key"].tolist(), batch["text"]):
+                if key in seen or not maybe_in(wanted, key):
+                    continue
+                seen.add(key)
                 s = ngrams(t, n)
-                if not len(s) or (i := set_id(s)) in seen or not maybe_in(wanted, i):
+                if not len(s):
                     continue
-                seen.add(i)
-                f = order.fragment(s)
+                i, f = set_id(s), order.fragment(s)
                 rows += [
                     (i, k, len(s), _signed(s[f == k])) for k in range(FRAGMENTS + 1) if (f == k).any()
                 ]
             if rows:
                 yield pd.DataFrame(rows, columns=["id", "fragment", "size", "grams"])
 
-    cut = docs.select(F.col(text).alias("text")).mapInPandas(
+    cut = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("key")).mapInPandas(
         fragments, "id long, fragment int, size int, grams array<long>"
     )
     # the few that passed the filter by chance go here
     cut = cut.join(ids, "id", "left_semi").dropDuplicates(["id", "fragment"])
-    cut = materialize(cut, "fragments")
+    return materialize(cut, "fragments")
+
+
+def overlaps(cut: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs over the threshold: overlaps by fragment, summed per pair."""
     u = cut.select(F.col("id").alias("u"), "fragment", F.col("size").alias("u_size"),
                    F.col("grams").alias("u_grams"))
     v = cut.select(F.col("id").alias("v"), "fragment", F.col("size").alias("v_size"),
@@ -368,12 +370,86 @@ def overlaps(
     return total.where(100 * F.col("overlap") >= percent * union).select("u", "v", "overlap")
 
 
+def inside_components(
+    cut: DataFrame, stars: DataFrame, percent: int, counts: bool
+) -> DataFrame:
+    """The links ``u, v, overlap`` of the sets of each component, or (``counts``)
+    ``set_id, n_links`` in parts, to be summed.  ``cut`` holds all these sets."""
+    member = stars.select(F.col("u").alias("id"), F.col("v").alias("comp")).unionByName(
+        stars.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct()
+    )
+    rows = materialize(cut.join(member, "id"), "members")
+    weight = rows.select("comp", "id", "size").distinct().groupBy("comp").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / SPREAD), F.ceil(F.sum("size") / BLOCK_GRAMS)
+        ).cast("int").alias("blocks")
+    ).where("blocks > 1")
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    # at most one component in SPREAD sets, or in BLOCK_GRAMS n-grams, is large
+    dealt = rows.join(F.broadcast(weight), "comp", "left").withColumn(
+        "blocks", F.coalesce("blocks", F.lit(1))
+    ).select(
+        "comp", "id", "size", "grams", block.alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
+    ).select(
+        "comp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "block", "id", "size", "grams",
+    )
+
+    def compare(found: pd.DataFrame) -> pd.DataFrame:
+        x, y = int(found["x"].iloc[0]), int(found["y"].iloc[0])
+        sets = found.drop_duplicates("id").sort_values("id")
+        ids, size, at = (sets[c].to_numpy() for c in ("id", "size", "block"))
+        overlap = common(np.searchsorted(ids, found["id"].to_numpy()), found["grams"].tolist(),
+                         np.flatnonzero(at == x), np.flatnonzero(at == y))
+        a, b = ids[at == x], ids[at == y]
+        both = size[at == x].astype(np.int64)[:, None] + size[at == y]
+        linked = 100 * overlap >= percent * (both - overlap)
+        if x == y:
+            np.fill_diagonal(linked, False)
+        if counts:
+            n_links = [linked.sum(axis=1)] + [linked.sum(axis=0)] * (x != y)
+            return pd.DataFrame(
+                {"set_id": np.concatenate([a, b][: len(n_links)]), "n_links": np.concatenate(n_links)}
+            )
+        i, k = np.nonzero(np.triu(linked) if x == y else linked)
+        return pd.DataFrame(
+            {"u": np.minimum(a[i], b[k]), "v": np.maximum(a[i], b[k]), "overlap": overlap[i, k]}
+        )
+
+    schema = "set_id long, n_links long" if counts else "u long, v long, overlap long"
+    dealt = dealt.repartition("comp", "x", "y")  # the blocks of a component are spread over tasks
+    return dealt.groupBy("comp", "x", "y").applyInPandas(compare, schema)
+
+
+def common(owner: np.ndarray, grams: list, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many n-grams each set of ``a`` has in common with each of ``b``; the set of number
+    ``owner[k]`` has the n-grams ``grams[k]`` (and those of its other places)."""
+    lengths = [len(g) for g in grams]
+    _, column, times = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+    again = times > 1  # the others are in one set only
+    column = np.where(again, np.cumsum(again) - 1, -1)[column]
+    row = np.repeat(owner, lengths)[column >= 0]
+    column = column[column >= 0]
+    by = np.argsort(column, kind="stable")
+    row, column = row[by], column[by]
+    out = np.zeros((len(a), len(b)), dtype=np.int64)
+    shared = int(again.sum())
+    for first in range(0, shared, COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        has = np.zeros((int(owner.max()) + 1, min(COLUMNS, shared - first)), dtype=np.float32)
+        has[row[lo:hi], column[lo:hi] - first] = 1
+        out += (has[a] @ has[b].T).astype(np.int64)
+    return out
+
+
 def _sets(docs: DataFrame, n: int, id_col: str, text: str, row: str | None = None) -> DataFrame:
     carried = [F.col(row).alias("row")] if row else []
     return materialize(
         docs.select(
-            F.col(id_col).cast("long").alias("id"), *carried, summaries(text, n).alias("s")
-        ).select("id", *(["row"] if row else []), "s.*"),
+            F.col(id_col).cast("long").alias("id"), *carried, F.xxhash64(text).alias("key"),
+            summaries(text, n).alias("s"),
+        ).select("id", *(["row"] if row else []), "key", "s.*"),
         "sets",
     )
 
@@ -395,17 +471,46 @@ def _components(sets: DataFrame, stars: DataFrame) -> DataFrame:
     ).drop("v")
 
 
+def _linked_sets(
+    docs: DataFrame, base: DataFrame, n: int, percent: int, text: str
+) -> tuple[DataFrame, DataFrame]:
+    """The components of the sets, as stars ``u, v``, and the cut sets of all their members."""
+    order = find_order(docs, text, n)
+    lists, words = prefix_lists(docs, text, n, percent, order), materialize(parities(base), "parities")
+    tested = materialize(through_hubs(lists, percent), "pairs")
+    first = materialize(with_room(tested, words, percent), "pairs")
+    ids = materialize(ends(first).distinct(), "ids")
+    cut = cut_sets(docs, base, ids, text, n, order)
+    links = materialize(overlaps(cut, first, percent), "links")
+    stars = connected_components(links.select("u", "v"))
+    rest = across_components(lists, stars, tested, percent)
+    rest = materialize(with_room(rest, words, percent), "pairs")
+    new = materialize(ends(rest).distinct().join(ids, "id", "left_anti"), "ids")
+    if not new.isEmpty():
+        cut = cut.unionByName(cut_sets(docs, base, new, text, n, order))
+    more = materialize(overlaps(cut, rest, percent), "links")
+    return connected_components(stars.unionByName(more.select("u", "v"))), cut
+
+
 def jaccard_join(
-    docs: DataFrame, n: int = 4, percent: int = 85, id_col: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    n: int = 4,
+    percent: int = 85,
+    id_col: str = "doc_id",
+    text: str = "text",
+    counts: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The members ``id, set_id, n_shingles`` (every row of ``docs``) and the links
-    ``u, v, overlap``: every two different sets over the threshold, once, ``u < v``."""
+    """The members ``id, set_id, n_shingles, comp`` (every row of ``docs``, with the component
+    of its set) and the links ``u, v, overlap``: every two different sets over the threshold,
+    once, ``u < v``.  With ``counts``, in place of the links ``set_id, n_links``: for each set
+    that has links their number."""
     base = _sets(docs, n, id_col, text)
-    order = find_order(docs, text, n)
-    lists = prefix_lists(docs, text, n, percent, order, prior=True)
-    pairs = materialize(all_pairs(lists, parities(base), percent), "pairs")
-    links = materialize(overlaps(docs, pairs, text, n, percent, order), "links")
-    return base.select("id", "set_id", "n_shingles"), links
+    stars, cut = _linked_sets(docs, base, n, percent, text)
+    links = inside_components(cut, stars, percent, counts)
+    if counts:
+        links = links.groupBy("set_id").agg(F.sum("n_links").alias("n_links"))
+    members = _components(base.select("id", "set_id", "n_shingles"), stars)
+    return members, materialize(links, "links")
 
 
 def linked_documents(
@@ -413,11 +518,8 @@ def linked_documents(
 ) -> DataFrame:
     """``id, n_shingles, component_id, n_links`` for every row; ``n_links``: the number of
     different sets that its set is linked to (rows of equal sets have the same links)."""
-    sets, links = jaccard_join(docs, n, percent, id_col, text)
-    ends = links.select(F.explode(F.array("u", "v")).alias("set_id"))
-    named = _components(sets, connected_components(links.select("u", "v"))).join(
-        ends.groupBy("set_id").agg(F.count(F.lit(1)).alias("n_links")), "set_id", "left"
-    )
+    sets, links = jaccard_join(docs, n, percent, id_col, text, counts=True)
+    named = sets.join(links, "set_id", "left")
     return _grouped(named, id_col, F.coalesce("n_links", F.lit(0)).alias("n_links")).select(
         id_col, "n_shingles", "component_id", "n_links"
     )
@@ -433,17 +535,7 @@ def jaccard_groups(
 ) -> DataFrame:
     """``id, n_shingles, component_id`` for every row (``row``: a column to carry along)."""
     base = _sets(docs, n, id_col, text, row)
-    order = find_order(docs, text, n)
-    lists, words = prefix_lists(docs, text, n, percent, order), materialize(parities(base), "parities")
-    tested = materialize(through_hubs(lists, percent), "pairs")
-    first = materialize(with_room(tested, words, percent), "pairs")
-    links = materialize(overlaps(docs, first, text, n, percent, order), "links")
-    stars = connected_components(links.select("u", "v"))
-    rest = across_components(lists, stars, tested, percent)
-    rest = materialize(with_room(rest, words, percent), "pairs")
-    more = materialize(overlaps(docs, rest, text, n, percent, order), "links")
-    stars = connected_components(stars.unionByName(more.select("u", "v")))
-
+    stars, _ = _linked_sets(docs, base, n, percent, text)
     sets = base.select("id", *(["row"] if row else []), "set_id", "n_shingles")
     return _grouped(_components(sets, stars), id_col, *([F.col("row").alias(row)] if row else []))
 

@@ -63,3 +63,25 @@ def test_the_filter_of_sets_loses_none(spark):
     others = spark.range(30_000).select(F.xxhash64(F.col("id") + 90_000).alias("id"))
     assert sum(maybe_in(found, r.id) for r in others.collect()) < 10
     assert not id_filter(ids.where("false")).any()
+
+
+def test_links_of_a_large_group_are_counted_without_a_row_each(make, monkeypatch):
+    made, write = [], op.materialize
+
+    def counted(df, *names):
+        out = write(df, *names)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(op, "materialize", counted)
+    monkeypatch.setattr(op, "SPREAD", 40)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for i in range(150):  # any two differ in two words: 49 of 65 n-grams at least in common
+        rows.append((i, " ".join([*base[: i % 50], f"x{i}", *base[i % 50 + 1 :]])))
+    want = Counter(s for pair in links(rows, 4, 70) for s in pair)
+    assert sum(want.values()) > 20_000
+    got = op.linked_documents(make(rows).repartition(5), percent=70).collect()
+    assert Counter(r.n_links for r in got) == Counter(want.values())
+    assert {r.component_id for r in got} == {0}
+    assert max(made) < 30 * len(rows)
