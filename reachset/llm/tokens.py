@@ -66,14 +66,18 @@ class _Repeated(_Known):
         self.marks, self.marked = bytearray(self.SLOTS), 0
 
     def __missing__(self, key):
+        value = self.make(key)
         slot = hash(key) % self.SLOTS
         if self.marks[slot]:
-            return super().__missing__(key)
+            if len(self) >= self.max_entries:
+                self.clear()
+            self[key] = value
+            return value
         if self.marked >= self.SLOTS // 4:
             self.marks, self.marked = bytearray(self.SLOTS), 0
         self.marks[slot] = 1
         self.marked += 1
-        return self.make(key)
+        return value
 
 
 class ChunkEncoder:
@@ -85,7 +89,10 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.spelling = byte_spelling()
+        # of bytes read as Latin-1, and of ids
+        self.spelling = {b: ord(c) for b, c in byte_spelling().items()}
+        most = max(self.tokenizer.get_vocab().values(), default=-1)
+        self.packed = [i.to_bytes(4, "little") for i in range(most + 1)]
         self.words = _Known(self._word, max_entries)
         self.chunks = _Repeated(self._chunk, max_entries)
         self.plain = all(self._plain(p) == self._whole(p) for p in _PROBES)
@@ -95,8 +102,10 @@ class ChunkEncoder:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
-        spelled = word if word.isascii() else "".join([self.spelling[b] for b in word.encode()])
-        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.spelling)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(word)])
 
     def _plain(self, chunk: str) -> bytes | None:
         """A Latin word's ids, and those of punctuation after it; None for other chunks."""
@@ -106,7 +115,8 @@ class ChunkEncoder:
         word, mark = found.groups()
         if not word.isascii() and (not word.isalpha() or max(word) > "ſ" or "İ" in word):
             return None
-        return self.words[word.lower()] + (self.words[mark] if mark else b"")
+        ids = self.words[word.lower()]
+        return ids + self.words[mark] if mark else ids
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()

@@ -145,3 +145,11 @@ def test_chunks_seen_once_do_not_use_up_the_cache():
     whole = enc.tokenizer.encode(text, add_special_tokens=False).ids
     assert enc.encode([text, None]) == [np.array(whole, dtype="<u4").tobytes(), b""]
     assert made.count(b"the") == made.count(b"cat,") == made.count(b"sat.") == 2
+
+
+def test_words_of_every_latin_letter_are_spelled_as_the_library_does():
+    enc = ChunkEncoder(default_tokenizer())
+    letters = [chr(c) for c in range(0x41, 0x17F) if chr(c).isalpha()]
+    words = [f"a{x}{x}b{y}!" for x, y in zip(letters, letters[1:])]
+    assert enc.encode(words * 3) == [enc._whole(w) for w in words] * 3
+    assert len(enc.packed) > 40_000 and not any(len(p) != 4 for p in enc.packed)
